@@ -8,8 +8,7 @@ differently. The library itself returns the native types.
 from __future__ import annotations
 
 from collections.abc import Callable
-from dataclasses import dataclass
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,72 +43,81 @@ QUERIES: dict[str, Query] = {}
 
 
 def portable(df: DataFrame) -> DataFrame:
-    def render(field: T.StructField):
-        column = F.col(field.name)
+    def render(field: T.StructField) -> str:
         if isinstance(field.dataType, T.DecimalType):
-            column = column.cast("double")
-        elif isinstance(field.dataType, T.DateType | T.TimestampType | T.TimestampNTZType):
-            column = column.cast("string")
-        return column.alias(field.name)
+            return f"double({field.name}) as {field.name}"
+        if isinstance(field.dataType, T.DateType | T.TimestampType | T.TimestampNTZType):
+            return f"string({field.name}) as {field.name}"
+        return field.name
 
-    return df.select(*[render(f) for f in df.schema.fields])
+    return df.selectExpr(*[render(f) for f in df.schema.fields])
 
 
-def registered(query: Query) -> Query:
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return portable(query(spark, sf_dir))
+def registered(name: str) -> Callable[[Query], Query]:
+    def register(query: Query) -> Query:
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            return portable(query(spark, sf_dir))
 
-    QUERIES[query.__name__] = run
-    return query
+        QUERIES[name] = run
+        return query
+
+    return register
 
 
 # --- inputs shared by several queries ---------------------------------------
 
 
-@dataclass
-class Raw:
-    """Bronze-shaped inputs, with the load metadata of one fixed load."""
+class Layered:
+    """The layers over the given tables; only what a query asks for is planned."""
 
-    customers: DataFrame
-    accounts: DataFrame
-    transactions: DataFrame
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self._at = (spark, sf_dir)
 
-    @staticmethod
-    def of(spark: SparkSession, sf_dir: str) -> Raw:
-        def loaded(name: str, raw: DataFrame) -> DataFrame:
-            return add_load_metadata(raw, name, lens.INGESTED_AT)
+    @cached_property
+    def raw_customers(self) -> DataFrame:
+        return add_load_metadata(lens.raw_customers(*self._at), "customers_csv", lens.INGESTED_AT)
 
-        return Raw(
-            loaded("customers_csv", lens.raw_customers(spark, sf_dir)),
-            loaded("accounts_csv", lens.raw_accounts(spark, sf_dir)),
-            loaded("transactions_jsonl", lens.raw_transactions(spark, sf_dir)),
-        )
+    @cached_property
+    def raw_accounts(self) -> DataFrame:
+        return add_load_metadata(lens.raw_accounts(*self._at), "accounts_csv", lens.INGESTED_AT)
+
+    @cached_property
+    def raw_transactions(self) -> DataFrame:
+        return add_load_metadata(lens.raw_transactions(*self._at), "transactions_jsonl", lens.INGESTED_AT)
 
+    @cached_property
     def hot_accounts(self) -> DataFrame:
-        return hot_keys(self.transactions.select(fn.trimmed_key(F.col("account_id")).alias("account_id")), "account_id")
+        return hot_keys(self.raw_transactions.selectExpr("trim(account_id) as account_id"), "account_id")
 
+    @cached_property
     def hot_customers(self) -> DataFrame:
-        keys = self.accounts.select(fn.trimmed_key(F.col("customer_ref")).alias("customer_id"))
-        return hot_keys(keys, "customer_id")
+        return hot_keys(self.raw_accounts.selectExpr("trim(customer_ref) as customer_id"), "customer_id")
 
+    @cached_property
+    def silver_customers(self) -> DataFrame:
+        return silver.silver_customers(self.raw_customers)
 
-@dataclass
-class Gold:
-    customers: DataFrame
-    accounts: DataFrame
-    fact: DataFrame
-    silver_transactions: DataFrame
-    hot_customers: DataFrame
+    @cached_property
+    def silver_accounts(self) -> DataFrame:
+        return silver.silver_accounts(self.raw_accounts)
 
-    @staticmethod
-    def of(spark: SparkSession, sf_dir: str) -> Gold:
-        raw = Raw.of(spark, sf_dir)
-        hot_customers, hot_accounts = raw.hot_customers(), raw.hot_accounts()
-        customers = gold.dim_customers(silver.silver_customers(raw.customers), lens.AS_OF)
-        accounts = gold.dim_accounts(silver.silver_accounts(raw.accounts), customers, hot_customers)
-        transactions = silver.silver_transactions(raw.transactions)
-        fact = gold.fact_transactions(transactions, accounts, customers, hot_accounts, hot_customers)
-        return Gold(customers, accounts, fact, transactions, hot_customers)
+    @cached_property
+    def silver_transactions(self) -> DataFrame:
+        return silver.silver_transactions(self.raw_transactions)
+
+    @cached_property
+    def customers(self) -> DataFrame:
+        return gold.dim_customers(self.silver_customers, lens.AS_OF)
+
+    @cached_property
+    def accounts(self) -> DataFrame:
+        return gold.dim_accounts(self.silver_accounts, self.customers, self.hot_customers)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return gold.fact_transactions(
+            self.silver_transactions, self.accounts, self.customers, self.hot_accounts, self.hot_customers
+        )
 
 
 def damaged(customers: DataFrame) -> DataFrame:
@@ -144,55 +152,55 @@ def written_layers(spark: SparkSession, sf_dir: str) -> layers.Layout:
 # --- reports -----------------------------------------------------------------
 
 
-@registered
+@registered("report_volume_by_type")
 def report_volume_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.volume_by_type(Gold.of(spark, sf_dir).fact)
+    return reports.volume_by_type(Layered(spark, sf_dir).fact)
 
 
-@registered
+@registered("report_unlinked_accounts")
 def report_unlinked_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = Gold.of(spark, sf_dir)
+    g = Layered(spark, sf_dir)
     return reports.unlinked_accounts(g.accounts, damaged(g.customers))
 
 
-@registered
+@registered("report_province_distribution")
 def report_province_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = Gold.of(spark, sf_dir)
+    g = Layered(spark, sf_dir)
     return reports.province_distribution(g.accounts, g.customers, g.hot_customers)
 
 
 # --- column functions ----------------------------------------------------------
 
 
-@registered
+@registered("standardise_txn_type")
 def standardise_txn_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = lens.raw_transactions(spark, sf_dir)
     typed = raw.select("transaction_type", fn.transaction_type(F.col("transaction_type")).alias("standard"))
     return typed.groupBy("transaction_type", "standard").agg(F.count(F.lit(1)).alias("n"))
 
 
-@registered
+@registered("standardise_province")
 def standardise_province(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = lens.raw_customers(spark, sf_dir)
     named = raw.select("province", fn.province(F.col("province")).alias("standard"))
     return named.groupBy("province", "standard").agg(F.count(F.lit(1)).alias("n"))
 
 
-@registered
+@registered("standardise_currency")
 def standardise_currency(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = lens.raw_transactions(spark, sf_dir)
     coded = raw.select("currency", fn.currency(F.col("currency")).alias("standard"))
     return coded.groupBy("currency", "standard").agg(F.count(F.lit(1)).alias("n"))
 
 
-@registered
+@registered("parse_dates")
 def parse_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = lens.raw_transactions(spark, sf_dir)
     parsed = raw.select("transaction_date", fn.flexible_date(F.col("transaction_date")).alias("parsed_date"))
     return parsed.groupBy("transaction_date", "parsed_date").agg(F.count(F.lit(1)).alias("n"))
 
 
-@registered
+@registered("combine_date_time")
 def combine_date_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = lens.raw_transactions(spark, sf_dir)
     day, time = F.col("transaction_date"), F.col("transaction_time")
@@ -202,11 +210,11 @@ def combine_date_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@registered
+@registered("resolve_event_time")
 def resolve_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same records with a timestamp column, with date and time, with a date, with neither."""
     raw = lens.raw_transactions(spark, sf_dir).select("transaction_date", "transaction_time")
-    stamped = raw.withColumn("timestamp", F.concat_ws(" ", F.trim("transaction_date"), "transaction_time"))
+    stamped = raw.selectExpr("*", "trim(transaction_date) || coalesce(' ' || transaction_time, '') as timestamp")
     cases = {
         "timestamp": stamped,
         "date_and_time": raw,
@@ -228,7 +236,7 @@ def resolve_event_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@registered
+@registered("tolerant_casts")
 def tolerant_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Risk scores as int and balances as decimal, for every account."""
     risk = lens.raw_customers(spark, sf_dir).select(
@@ -244,14 +252,14 @@ def tolerant_casts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return risk.unionByName(balance).groupBy("column_name", "raw", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-@registered
+@registered("age_band")
 def age_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = lens.raw_customers(spark, sf_dir)
     dated = raw.select("dob", fn.age_band(fn.flexible_date(F.col("dob")), lens.AS_OF).alias("age_band"))
     return dated.groupBy("dob", "age_band").agg(F.count(F.lit(1)).alias("n"))
 
 
-@registered
+@registered("surrogate_keys")
 def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Properties of the keys: none negative, none NULL, one per distinct id."""
     raw = lens.raw_customers(spark, sf_dir)
@@ -269,13 +277,13 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- keys and deduplication ------------------------------------------------------
 
 
-@registered
+@registered("filter_nonblank_key")
 def filter_nonblank_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = present_keys(lens.raw_transactions(spark, sf_dir), "transaction_id")
     return kept.groupBy(fn.trimmed_key(F.col("account_id")).alias("account_id")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@registered
+@registered("dedupe_latest")
 def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = lens.table(spark, sf_dir, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("line_id"),
@@ -284,10 +292,10 @@ def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_suppkey",
         "l_returnflag",
     )
-    return latest_per_key(li, "line_id", [F.col("shipped").desc_nulls_last()])
+    return latest_per_key(li, "line_id", ["shipped"])
 
 
-@registered
+@registered("distinct_keys")
 def distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per account and its rank among the distinct values of the other side."""
     raw = lens.raw_accounts(spark, sf_dir)
@@ -302,34 +310,34 @@ def distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- shape -----------------------------------------------------------------------
 
 
-@registered
-def normalise_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+@registered("normalise_columns")
+def normalised_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Awkward names, two of which become the same: the first column stays."""
     o = lens.table(spark, sf_dir, "orders")
     awkward = o.toDF(" Order Key", "Cust-Key", "order.status", "Order  Key ", "Order/Date", "Order - . Priority")
     return normalise_columns(awkward)
 
 
-@registered
+@registered("alias_rename")
 def alias_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = lens.raw_transactions(spark, sf_dir).select("transaction_id", "account_id", "transaction_type", "amount")
     drifted = raw.toDF("txn_id", "account_ref", "type", "txn_amount").withColumn("acct_id", F.col("account_ref"))
     return rename_aliases(drifted, TRANSACTIONS.aliases)
 
 
-@registered
+@registered("dedupe_columns")
 def dedupe_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = lens.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")
     return distinct_columns(o.toDF("key", " key ", "status", "status"))
 
 
-@registered
+@registered("coerce_schema")
 def coerce_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = lens.raw_accounts(spark, sf_dir).select("account_id", "credit_limit", "last_activity_date", "mobile_number")
     return conform(raw, ACCOUNTS.schema)
 
 
-@registered
+@registered("nested_extract")
 def nested_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = lens.raw_transactions(spark, sf_dir)
     found = raw.select(
@@ -342,12 +350,12 @@ def nested_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources and sinks -------------------------------------------------------------
 
 
-@registered
+@registered("bronze_metadata")
 def bronze_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return add_load_metadata(lens.raw_accounts(spark, sf_dir), "accounts_csv", lens.INGESTED_AT)
 
 
-@registered
+@registered("scan_csv_strings")
 def scan_csv_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "csv")
     # Quoting everything keeps blanks apart from NULL and leading spaces intact.
@@ -358,7 +366,7 @@ def scan_csv_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_text(spark, folder)
 
 
-@registered
+@registered("scan_jsonl_nested")
 def scan_jsonl_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "jsonl")
     write_json(lens.raw_transactions(spark, sf_dir), folder)
@@ -375,111 +383,109 @@ def scan_jsonl_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@registered
+@registered("scan_parquet_counts")
 def scan_parquet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("customer", "orders", "lineitem", "nation", "region", "events")
     return validation.row_counts({name: read_table(spark, f"{sf_dir}/{name}.parquet") for name in names})
 
 
-@registered
+@registered("parquet_roundtrip")
 def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "parquet")
-    write_table(silver.silver_customers(Raw.of(spark, sf_dir).customers), folder)
+    write_table(Layered(spark, sf_dir).silver_customers, folder)
     return read_table(spark, folder)
 
 
 # --- layers --------------------------------------------------------------------------
 
 
-@registered
+@registered("silver_customers")
 def silver_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.silver_customers(Raw.of(spark, sf_dir).customers)
+    return Layered(spark, sf_dir).silver_customers
 
 
-@registered
+@registered("silver_accounts")
 def silver_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.silver_accounts(Raw.of(spark, sf_dir).accounts)
+    return Layered(spark, sf_dir).silver_accounts
 
 
-@registered
+@registered("silver_transactions")
 def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return silver.silver_transactions(Raw.of(spark, sf_dir).transactions)
+    return Layered(spark, sf_dir).silver_transactions
 
 
-@registered
+@registered("silver_transactions_flagged")
 def silver_transactions_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    flagged = silver.silver_transactions(Raw.of(spark, sf_dir).transactions, flag_issues=True)
+    flagged = silver.silver_transactions(Layered(spark, sf_dir).raw_transactions, flag_issues=True)
     return flagged.groupBy("dq_flag").agg(F.count(F.lit(1)).alias("n"))
 
 
-@registered
+@registered("join_accounts_customers")
 def join_accounts_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = Raw.of(spark, sf_dir)
-    accounts = silver.silver_accounts(raw.accounts)
-    customers = damaged(silver.silver_customers(raw.customers)).select("customer_id")
+    g = Layered(spark, sf_dir)
+    customers = damaged(g.silver_customers).select("customer_id")
     joined = lookup_join(
-        accounts, customers, "customer_id", "left_semi", raw.hot_customers(), spread_by="account_id"
+        g.silver_accounts, customers, "customer_id", "left_semi", g.hot_customers, spread_by="account_id"
     )
     return joined.select("account_id", "customer_id", "account_status", "current_balance")
 
 
-@registered
+@registered("dim_customers")
 def dim_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_keys(Gold.of(spark, sf_dir).customers)
+    return without_keys(Layered(spark, sf_dir).customers)
 
 
-@registered
+@registered("dim_accounts")
 def dim_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_keys(Gold.of(spark, sf_dir).accounts)
+    return without_keys(Layered(spark, sf_dir).accounts)
 
 
-@registered
+@registered("fact_build")
 def fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_keys(Gold.of(spark, sf_dir).fact)
+    return without_keys(Layered(spark, sf_dir).fact)
 
 
 # --- integrity and counts ----------------------------------------------------------------
 
 
-@registered
+@registered("orphaned_transactions")
 def orphaned_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = Gold.of(spark, sf_dir)
+    g = Layered(spark, sf_dir)
     return gold.orphaned_transactions(g.silver_transactions, damaged_accounts(g.accounts))
 
 
-@registered
+@registered("ri_fact_account")
 def ri_fact_account(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = Gold.of(spark, sf_dir)
+    g = Layered(spark, sf_dir)
     return validation.foreign_key_gaps(g.fact, damaged_accounts(g.accounts), "account_sk")
 
 
-@registered
+@registered("ri_fact_customer")
 def ri_fact_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = Gold.of(spark, sf_dir)
+    g = Layered(spark, sf_dir)
     return validation.foreign_key_gaps(g.fact, damaged(g.customers), "customer_sk")
 
 
-@registered
+@registered("ri_account_customer")
 def ri_account_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    accounts = silver.silver_accounts(Raw.of(spark, sf_dir).accounts)
-    customers = Gold.of(spark, sf_dir).customers
-    return validation.foreign_key_gaps(accounts, damaged(customers), "customer_id", ignore_null=True)
+    g = Layered(spark, sf_dir)
+    return validation.foreign_key_gaps(g.silver_accounts, damaged(g.customers), "customer_id", ignore_null=True)
 
 
-@registered
+@registered("row_counts")
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = written_layers(spark, sf_dir)
     return validation.row_counts({n: read_table(spark, path) for n, path in layout.paths().items()})
 
 
-@registered
-def null_counts_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+@registered("null_counts")
+def nulls_by_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = lens.raw_accounts(spark, sf_dir)
     columns = ("account_id", "customer_ref", "digital_channel", "last_activity_date", "no_such_column")
     return null_counts(raw, columns)
 
 
-@registered
+@registered("duplicate_key_groups")
 def duplicate_key_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = lens.raw_transactions(spark, sf_dir)
     checks = {
@@ -494,35 +500,35 @@ def duplicate_key_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
-@registered
-def amount_figures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return amount_summary(Gold.of(spark, sf_dir).fact)
+@registered("amount_summary")
+def fact_amounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return amount_summary(Layered(spark, sf_dir).fact)
 
 
-@registered
-def fact_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+@registered("table_profile")
+def transaction_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows, duplicate ids, NULLs and amount figures of the raw transactions in one pass."""
     raw = lens.raw_transactions(spark, sf_dir)
     typed = raw.select("transaction_id", "currency", fn.tolerant_decimal(F.col("amount")).alias("amount"))
     return table_profile(typed, "transaction_id", ("transaction_id", "currency", "absent"), "amount")
 
 
-@registered
+@registered("reconciliation")
 def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     layout = written_layers(spark, sf_dir)
     tables = {n: read_table(spark, path) for n, path in layout.paths().items()}
     return validation.reconciliation(validation.row_counts(tables))
 
 
-@registered
+@registered("domain_check")
 def domain_check(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = Gold.of(spark, sf_dir)
+    g = Layered(spark, sf_dir)
     return validation.type_domain(g.fact).unionByName(
         validation.province_domain(g.accounts, g.customers, g.hot_customers)
     )
 
 
-@registered
+@registered("validation_report")
 def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.validate(spark, written_layers(spark, sf_dir))
 
@@ -530,9 +536,8 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- data quality -----------------------------------------------------------------------
 
 
-def _issue_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = Raw.of(spark, sf_dir)
-    sources = {"customers": raw.customers, "accounts": raw.accounts, "transactions": raw.transactions}
+def _issue_counts(g: Layered) -> DataFrame:
+    sources = {"customers": g.raw_customers, "accounts": g.raw_accounts, "transactions": g.raw_transactions}
     counted = [
         issues.as_code_rows(issues.table_issue_counts(silver.prepare(sources[name], spec), spec)).select(
             F.lit(name).alias("table_name"), "issue_code", "record_count"
@@ -544,7 +549,7 @@ def _issue_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _one_code(code: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        counts = _issue_counts(spark, sf_dir).where(F.col("issue_code") == code)
+        counts = _issue_counts(Layered(spark, sf_dir)).where(F.col("issue_code") == code)
         return counts.select("table_name", "record_count")
 
     return query
@@ -558,21 +563,19 @@ for _name, _code in {
     "dq_currency_variant": "CURRENCY_VARIANT",
     "dq_null_required": "NULL_REQUIRED",
 }.items():
-    _query = _one_code(_code)
-    _query.__name__ = _name
-    registered(_query)
+    registered(_name)(_one_code(_code))
 
 
-@registered
+@registered("dq_summary")
 def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    g = Gold.of(spark, sf_dir)
+    g = Layered(spark, sf_dir)
     orphans = gold.orphaned_transactions(g.silver_transactions, g.accounts).select(
         F.lit("ORPHANED_ACCOUNT").alias("issue_code"), F.col("orphan_count").alias("record_count")
     )
-    counts = _issue_counts(spark, sf_dir).drop("table_name").unionByName(orphans)
+    counts = _issue_counts(g).drop("table_name").unionByName(orphans)
     return issues.issue_summary(counts)
 
 
-@registered
+@registered("sample_records")
 def sample_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return without_keys(reports.sample_records(Gold.of(spark, sf_dir).fact, "transaction_id"))
+    return without_keys(reports.sample_records(Layered(spark, sf_dir).fact, "transaction_id"))

@@ -2,20 +2,18 @@
 
 ``customer``, ``orders`` and ``lineitem`` take the shape of the three raw inputs.
 Dirt (mixed spellings and formats, blanks, NULLs, repeated and dangling keys) is
-a fixed function of the row, so SQL can repeat it. Every row of every table is
-used.
+a fixed function of the row, so the checking SQL can repeat it. Every row of
+every table is used.
 """
 
 from __future__ import annotations
 
 from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 INGESTED_AT = datetime(2024, 6, 1)
 AS_OF = date(2024, 6, 30)
-FIRST_TEN_DIGIT_DAY = date(2001, 9, 9)
 
 # Spellings the dirty columns are drawn from, by index.
 PROVINCE_SPELLINGS = (
@@ -35,146 +33,109 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def picked(values: tuple[str | None, ...], index: Column) -> Column:
-    """``values[index % len(values)]``."""
-    listed = F.array(*[F.lit(v) for v in values])
-    return F.get(listed, (index % F.lit(len(values))).cast("int"))
+def picked(values: tuple[str | None, ...], index: str) -> str:
+    """SQL for ``values[index % len(values)]``."""
+    listed = ", ".join("NULL" if v is None else f"'{v}'" for v in values)
+    return f"get(array({listed}), cast({index} % {len(values)} as int))"
 
 
-def text(value: Column) -> Column:
-    return value.cast("string")
+def iso(day: str) -> str:
+    return f"string({day})"
 
 
-def money(value: Column) -> Column:
-    """Amount with two decimals, as text."""
-    return text(value.cast("decimal(18,2)"))
+def slashed(day: str) -> str:
+    return f"substr({day}, 9, 2) || '/' || substr({day}, 6, 2) || '/' || substr({day}, 1, 4)"
 
 
-def iso(day: Column) -> Column:
-    return F.date_format(day, "yyyy-MM-dd")
+def epoch_seconds(day: str) -> str:
+    return f"string(unix_date({day}) * 86400L)"
 
 
-def slashed(day: Column) -> Column:
-    return F.date_format(day, "dd/MM/yyyy")
-
-
-def epoch_seconds(day: Column) -> Column:
-    return text(F.unix_date(day).cast("bigint") * F.lit(86400))
+def has_ten_digits(day: str) -> str:
+    return f"{day} >= date'2001-09-09'"
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    k = F.col("c_custkey")
     # Every 40th record repeats the id of the record before it.
-    shared = F.concat(F.lit("C"), text(k - F.when((k % 40 == 0) & (k > 0), 1).otherwise(0)))
-    born = F.date_add(F.lit(date(1940, 1, 1)), (k * 37 % 28000).cast("int"))
-    dob = (
-        F.when(k % 4 == 1, slashed(born))
-        .when((k % 4 == 2) & (born >= F.lit(FIRST_TEN_DIGIT_DAY)) & (k % 8 == 2), epoch_seconds(born))
-        .when(
-            (k % 4 == 2) & (born >= F.lit(FIRST_TEN_DIGIT_DAY)),
-            F.concat(epoch_seconds(born), F.lit("123")),
-        )
-        .when(k % 8 == 3, F.lit("unknown"))
-        .when(k % 8 == 7, F.concat(F.lit(" "), iso(born), F.lit(" ")))
-        .otherwise(iso(born))
+    keyed = table(spark, sf_dir, "customer").selectExpr(
+        "*",
+        "c_custkey as k",
+        "'C' || (c_custkey - if(c_custkey % 40 = 0 and c_custkey > 0, 1, 0)) as shared",
+        "date_add(date'1940-01-01', int(c_custkey * 37 % 28000)) as born",
     )
-    risk = (
-        F.when(k % 13 == 0, "n/a")
-        .when(k % 11 == 0, F.concat(text(k % 100), F.lit(".7")))
-        .otherwise(text(k % 100))
-    )
-    return c.select(
-        F.when(k % 101 == 0, F.lit(None))
-        .when(k % 97 == 0, "  ")
-        .when(k % 7 == 0, F.concat(F.lit(" "), shared, F.lit(" ")))
-        .otherwise(shared)
-        .alias("customer_id"),
-        F.concat(F.lit("ID"), text(k)).alias("id_number"),
-        F.substring("c_name", 1, 8).alias("first_name"),
-        F.substring("c_name", 10, 9).alias("last_name"),
-        dob.alias("dob"),
-        picked(("F", "M", "X"), k).alias("gender"),
-        picked(PROVINCE_SPELLINGS, F.col("c_nationkey")).alias("province"),
-        F.when(F.col("c_acctbal") < 0, "LOW").when(F.col("c_acctbal") < 5000, "MID").otherwise("HIGH")
-        .alias("income_band"),
-        F.col("c_mktsegment").alias("segment"),
-        risk.alias("risk_score"),
-        picked(("VERIFIED", "PENDING", "FAILED", None), k).alias("kyc_status"),
-        F.lit("A|B").alias("product_flags"),
+    return keyed.selectExpr(
+        """case when k % 101 = 0 then null when k % 97 = 0 then '  '
+                when k % 7 = 0 then ' ' || shared || ' ' else shared end as customer_id""",
+        "'ID' || k as id_number",
+        "substring(c_name, 1, 8) as first_name",
+        "substring(c_name, 10, 9) as last_name",
+        f"""case when k % 4 = 1 then {slashed("born")}
+                 when k % 8 = 2 and {has_ten_digits("born")} then {epoch_seconds("born")}
+                 when k % 8 = 6 and {has_ten_digits("born")} then {epoch_seconds("born")} || '123'
+                 when k % 8 = 3 then 'unknown'
+                 when k % 8 = 7 then ' ' || {iso("born")} || ' '
+                 else {iso("born")} end as dob""",
+        f"{picked(('F', 'M', 'X'), 'k')} as gender",
+        f"{picked(PROVINCE_SPELLINGS, 'c_nationkey')} as province",
+        "case when c_acctbal < 0 then 'LOW' when c_acctbal < 5000 then 'MID' else 'HIGH' end as income_band",
+        "c_mktsegment as segment",
+        """case when k % 13 = 0 then 'n/a' when k % 11 = 0 then (k % 100) || '.7'
+                else string(k % 100) end as risk_score""",
+        f"{picked(('VERIFIED', 'PENDING', 'FAILED', None), 'k')} as kyc_status",
+        "'A|B' as product_flags",
     )
 
 
 def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
-    k = F.col("o_orderkey")
-    shared = F.concat(F.lit("A"), text(k - F.when((k % 60 == 0) & (k > 0), 1).otherwise(0)))
-    opened = F.to_date("o_orderdate")
-    open_date = (
-        F.when(k % 30 == 2, F.date_format(opened, "yyyy.MM.dd"))
-        .when(k % 3 == 1, slashed(opened))
-        .otherwise(iso(opened))
+    keyed = table(spark, sf_dir, "orders").selectExpr(
+        "*",
+        "o_orderkey as k",
+        "'A' || (o_orderkey - if(o_orderkey % 60 = 0 and o_orderkey > 0, 1, 0)) as shared",
+        "to_date(o_orderdate) as opened",
+        "string(cast(o_totalprice as decimal(18,2))) as money",
     )
-    balance = money(F.col("o_totalprice"))
-    return o.select(
-        F.when(k % 103 == 0, F.lit(None))
-        .when(k % 89 == 0, "  ")
-        .when(k % 9 == 0, F.concat(F.lit(" "), shared, F.lit(" ")))
-        .otherwise(shared)
-        .alias("account_id"),
-        F.when(k % 71 == 0, F.lit(None))
-        .otherwise(F.concat(F.lit("C"), text(F.col("o_custkey"))))
-        .alias("customer_ref"),
-        picked(("SAVINGS", "CHEQUE", "CREDIT", "LOAN"), k).alias("account_type"),
-        F.col("o_orderstatus").alias("account_status"),
-        open_date.alias("open_date"),
-        F.col("o_orderpriority").alias("product_tier"),
-        F.concat(F.lit("082"), text(k)).alias("mobile_number"),
-        picked(("APP", "WEB", None), k).alias("digital_channel"),
-        F.when(k % 19 == 0, "n/a").otherwise(balance).alias("credit_limit"),
-        F.when(k % 17 == 0, "1,000").otherwise(balance).alias("current_balance"),
-        F.when(k % 6 != 0, iso(F.date_add(opened, (k % 400).cast("int")))).alias("last_activity_date"),
+    return keyed.selectExpr(
+        """case when k % 103 = 0 then null when k % 89 = 0 then '  '
+                when k % 9 = 0 then ' ' || shared || ' ' else shared end as account_id""",
+        "case when k % 71 <> 0 then 'C' || o_custkey end as customer_ref",
+        f"{picked(('SAVINGS', 'CHEQUE', 'CREDIT', 'LOAN'), 'k')} as account_type",
+        "o_orderstatus as account_status",
+        f"""case when k % 30 = 2 then date_format(opened, 'yyyy.MM.dd')
+                 when k % 3 = 1 then {slashed("opened")} else {iso("opened")} end as open_date""",
+        "o_orderpriority as product_tier",
+        "'082' || k as mobile_number",
+        f"{picked(('APP', 'WEB', None), 'k')} as digital_channel",
+        "case when k % 19 = 0 then 'n/a' else money end as credit_limit",
+        "case when k % 17 = 0 then '1,000' else money end as current_balance",
+        f"case when k % 6 <> 0 then {iso('date_add(opened, int(k % 400))')} end as last_activity_date",
     )
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    p, s = F.col("l_partkey"), F.col("l_suppkey")
-    account = F.concat(F.lit("A"), text(F.col("l_orderkey")))
-    day = F.to_date("l_shipdate")
-    transaction_date = (
-        F.when(p % 44 == 3, "2024-02-30")
-        .when(p % 44 == 7, F.lit(None))
-        .when(p % 4 == 1, slashed(day))
-        .when((p % 4 == 2) & (day >= F.lit(FIRST_TEN_DIGIT_DAY)), epoch_seconds(day))
-        .when(p % 4 == 2, F.concat(F.lit(" "), iso(day)))
-        .otherwise(iso(day))
+    keyed = table(spark, sf_dir, "lineitem").selectExpr(
+        "*", "l_partkey as p", "l_suppkey as s", "'A' || l_orderkey as account", "to_date(l_shipdate) as day"
     )
-
-    def two_digits(value: Column) -> Column:
-        return F.lpad(text(value), 2, "0")
-
-    clock = F.concat_ws(":", two_digits(p % 24), two_digits(p * 7 % 60), two_digits(p * 13 % 60))
-    return li.select(
-        F.when(p % 50 == 0, F.lit(None))
-        .when(p % 50 == 1, "  ")
-        .otherwise(F.concat(account, F.lit("-"), text(F.col("l_linenumber"))))
-        .alias("transaction_id"),
-        account.alias("account_id"),
-        transaction_date.alias("transaction_date"),
-        F.when(p % 5 == 0, F.lit(None)).when(p % 53 == 1, "9:00").otherwise(clock).alias("transaction_time"),
-        picked(TYPE_SPELLINGS, p).alias("transaction_type"),
-        picked(("GROCERY", "FUEL", "TRAVEL", None), s).alias("merchant_category"),
-        F.col("l_returnflag").alias("merchant_subcategory"),
-        F.when(p % 41 == 0, "n/a").otherwise(money(F.col("l_extendedprice"))).alias("amount"),
-        picked(CURRENCY_SPELLINGS, s).alias("currency"),
-        F.col("l_linestatus").alias("channel"),
-        F.struct(
-            picked(PROVINCE_SPELLINGS, s).alias("province"),
-            F.concat(F.lit("City "), text(s)).alias("city"),
-            F.lit("-26.2,28.0").alias("coordinates"),
-        ).alias("location"),
-        F.struct(
-            text(p).alias("device_id"), text(s).alias("session_id"), (p % 2 == 0).alias("retry_flag")
-        ).alias("metadata"),
+    return keyed.selectExpr(
+        """case when p % 50 = 0 then null when p % 50 = 1 then '  '
+                else account || '-' || l_linenumber end as transaction_id""",
+        "account as account_id",
+        f"""case when p % 44 = 3 then '2024-02-30'
+                 when p % 44 = 7 then null
+                 when p % 4 = 1 then {slashed("day")}
+                 when p % 4 = 2 and {has_ten_digits("day")} then {epoch_seconds("day")}
+                 when p % 4 = 2 then ' ' || {iso("day")}
+                 else {iso("day")} end as transaction_date""",
+        """case when p % 5 = 0 then null when p % 53 = 1 then '9:00'
+                else lpad(p % 24, 2, '0') || ':' || lpad(p * 7 % 60, 2, '0')
+                     || ':' || lpad(p * 13 % 60, 2, '0') end as transaction_time""",
+        f"{picked(TYPE_SPELLINGS, 'p')} as transaction_type",
+        f"{picked(('GROCERY', 'FUEL', 'TRAVEL', None), 's')} as merchant_category",
+        "l_returnflag as merchant_subcategory",
+        """case when p % 41 = 0 then 'n/a'
+                else string(cast(l_extendedprice as decimal(18,2))) end as amount""",
+        f"{picked(CURRENCY_SPELLINGS, 's')} as currency",
+        "l_linestatus as channel",
+        f"""struct({picked(PROVINCE_SPELLINGS, "s")} as province, 'City ' || s as city,
+                   '-26.2,28.0' as coordinates) as location""",
+        "struct(string(p) as device_id, string(s) as session_id, p % 2 = 0 as retry_flag) as metadata",
     )

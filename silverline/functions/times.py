@@ -19,30 +19,35 @@ from silverline.fixed_values import (
     EVENT_TIMESTAMP_NAMES,
 )
 
+# Years have four digits, or more with a sign.
+YEAR = "(?:[0-9]{4}|-[0-9]{4,7}|[+][0-9]{5,7})"
+SLASHED = rf"^([0-9]{{2}})/([0-9]{{2}})/({YEAR})\z"
+ISO_OR_SLASHED = rf"^{YEAR}-[0-9]{{2}}-[0-9]{{2}}\z|{SLASHED}"
+SECONDS_OR_MILLIS = "^[0-9]{10}(?:[0-9]{3})?$"
+CLOCK = r"^[0-9]{2}:[0-9]{2}:[0-9]{2}\z"
+
 
 def flexible_date(value: Column) -> Column:
     """Date from ``yyyy-MM-dd``, ``dd/MM/yyyy``, 10-digit seconds or 13-digit millis.
 
-    A slash can only be the second format and a dash only the first, so the
-    separator picks the parser: no row pays for a parse that is bound to fail.
+    A shape test lets only well-formed texts reach Spark's own date cast, which
+    still rejects days that do not exist and is much faster than parsing with a
+    pattern, above all on texts that do not fit. The first ten digits of millis
+    are its whole seconds.
     """
     text = F.trim(value.cast("string"))
-    number = text.try_cast("bigint")
-    seconds = F.when(text.rlike("^[0-9]{10}$"), number).when(
-        text.rlike("^[0-9]{13}$"), F.floor(number / F.lit(1000))
-    )
-    return (
-        F.when(F.contains(text, F.lit("/")), F.try_to_date(text, "dd/MM/yyyy"))
-        .when(F.contains(text, F.lit("-")), F.try_to_date(text, "yyyy-MM-dd"))
-        .otherwise(F.to_date(F.timestamp_seconds(seconds)))
+    calendar = F.when(
+        text.rlike(ISO_OR_SLASHED), F.regexp_replace(text, SLASHED, "$3-$2-$1").try_cast("date")
     )
+    seconds = F.when(text.rlike(SECONDS_OR_MILLIS), text.substr(1, 10).try_cast("bigint"))
+    return F.coalesce(calendar, F.to_date(F.timestamp_seconds(seconds)))
 
 
 def date_and_time(day: Column, time: Column) -> Column:
     """Timestamp from a flexible date and an ``HH:mm:ss`` text (midnight if NULL)."""
     clock = F.coalesce(F.trim(time.cast("string")), F.lit("00:00:00"))
-    day_text = F.date_format(flexible_date(day), "yyyy-MM-dd")
-    return F.try_to_timestamp(F.concat_ws(" ", day_text, clock), F.lit("yyyy-MM-dd HH:mm:ss"))
+    stamp = F.concat(flexible_date(day).cast("string"), F.lit(" "), clock)
+    return F.when(clock.rlike(CLOCK), stamp).try_cast("timestamp")
 
 
 def first_existing(names: Collection[str], candidates: Collection[str], purpose: str) -> str:

@@ -22,6 +22,8 @@ def select_by_position(df: DataFrame, names: Sequence[str]) -> DataFrame:
     Columns are addressed by position, so names that are repeated or contain
     dots cannot become ambiguous.
     """
+    if list(names) == df.columns and len(set(names)) == len(names):
+        return df
     slots = [f"_c{i}" for i in range(len(names))]
     first_slot: dict[str, str] = {}
     for name, slot in zip(names, slots, strict=True):
@@ -47,7 +49,7 @@ def rename_aliases(df: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataF
             present = [c for c in candidates if c in names]
             if present:
                 names[names.index(present[0])] = target
-    return df.toDF(*names)
+    return df if names == df.columns else df.toDF(*names)
 
 
 def require_columns(df: DataFrame, required: Iterable[str], table: str) -> DataFrame:
@@ -60,8 +62,12 @@ def require_columns(df: DataFrame, required: Iterable[str], table: str) -> DataF
 
 def column_or_null(df: DataFrame, name: str, data_type: T.DataType | str) -> Column:
     """The column cast tolerantly, or a typed NULL if the table lacks it."""
-    source = F.col(name) if name in df.columns else F.lit(None)
-    return source.try_cast(data_type).alias(name)
+    wanted = data_type if isinstance(data_type, str) else data_type.simpleString()
+    if name not in df.columns:
+        return F.lit(None).cast(wanted).alias(name)
+    if df.schema[name].dataType.simpleString() == wanted:
+        return F.col(name)
+    return F.col(name).try_cast(wanted).alias(name)
 
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:

@@ -37,8 +37,10 @@ def clean(prepared: DataFrame, spec: TableSpec, flag_issues: bool = False) -> Da
 def build(raw: DataFrame, spec: TableSpec, flag_issues: bool = False) -> DataFrame:
     """Silver table of ``spec`` from raw or bronze records."""
     cleaned = clean(prepare(raw, spec), spec, flag_issues)
-    newest_first = [F.col(name).desc_nulls_last() for name in spec.newest_first]
-    return latest_per_key(cleaned, spec.key, newest_first)
+    ranked_by = (spec.key, *spec.newest_first)
+    # Columns that follow from others cannot settle a tie.
+    ties = [f.name for f in spec.fields if f.after is None and f.name not in ranked_by]
+    return latest_per_key(cleaned, spec.key, spec.newest_first, ties)
 
 
 def silver_customers(raw: DataFrame) -> DataFrame:

@@ -27,8 +27,8 @@ from silverline.operators.shape import nested_text
 MONEY = T.DecimalType(18, 2)
 
 
-def as_text(value: Column) -> Column:
-    return value.cast("string")
+def as_is(value: Column) -> Column:
+    return value
 
 
 @dataclass(frozen=True)
@@ -43,21 +43,22 @@ class Field:
 
     name: str
     type: T.DataType
-    clean: Callable[[Column], Column] = as_text
+    clean: Callable[[Column], Column] = as_is
     derive: Callable[[DataFrame], Column] | None = None
     after: Callable[[], Column] | None = None
     default: str | None = None
 
     def expression(self, df: DataFrame) -> Column:
+        kind = self.type.simpleString()
         if self.after is not None:
-            value = self.after()
-        elif self.derive is not None:
-            value = self.derive(df)
-        elif self.name in df.columns:
-            value = self.clean(F.col(self.name))
-        else:
-            value = F.lit(self.default)
-        return value.cast(self.type).alias(self.name)
+            return self.after().alias(self.name)
+        if self.derive is not None:
+            return self.derive(df).alias(self.name)
+        if self.name not in df.columns:
+            return F.lit(self.default).cast(kind).alias(self.name)
+        if self.clean is as_is and df.schema[self.name].dataType == self.type:
+            return F.col(self.name)
+        return self.clean(F.col(self.name)).cast(kind).alias(self.name)
 
 
 @dataclass(frozen=True)
@@ -82,7 +83,7 @@ def _text(*names: str) -> list[Field]:
     return [Field(name, T.StringType()) for name in names]
 
 
-LOADED = Field("ingestion_timestamp", T.TimestampType(), clean=lambda c: c)
+LOADED = Field("ingestion_timestamp", T.TimestampType())
 
 CUSTOMERS = TableSpec(
     name="customers",
@@ -150,7 +151,7 @@ TRANSACTIONS = TableSpec(
         Field("currency", T.StringType(), fn.currency, default=HOME_CURRENCY),
         *_text("merchant_category", "merchant_subcategory", "channel"),
         Field("location_province", T.StringType(), derive=_event_province),
-        Field("dq_flag", T.StringType(), derive=lambda df: F.lit(None)),
+        Field("dq_flag", T.StringType(), derive=lambda df: F.lit(None).cast("string")),
         LOADED,
     ],
     newest_first=("transaction_timestamp", "ingestion_timestamp"),
