@@ -39,20 +39,16 @@ def picked(values: tuple[str | None, ...], index: str) -> str:
     return f"get(array({listed}), cast({index} % {len(values)} as int))"
 
 
-def iso(day: str) -> str:
-    return f"string({day})"
+def slashed(iso: str) -> str:
+    return f"substr({iso}, 9, 2) || '/' || substr({iso}, 6, 2) || '/' || substr({iso}, 1, 4)"
 
 
-def slashed(day: str) -> str:
-    return f"substr({day}, 9, 2) || '/' || substr({day}, 6, 2) || '/' || substr({day}, 1, 4)"
+def epoch_seconds(iso: str) -> str:
+    return f"string(unix_date(date({iso})) * 86400L)"
 
 
-def epoch_seconds(day: str) -> str:
-    return f"string(unix_date({day}) * 86400L)"
-
-
-def has_ten_digits(day: str) -> str:
-    return f"{day} >= date'2001-09-09'"
+def has_ten_digits(iso: str) -> str:
+    return f"{iso} >= '2001-09-09'"
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,7 +57,7 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "*",
         "c_custkey as k",
         "'C' || (c_custkey - if(c_custkey % 40 = 0 and c_custkey > 0, 1, 0)) as shared",
-        "date_add(date'1940-01-01', int(c_custkey * 37 % 28000)) as born",
+        "string(date_add(date'1940-01-01', int(c_custkey * 37 % 28000))) as born",
     )
     return keyed.selectExpr(
         """case when k % 101 = 0 then null when k % 97 = 0 then '  '
@@ -73,8 +69,8 @@ def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
                  when k % 8 = 2 and {has_ten_digits("born")} then {epoch_seconds("born")}
                  when k % 8 = 6 and {has_ten_digits("born")} then {epoch_seconds("born")} || '123'
                  when k % 8 = 3 then 'unknown'
-                 when k % 8 = 7 then ' ' || {iso("born")} || ' '
-                 else {iso("born")} end as dob""",
+                 when k % 8 = 7 then ' ' || born || ' '
+                 else born end as dob""",
         f"{picked(('F', 'M', 'X'), 'k')} as gender",
         f"{picked(PROVINCE_SPELLINGS, 'c_nationkey')} as province",
         "case when c_acctbal < 0 then 'LOW' when c_acctbal < 5000 then 'MID' else 'HIGH' end as income_band",
@@ -101,19 +97,19 @@ def raw_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"{picked(('SAVINGS', 'CHEQUE', 'CREDIT', 'LOAN'), 'k')} as account_type",
         "o_orderstatus as account_status",
         f"""case when k % 30 = 2 then date_format(opened, 'yyyy.MM.dd')
-                 when k % 3 = 1 then {slashed("opened")} else {iso("opened")} end as open_date""",
+                 when k % 3 = 1 then {slashed("string(opened)")} else string(opened) end as open_date""",
         "o_orderpriority as product_tier",
         "'082' || k as mobile_number",
         f"{picked(('APP', 'WEB', None), 'k')} as digital_channel",
         "case when k % 19 = 0 then 'n/a' else money end as credit_limit",
         "case when k % 17 = 0 then '1,000' else money end as current_balance",
-        f"case when k % 6 <> 0 then {iso('date_add(opened, int(k % 400))')} end as last_activity_date",
+        "case when k % 6 <> 0 then string(date_add(opened, int(k % 400))) end as last_activity_date",
     )
 
 
 def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = table(spark, sf_dir, "lineitem").selectExpr(
-        "*", "l_partkey as p", "l_suppkey as s", "'A' || l_orderkey as account", "to_date(l_shipdate) as day"
+        "*", "l_partkey as p", "l_suppkey as s", "'A' || l_orderkey as account", "string(to_date(l_shipdate)) as day"
     )
     return keyed.selectExpr(
         """case when p % 50 = 0 then null when p % 50 = 1 then '  '
@@ -123,8 +119,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                  when p % 44 = 7 then null
                  when p % 4 = 1 then {slashed("day")}
                  when p % 4 = 2 and {has_ten_digits("day")} then {epoch_seconds("day")}
-                 when p % 4 = 2 then ' ' || {iso("day")}
-                 else {iso("day")} end as transaction_date""",
+                 when p % 4 = 2 then ' ' || day
+                 else day end as transaction_date""",
         """case when p % 5 = 0 then null when p % 53 = 1 then '9:00'
                 else lpad(p % 24, 2, '0') || ':' || lpad(p * 7 % 60, 2, '0')
                      || ':' || lpad(p * 13 % 60, 2, '0') end as transaction_time""",

@@ -15,8 +15,8 @@ def trimmed_key(value: Column) -> Column:
 
 
 def is_present(key: Column) -> Column:
-    """True for keys that are neither NULL nor blank."""
-    return key.isNotNull() & (F.trim(key.cast("string")) != F.lit(""))
+    """True for keys that are not blank, NULL for NULL keys: ``where`` keeps the former."""
+    return F.trim(key.cast("string")) != F.lit("")
 
 
 def surrogate_key(*parts: Column) -> Column:
