@@ -372,7 +372,7 @@ def test_json_lines_with_a_schema_need_no_discovery(spark, tmp_path):
     assert set(discovered.columns) == {"a", "s", "_corrupt_record"}
 
 
-def test_scratch_folder_is_below_the_shared_folder(spark):
+def test_scratch_folder_is_below_the_shared_folder():
     def session(**settings):
         return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: settings.get(name, default)))
 
@@ -382,7 +382,7 @@ def test_scratch_folder_is_below_the_shared_folder(spark):
     assert one != two
     with pytest.raises(ValueError, match="share"):
         sources.scratch_folder(session(**{"spark.master": "yarn"}), "x")
-    assert Path(sources.scratch_folder(spark, "x")).exists()
+    assert Path(sources.scratch_folder(session(**{"spark.master": "local[2]"}), "x")).exists()
 
 
 def test_command_line_help():
