@@ -536,21 +536,23 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- data quality -----------------------------------------------------------------------
 
 
-def _issue_counts(g: Layered) -> DataFrame:
+def _issue_counts(g: Layered) -> dict[str, DataFrame]:
+    """One row of issue counts per table."""
     sources = {"customers": g.raw_customers, "accounts": g.raw_accounts, "transactions": g.raw_transactions}
-    counted = [
-        issues.as_code_rows(issues.table_issue_counts(silver.prepare(sources[name], spec), spec)).select(
-            F.lit(name).alias("table_name"), "issue_code", "record_count"
-        )
-        for name, spec in SPECS.items()
-    ]
-    return reduce(DataFrame.unionByName, counted)
+    return {
+        name: issues.table_issue_counts(silver.prepare(sources[name], spec), spec) for name, spec in SPECS.items()
+    }
 
 
 def _one_code(code: str) -> Query:
+    """Counts of one code; Spark drops the counters of the other codes from the plan."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        counts = _issue_counts(Layered(spark, sf_dir)).where(F.col("issue_code") == code)
-        return counts.select("table_name", "record_count")
+        counted = [
+            counts.select(F.lit(name).alias("table_name"), F.col(code).alias("record_count"))
+            for name, counts in _issue_counts(Layered(spark, sf_dir)).items()
+        ]
+        return reduce(DataFrame.unionByName, counted)
 
     return query
 
@@ -572,8 +574,8 @@ def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     orphans = gold.orphaned_transactions(g.silver_transactions, g.accounts).select(
         F.lit("ORPHANED_ACCOUNT").alias("issue_code"), F.col("orphan_count").alias("record_count")
     )
-    counts = _issue_counts(g).drop("table_name").unionByName(orphans)
-    return issues.issue_summary(counts)
+    counts = [issues.as_code_rows(counts) for counts in _issue_counts(g).values()]
+    return issues.issue_summary(reduce(DataFrame.unionByName, [*counts, orphans]))
 
 
 @registered("sample_records")
