@@ -152,7 +152,7 @@ CTES["raw_transactions"] = f"""
          ELSE strftime(ship, '%Y-%m-%d') END AS transaction_date,
     CASE WHEN p % 5 = 0 THEN NULL WHEN p % 53 = 1 THEN '9:00'
          ELSE lpad(CAST(p % 24 AS VARCHAR), 2, '0') || ':' || lpad(CAST(p * 7 % 60 AS VARCHAR), 2, '0')
-              || ':' || lpad(CAST(p * 13 % 60 AS VARCHAR), 2, '0') END AS transaction_time,
+              || ':30' END AS transaction_time,
     {chosen(TYPE_TEXTS, "p", 13)} AS transaction_type,
     {chosen("['GROCERY','FUEL','TRAVEL',NULL]", "s", 4)} AS merchant_category,
     l_returnflag AS merchant_subcategory,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from operator import add, or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,51 +15,48 @@ from silverline.functions.times import flexible_date
 from silverline.spec import TableSpec
 
 
-def _filled(value: Column) -> Column:
-    return value.isNotNull() & (F.trim(value.cast("string")) != F.lit(""))
-
-
 def _unreadable(value: Column, parsed: Column) -> Column:
-    """1 when there is a value and it could not be read, else 0."""
-    return (_filled(value) & parsed.isNull()).cast("bigint")
-
-
-def _sum(terms: list[Column]) -> Column:
-    return reduce(lambda a, b: a + b, terms, F.lit(0).cast("bigint"))
+    """True when there is a value and it could not be read; not true otherwise."""
+    return (F.trim(value.cast("string")) != F.lit("")) & parsed.isNull()
 
 
-def type_mismatches(prepared: DataFrame, spec: TableSpec) -> Column:
-    """Number of numeric values of the row that are present but unreadable."""
-    return _sum(
-        [
-            _unreadable(F.col(name), read(F.col(name)))
-            for name, read in spec.numbers.items()
-            if name in prepared.columns
-        ]
-    )
+def unreadable_numbers(prepared: DataFrame, spec: TableSpec) -> list[Column]:
+    """One test per numeric column: present but no number of the wanted type."""
+    return [
+        _unreadable(F.col(name), read(F.col(name)))
+        for name, read in spec.numbers.items()
+        if name in prepared.columns
+    ]
 
 
-def date_mismatches(prepared: DataFrame, spec: TableSpec) -> Column:
-    """Number of dates of the row that are present but in no supported format."""
+def unreadable_dates(prepared: DataFrame, spec: TableSpec) -> list[Column]:
+    """One test per date column: present but in no supported format."""
     picked = [next((n for n in names if n in prepared.columns), None) for names in spec.dates]
-    return _sum([_unreadable(F.col(n), flexible_date(F.col(n))) for n in picked if n is not None])
+    return [_unreadable(F.col(n), flexible_date(F.col(n))) for n in picked if n is not None]
 
 
-def currency_variant(prepared: DataFrame, spec: TableSpec) -> Column:
-    """1 when the home currency is spelled otherwise than by its code, else 0."""
+def currency_variants(prepared: DataFrame, spec: TableSpec) -> list[Column]:
+    """At most one test: the home currency, spelled otherwise than by its code."""
     if spec.currency is None or spec.currency not in prepared.columns:
-        return F.lit(0).cast("bigint")
+        return []
     raw = F.col(spec.currency)
-    variant = (raw != F.lit(HOME_CURRENCY)) & (fn.currency(raw) == F.lit(HOME_CURRENCY))
-    return F.coalesce(variant, F.lit(False)).cast("bigint")
+    return [(raw != F.lit(HOME_CURRENCY)) & (fn.currency(raw) == F.lit(HOME_CURRENCY))]
+
+
+def _hits(tests: list[Column]) -> Column:
+    """How many of the tests are true for a row."""
+    return reduce(add, [F.when(test, 1).otherwise(0) for test in tests], F.lit(0))
 
 
 def row_issue(prepared: DataFrame, spec: TableSpec) -> Column:
     """First issue code of a row: currency, then type, then date; NULL if clean."""
-    return (
-        F.when(currency_variant(prepared, spec) > 0, "CURRENCY_VARIANT")
-        .when(type_mismatches(prepared, spec) > 0, "TYPE_MISMATCH")
-        .when(date_mismatches(prepared, spec) > 0, "DATE_FORMAT")
+    tests = {
+        "CURRENCY_VARIANT": currency_variants(prepared, spec),
+        "TYPE_MISMATCH": unreadable_numbers(prepared, spec),
+        "DATE_FORMAT": unreadable_dates(prepared, spec),
+    }
+    return F.coalesce(
+        *[F.when(reduce(or_, found), code) for code, found in tests.items() if found], F.lit(None).cast("string")
     )
 
 
@@ -70,9 +68,9 @@ def table_issue_counts(prepared: DataFrame, spec: TableSpec) -> DataFrame:
     """
     per_key = prepared.groupBy(fn.trimmed_key(F.col(spec.key)).alias("_key")).agg(
         F.count(F.lit(1)).alias("rows"),
-        F.sum(type_mismatches(prepared, spec)).alias("types"),
-        F.sum(date_mismatches(prepared, spec)).alias("dates"),
-        F.sum(currency_variant(prepared, spec)).alias("currencies"),
+        F.sum(_hits(unreadable_numbers(prepared, spec))).alias("types"),
+        F.sum(_hits(unreadable_dates(prepared, spec))).alias("dates"),
+        F.sum(_hits(currency_variants(prepared, spec))).alias("currencies"),
     )
     present = is_present(F.col("_key"))
     totals = {
