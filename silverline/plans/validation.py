@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silverline.fixed_values import PROVINCES, TRANSACTION_TYPES
@@ -59,41 +59,39 @@ HEALTHY = {
 Tables = Mapping[str, DataFrame | None]
 
 
-def _row(group: str, name: str, value: Column) -> Column:
-    return F.struct(
-        F.lit(group).alias("check_group"), F.lit(name).alias("check_name"), value.cast("double").alias("value")
-    )
+# A check row before it is judged: group, name and the SQL of its value.
+Row = tuple[str, str, str]
 
 
-def _rows(df: DataFrame, rows: list[Column]) -> DataFrame:
+def _rows(df: DataFrame, rows: Sequence[Row]) -> DataFrame:
     """Turn a one-row table of figures into check rows."""
-    return df.select(F.inline(F.array(*rows)))
+    structs = [
+        f"named_struct('check_group', '{group}', 'check_name', '{name}', 'value', double({value}))"
+        for group, name, value in rows
+    ]
+    return df.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def _profile_rows(name: str, tables: Tables) -> DataFrame:
     checked = CHECKED[name]
     profile = table_profile(tables[name], checked.key, checked.not_null, checked.amount)
-    count = F.col("rows")
-    rows = [_row("row_counts", name, count)]
+    rows = [("row_counts", name, "rows")]
     if checked.key is not None:
-        rows.append(_row("duplicates", f"{name}_duplicate_{checked.key}", F.col("duplicates")))
-    rows += [
-        _row("null_critical_keys", f"{name}_null_{column}", F.col(f"nulls_{column}"))
-        for column in checked.not_null
-    ]
+        rows.append(("duplicates", f"{name}_duplicate_{checked.key}", "duplicates"))
+    rows += [("null_critical_keys", f"{name}_null_{c}", f"nulls_{c}") for c in checked.not_null]
     if "amount_total" in profile.columns:
-        rows.append(_row("amount_summary", "transaction_count", count))
+        rows.append(("amount_summary", "transaction_count", "rows"))
         rows += [
-            _row("amount_summary", f"{figure}_amount", F.col(f"amount_{figure}"))
+            ("amount_summary", f"{figure}_amount", f"amount_{figure}")
             for figure in ("total", "average", "minimum", "maximum")
         ]
     # Each side of a difference contributes its part; the parts are added below.
     for label, (minuend, subtrahend) in RECONCILED.items():
         if tables.get(minuend) is not None and tables.get(subtrahend) is not None:
             if name == minuend:
-                rows.append(_row("reconciliation", label, count))
+                rows.append(("reconciliation", label, "rows"))
             elif name == subtrahend:
-                rows.append(_row("reconciliation", label, -count))
+                rows.append(("reconciliation", label, "-rows"))
     return _rows(profile, rows)
 
 
@@ -176,7 +174,7 @@ def _cross_table_rows(tables: Tables, hot_customers: DataFrame | None) -> list[D
     checks = [
         _rows(
             foreign_key_gaps(child, parent, key, ignore_null),
-            [_row("referential_integrity", name, F.col("orphan_keys"))],
+            [("referential_integrity", name, "orphan_keys")],
         )
         for name, child, parent, key, ignore_null in links
         if child is not None and parent is not None
@@ -187,16 +185,11 @@ def _cross_table_rows(tables: Tables, hot_customers: DataFrame | None) -> list[D
     if accounts is not None and customers is not None:
         domains.append(("province", province_domain(accounts, customers, hot_customers)))
         unlinked = unlinked_accounts(accounts, customers)
-        checks.append(
-            _rows(unlinked, [_row("unlinked_accounts", "unlinked_accounts", F.col("unlinked_accounts"))])
-        )
+        checks.append(_rows(unlinked, [("unlinked_accounts", "unlinked_accounts", "unlinked_accounts")]))
     for domain, verdicts in domains:
-        wrong = verdicts.agg(
-            *[F.count_if(F.col("verdict") == v).alias(v) for v in ("missing", "unexpected")]
-        )
-        checks.append(
-            _rows(wrong, [_row("domains", f"{domain}_{v}_values", F.col(v)) for v in ("missing", "unexpected")])
-        )
+        kinds = ("missing", "unexpected")
+        wrong = verdicts.agg(*[F.count_if(F.col("verdict") == kind).alias(kind) for kind in kinds])
+        checks.append(_rows(wrong, [("domains", f"{domain}_{kind}_values", kind) for kind in kinds]))
     return checks
 
 
