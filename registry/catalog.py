@@ -36,7 +36,7 @@ from silverline.sources import (
     write_json,
     write_table,
 )
-from silverline.spec import ACCOUNTS, CUSTOMERS, SPECS, TRANSACTIONS
+from silverline.spec import ACCOUNTS, SPECS, TRANSACTIONS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
