@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm import quality, sharding, urls
+from silverline.llm import packing, quality, sharding, token_files, urls
 from silverline.llm.shared import cut
+from silverline.sources import scratch_folder
 
 SHARDS = 24
+TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 # host, path, verdict of the url rules of the query.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -38,6 +40,37 @@ def op1_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where the machine keeps a public tokenizer's file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def ids_crc32() -> Column:
+    return F.crc32("ids").alias("ids_crc32")
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    path = scratch_folder(spark, "token-files")
+    token_files.write_token_files(docs, path, tokenizer_path(), END_ID)
+    return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", ids_crc32())
+
+
+def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, tokenizer_path(), END_ID).select(
+        "doc_id",
+        "piece",
+        "start",
+        (F.octet_length("ids") / 4).cast("long").alias("length"),
+        ids_crc32(),
+        "sequence_id",
+        "offset",
+    )
+
+
 def op6_certified_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     measured = cut(quality.measured(docs).drop("text"))
@@ -55,6 +88,8 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_interleaved_shards": op1_interleaved_shards,
+    "op2_token_files": op2_token_files,
+    "op5_vector_packing": op5_vector_packing,
     "op6_certified_quality": op6_certified_quality,
     "op8_url_rules": op8_url_rules,
 }
