@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm import packing, quality, sharding, token_files, urls
+from silverline.llm import decontaminate, packing, quality, sharding, token_files, urls
 from silverline.llm.shared import cut
 from silverline.sources import scratch_folder
 
@@ -58,6 +58,19 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", ids_crc32())
 
 
+def op4_benchmark_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, tokenizer_path(), END_ID).select(
@@ -89,6 +102,7 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_interleaved_shards": op1_interleaved_shards,
     "op2_token_files": op2_token_files,
+    "op4_benchmark_automaton": op4_benchmark_automaton,
     "op5_vector_packing": op5_vector_packing,
     "op6_certified_quality": op6_certified_quality,
     "op8_url_rules": op8_url_rules,
