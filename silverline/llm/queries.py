@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm import decontaminate, packing, quality, sharding, token_files, urls
+from silverline.llm import decontaminate, packing, quality, sharding, simhash, token_files, urls
 from silverline.llm.shared import cut
 from silverline.sources import scratch_folder
 
@@ -91,6 +91,13 @@ def op6_certified_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(measured, cutoffs).drop("lang")
 
 
+def op7_pivot_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select(
+        "doc_id", simhash.hex_fingerprint().alias("fingerprint"), "component_id"
+    )
+
+
 def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     # As SQL values, so that Spark knows the size of the table of rules.
@@ -105,5 +112,6 @@ QUERIES = {
     "op4_benchmark_automaton": op4_benchmark_automaton,
     "op5_vector_packing": op5_vector_packing,
     "op6_certified_quality": op6_certified_quality,
+    "op7_pivot_simhash": op7_pivot_simhash,
     "op8_url_rules": op8_url_rules,
 }
