@@ -58,7 +58,7 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     in proportion to its length.
     """
     docs = without(docs, *MEASURES, "base_failed")
-    words, lines, hashes, windows = free_names(docs, "_words", "_lines", "_hashes", "_windows")
+    words, lines = free_names(docs, "_words", "_lines")
     body = F.coalesce(F.col(text), F.lit(""))
     split = docs.select(
         "*",
@@ -66,41 +66,43 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
         F.filter(F.split(body, "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")).alias(lines),
         F.length(F.regexp_replace(body, r"[^#*$%&|<>]+", "")).cast("long").alias("n_symbols"),
     )
-    hashed = split.select(
-        "*",
-        F.transform(words, lambda w: F.xxhash64(w)).alias(hashes),
+    measures = F.struct(
         F.size(words).cast("long").alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
+        F.col("n_symbols"),
         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
+        F.expr(_repeat_words(words)).alias("n_repeat_words"),
     )
-    windowed = hashed.withColumn(
-        windows,
-        F.expr(
-            f"if(n_words < {WINDOW}, cast(array() as array<bigint>),"
-            f" transform(sequence(1, cast(n_words as int) - {WINDOW - 1}), i -> xxhash64(slice(`{hashes}`, i, {WINDOW}))))"
-        ),
-    )
-    # Equal windows have equal hashes, so only texts with a repeated hash are looked at again, by the words.
-    # transform(array(x), s -> ...)[0] gives x a name, so that it is computed once.
-    repeated = f"""
-        transform(array(sort_array(transform(sequence(0, cast(n_words as int) - {WINDOW}),
-            i -> struct(array_join(slice(`{words}`, i + 1, {WINDOW}), ' ') as w, i as at)))), s ->
-        transform(array(zip_with(s, slice(s, 2, size(s)), (a, b) -> coalesce(a.w = b.w, false))), same ->
-        transform(array(sort_array(filter(
-            zip_with(s, zip_with(same, concat(array(false), same), (a, b) -> coalesce(a, false) or b),
-                (x, twice) -> if(twice, x.at, null)), p -> p is not null))), at ->
-        aggregate(zip_with(at, slice(at, 2, size(at)), (a, b) -> least({WINDOW}, coalesce(b - a, {WINDOW}))),
-            0, (sum, x) -> sum + x))[0])[0])[0]"""
-    counted = windowed.withColumn(
-        "n_repeat_words",
-        F.expr(f"cast(if(size(array_distinct(`{windows}`)) < size(`{windows}`), {repeated}, 0) as bigint)"),
-    )
+    # A generator of one row, so that a filter above never computes the measures a second time.
+    counted = split.select(*docs.columns, F.inline(F.array(measures)))
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
     return counted.select(*docs.columns, *MEASURES, failed.alias("base_failed"))
 
 
+def _let(name: str, value: str, body: str) -> str:
+    """SQL for ``body`` with ``value`` computed once and called ``name``."""
+    return f"transform(array({value}), {name} -> {body})[0]"
+
+
+def _repeat_words(words: str) -> str:
+    """SQL for the number of words in windows that occur twice or more.
+
+    Equal windows have equal hashes, so only texts with a repeated hash are looked at again, by the words.
+    """
+    hashes = f"transform(sequence(1, size(h) - {WINDOW - 1}), i -> xxhash64(slice(h, i, {WINDOW})))"
+    suspect = _let("h", "transform(w, x -> xxhash64(x))", _let("g", hashes, "size(array_distinct(g)) < size(g)"))
+    windows = f"transform(sequence(0, size(w) - {WINDOW}), i -> struct(array_join(slice(w, i + 1, {WINDOW}), ' ') as text, i as at))"
+    # In the order of their text, a window is repeated if it equals the one before or after it.
+    as_next = "zip_with(s, slice(s, 2, size(s)), (a, b) -> coalesce(a.text = b.text, false))"
+    twice = "zip_with(e, concat(array(false), e), (a, b) -> coalesce(a, false) or b)"
+    places = f"array_compact(zip_with(s, {twice}, (x, t) -> if(t, x.at, null)))"
+    covered = f"aggregate(zip_with(p, slice(p, 2, size(p)), (a, b) -> least({WINDOW}, coalesce(b - a, {WINDOW}))), 0, (n, x) -> n + x)"
+    exact = _let("s", f"sort_array({windows})", _let("e", as_next, _let("p", f"sort_array({places})", covered)))
+    return _let("w", f"`{words}`", f"cast(if(size(w) < {WINDOW}, 0, if({suspect}, {exact}, 0)) as bigint)")
+
+
 def _level(rule: Rule) -> Column:
     """How many cutoffs of the rule the document exceeds; 0 for a document without words."""
     beyond = " + ".join(f"if({rule.measure} > {c}D, 1, 0)" for c in rule.cutoffs)

@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverline.llm import decontaminate, packing, quality, sharding, simhash, token_files, urls
+import corpus_pipeline
+from silverline.llm import decontaminate, langid, packing, quality, sharding, simhash, token_files, tokens, urls
 from silverline.llm.shared import cut
 from silverline.sources import scratch_folder
 
 SHARDS = 24
-TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 # host, path, verdict of the url rules of the query.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -40,13 +40,6 @@ def op1_interleaved_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    """Where the machine keeps a public tokenizer's file."""
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def ids_crc32() -> Column:
     return F.crc32("ids").alias("ids_crc32")
 
@@ -54,7 +47,7 @@ def ids_crc32() -> Column:
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     path = scratch_folder(spark, "token-files")
-    token_files.write_token_files(docs, path, tokenizer_path(), END_ID)
+    token_files.write_token_files(docs, path, tokens.public_path(), tokens.END_ID)
     return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", ids_crc32())
 
 
@@ -73,7 +66,7 @@ def op4_benchmark_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack(docs, tokenizer_path(), END_ID).select(
+    return packing.pack(docs, tokens.public_path(), tokens.END_ID).select(
         "doc_id",
         "piece",
         "start",
@@ -106,6 +99,20 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(pages, rules).drop("url")
 
 
+def op10_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    fold = langid.fold(F.col("doc_id"))
+    model = langid.learn(docs.where(fold != 0))
+    predicted = langid.identify(docs.select("doc_id", "text"), model)
+    return predicted.select(
+        "doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "lang_pred", "score", "ambiguous"
+    )
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_interleaved_shards": op1_interleaved_shards,
     "op2_token_files": op2_token_files,
@@ -114,4 +121,6 @@ QUERIES = {
     "op6_certified_quality": op6_certified_quality,
     "op7_pivot_simhash": op7_pivot_simhash,
     "op8_url_rules": op8_url_rules,
+    "op10_output_codes": op10_output_codes,
+    "pipeline": pipeline,
 }

@@ -15,6 +15,8 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
+# The public tokenizer of the registered queries, and the id that ends a document there.
+TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 # Entries of one generation of the table of pieces, two of which are kept; longer pieces are not kept.
 TABLE, PIECE = 450_000, 32
 # Characters of the texts that are encoded together.
@@ -40,6 +42,13 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
+def public_path(name: str = TOKENIZER) -> str:
+    """Where a machine keeps the file of a public tokenizer."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 class Encoder:
     """Encodes texts to ids as little-endian unsigned 32-bit integers."""
 
