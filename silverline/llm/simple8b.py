@@ -3,7 +3,7 @@
 A word holds a selector in its top four bits and one of these in the other sixty:
 
 * selector 1 to 14: ``COUNTS[s]`` ids of ``WIDTHS[s]`` bits each, the first in the lowest bits;
-* selector 0, an escape: a number ``k``; the next ``k`` words are ids of 64 bits as they are.
+* selector 0, an escape: the next word is one id of 64 bits as it is.
 
 Ids are cut into blocks of ``BLOCK`` ids. A block begins with a word of its own, and a table
 has the place of every block's first word: blocks can be read alone, and all words of one
@@ -28,66 +28,66 @@ ESCAPE = 0
 _HEAD = struct.Struct("<4sQII")
 
 
+def _widths(ids: np.ndarray) -> np.ndarray:
+    """Bits of every id. Above 2**53 the number may be one too high, which costs an escape at most."""
+    if len(ids) and int(ids.max()) < len(_WIDTH_OF):
+        return _WIDTH_OF[ids.astype(np.int64)]
+    return np.frexp(ids.astype(np.float64))[1].astype(np.uint8)
+
+
+_WIDTH_OF = np.frexp(np.arange(1 << 16, dtype=np.float64))[1].astype(np.uint8)
+
+
 def encode(ids: np.ndarray) -> bytes:
     """A frame of the ids (unsigned, up to 64 bits)."""
     ids = np.ascontiguousarray(ids, dtype="<u8")
     n = len(ids)
-    at = np.arange(n, dtype=np.int32)
-    ends = np.minimum((at // BLOCK + 1) * BLOCK, n).astype(np.int32)
-    # Selector and step if a word began here: the most ids that all fit. Room beyond the block's end fits anything.
-    selector = np.zeros(n, dtype=np.int8)
-    step = np.zeros(n, dtype=np.int32)
-    largest = int(ids.max()) if n else 0
-    small = ids.astype(np.uint32) if largest < 1 << 32 else ids
-    for s in range(1, 15):
-        limit = 1 << int(WIDTHS[s])
-        if largest < limit:  # fits wherever nothing denser did
-            rest = selector == 0
-            selector[rest], step[rest] = s, COUNTS[s]
+    blocks = -(-n // BLOCK)
+    # A block is a line; room beyond its end fits anything.
+    widths = np.zeros((blocks, BLOCK + 60), dtype=np.uint8)
+    lines = np.zeros(blocks * BLOCK, dtype=np.uint8)
+    lines[:n] = _widths(ids)
+    widths[:, :BLOCK] = lines.reshape(blocks, BLOCK)
+    # The selector if a word began here: the most ids that all fit. ``widest``: of the next k ids.
+    selector = np.full((blocks, BLOCK), ESCAPE, dtype=np.uint8)
+    widest, k = widths, 1
+    for s in range(14, 0, -1):
+        while k < COUNTS[s]:
+            widest = np.maximum(widest[:, :-1], widths[:, k:])
+            k += 1
+        fits = widest[:, :BLOCK] <= WIDTHS[s]
+        if not fits.any():
             break
-        narrow = np.flatnonzero(small < small.dtype.type(limit))
-        if len(narrow) < 1:
-            continue
-        breaks = np.flatnonzero(np.diff(narrow) != 1)
-        last = np.append(breaks, len(narrow) - 1)
-        run_end = np.repeat(narrow[last] + 1, np.diff(last, prepend=-1))
-        end = ends[narrow]
-        fits = narrow[np.minimum(run_end, end) >= np.minimum(narrow + COUNTS[s], end)]
-        fits = fits[selector[fits] == 0]
-        selector[fits], step[fits] = s, COUNTS[s]
-    # Ids that fit no selector: runs of them are escaped together.
-    huge = selector == 0
-    if huge.any():
-        following = np.append(np.where(huge, n, at), n)
-        following = np.minimum.accumulate(following[::-1])[::-1][:n]
-        step[huge] = (np.minimum(following, ends) - at)[huge]
-    after = np.minimum(at + step, ends).tolist()
-    starts, i = [], 0
-    while i < n:
-        starts.append(i)
-        i = after[i]
-    begin = np.array(starts, dtype=np.int64)
-    chosen = selector[begin].astype(np.int64)
-    taken = np.minimum(begin + step[begin], ends[begin]) - begin if n else begin
-    # Words: one for each start, and one more for each escaped id.
-    place = np.cumsum(np.where(chosen == ESCAPE, 1 + taken, 1)) - np.where(chosen == ESCAPE, 1 + taken, 1)
-    total = int(place[-1] + (1 + taken[-1] if chosen[-1] == ESCAPE else 1)) if n else 0
-    words = np.zeros(total, dtype="<u8")
+        np.copyto(selector, np.uint8(s), where=fits)
+    # All blocks walk from word to word together.
+    sizes = np.minimum(BLOCK, n - np.arange(blocks) * BLOCK)
+    steps = np.maximum(COUNTS, 1)
+    rows, at, walked = np.arange(blocks), np.zeros(blocks, dtype=np.int64), []
+    while (at < sizes).any():
+        walked.append(np.where(at < sizes, at, -1))
+        at = at + steps[selector[rows, np.minimum(at, BLOCK - 1)]]
+    places = np.stack(walked, axis=1) if walked else np.zeros((0, 0), dtype=np.int64)
+    row, turn = np.nonzero(places >= 0)
+    inside = places[row, turn]
+    begin = row * BLOCK + inside
+    chosen = selector[row, inside].astype(np.int64)
+    taken = np.minimum(steps[chosen], sizes[row] - inside)
+    length = np.where(chosen == ESCAPE, 2, 1)
+    place = np.cumsum(length) - length
+    words = np.zeros(int(length.sum()), dtype="<u8")
     padded = np.append(ids, np.zeros(60, dtype="<u8"))
     for s in np.unique(chosen):
         own = np.flatnonzero(chosen == s)
         if s == ESCAPE:
-            words[place[own]] = taken[own].astype("<u8")
-            for k in own:
-                words[place[k] + 1 : place[k] + 1 + taken[k]] = ids[begin[k] : begin[k] + taken[k]]
+            words[place[own] + 1] = ids[begin[own]]
             continue
         lanes = np.arange(COUNTS[s])
         values = padded[begin[own][:, None] + lanes]
         values[lanes >= taken[own][:, None]] = 0
         shifted = values << (lanes * WIDTHS[s]).astype("<u8")
         words[place[own]] = np.bitwise_or.reduce(shifted, axis=1) | np.uint64(int(s) << 60)
-    offsets = place[begin % BLOCK == 0].astype("<u4") if n else np.zeros(0, dtype="<u4")
-    return _HEAD.pack(MAGIC, n, len(offsets), total) + offsets.tobytes() + words.tobytes()
+    offsets = place[inside == 0].astype("<u4")
+    return _HEAD.pack(MAGIC, n, len(offsets), len(words)) + offsets.tobytes() + words.tobytes()
 
 
 def _parts(frame: bytes) -> tuple[int, np.ndarray, np.ndarray]:
@@ -106,12 +106,9 @@ def _unpack(words: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> np.ndarr
     selector = (words >> np.uint64(60)).astype(np.int64)
     raw = np.zeros(len(words), dtype=bool)
     # Escapes are rare, and what follows one is no selector: they are found in order.
-    possible = np.flatnonzero(selector == ESCAPE)
-    read = 0
-    for k in possible.tolist():
-        if k >= read:
-            read = k + 1 + int(words[k])
-            raw[k + 1 : read] = True
+    for k in np.flatnonzero(selector == ESCAPE).tolist():
+        if not raw[k]:
+            raw[k + 1] = True
     counts = np.where(raw, 1, COUNTS[selector])
     before = np.cumsum(counts) - counts
     block = np.searchsorted(first, np.arange(len(words)), side="right") - 1

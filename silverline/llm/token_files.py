@@ -21,7 +21,7 @@ from silverline.llm import simple8b
 from silverline.llm.tokens import encoder
 
 # Ids after which a frame is closed. A document is never divided between frames.
-FRAME_IDS = 65_536
+FRAME_IDS = 131_072
 FRAMES = "file int, frame int, n_ids long, doc_ids array<long>, lengths array<long>, coded binary"
 
 

@@ -2,8 +2,8 @@
 
 Byte-level BPE merges inside the pieces of its splitting pattern only, so the ids of a text
 are those of its pieces in order. A text is cut at places that are piece boundaries whatever
-stands around them, each distinct piece is encoded by the tokenizer once, and its ids are
-kept in a table of bounded size. Files of another kind are encoded text by text.
+stands around them, each distinct piece is encoded by the tokenizer once, and its ids are kept in
+a table of bounded size. Files of another kind are encoded text by text.
 """
 
 from __future__ import annotations
@@ -11,24 +11,25 @@ from __future__ import annotations
 import functools
 import json
 import re
+from array import array
 from collections.abc import Iterable, Iterator
-
-import numpy as np
+from itertools import chain, islice
 
 # The public tokenizer of the registered queries, and the id that ends a document there.
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
-# Entries of one generation of the table of pieces, two of which are kept; longer pieces are not kept.
-TABLE, PIECE = 450_000, 32
+# Entries of one generation of the table of pieces, and characters of its longest entries.
+PIECES, LONGEST = 500_000, 32
 # Characters of the texts that are encoded together.
 TOGETHER = 200_000
 
 _LETTER = "A-Za-zÀ-ÖØ-öø-ɏ"
 _MARK = r".,;:!?*$%&#|<>()"
-# Letters, marks, a single line end, or else anything up to the next sure boundary. Sure are: between
-# a character that is not white space and a blank or line end that is followed by one; between
-# a letter and a mark of the list (no apostrophe, which starts contractions); between a mark and a letter.
+# Letters with the blank before them, marks, a single line end, or else anything up to the next sure boundary.
+# Sure are: around letters that no other letter touches, whose token a blank before them always joins; between a character
+# that is not white space and a blank or line end that is followed by one; between a mark and a letter
+# (marks without the apostrophe, which starts contractions).
 _PIECES = re.compile(
-    rf"\n(?=\S)| ?[{_LETTER}]++(?=[ \n]\S|[{_MARK}]|\Z)|[{_MARK}]++(?=[ \n]\S|[A-Za-z]|\Z)"
+    rf" ?[{_LETTER}]++(?!\w)(?=[ \n]\S|[^\s]|\Z)|[{_MARK}]++(?=[ \n]\S|[A-Za-z]|\Z)|\n(?=\S)"
     r"|(?s:.+?)(?=(?<=\S)[ \n]\S|\Z)"
 )
 # A piece that the splitting pattern leaves whole: it goes straight to the tokenizer's merges.
@@ -49,6 +50,30 @@ def public_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+class _Table:
+    """A dictionary of bounded size: what was not asked for during a whole generation is forgotten."""
+
+    def __init__(self, entries: int, find):
+        self._entries, self._find = entries, find
+        self._new: dict[str, bytes] = {}
+        self._old: dict[str, bytes] = {}
+
+    def get(self, keys: list[str]) -> list[bytes]:
+        """The values of the keys in order; ``find`` gives those of new keys."""
+        new, old = self._new, self._old
+        unknown = set(keys).difference(new)
+        missing = [k for k in unknown if k not in old]
+        new.update((k, old[k]) for k in unknown if k in old)
+        new.update(zip(missing, self._find(missing), strict=True))
+        values = list(map(new.__getitem__, keys))
+        for key in missing:
+            if len(key) > LONGEST:
+                del new[key]
+        if len(new) > self._entries:
+            self._old, self._new = new, {}
+        return values
+
+
 class Encoder:
     """Encodes texts to ids as little-endian unsigned 32-bit integers."""
 
@@ -63,58 +88,43 @@ class Encoder:
             before.get("type") == "ByteLevel"
             and before.get("use_regex", True)
             and not before.get("add_prefix_space")
-            and not spec.get("normalizer")
-            and not spec.get("truncation")
-            and not spec.get("padding")
+            and not any(spec.get(part) for part in ("normalizer", "post_processor", "truncation", "padding"))
         )
         self._added = [t["content"] for t in spec.get("added_tokens", [])]
         self._model = self._tokenizer.model
         self._letters = _byte_letters()
-        self._new: dict[str, bytes] = {}
-        self._old: dict[str, bytes] = {}
+        self._pieces = _Table(PIECES, self._new_pieces)
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype="<u4").tobytes() for e in encoded]
+        encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
+        return [array("I", e.ids).tobytes() for e in encoded]
 
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces: of whole ones by the model alone, which is what the tokenizer would do with them."""
-        merge, letters = self._model.tokenize, self._letters
+    def _new_pieces(self, pieces: list[str]) -> list[bytes]:
+        """Whole pieces by the model alone, which is what the tokenizer would do with them."""
+        merge, letters, whole = self._model.tokenize, self._letters, _WHOLE.fullmatch
         ids: dict[str, bytes] = {}
         for piece in pieces:
-            if _WHOLE.fullmatch(piece):
-                found = merge(piece.encode().decode("latin-1").translate(letters))
-                ids[piece] = np.array([t.id for t in found], dtype="<u4").tobytes()
+            if whole(piece):
+                spelt = piece if piece.isascii() else piece.encode().decode("latin-1")
+                ids[piece] = array("I", [t.id for t in merge(spelt.translate(letters))]).tobytes()
         others = [p for p in pieces if p not in ids]
-        ids.update(zip(others, self._plain(others) if others else [], strict=True))
+        ids.update(zip(others, self._plain(others), strict=True))
         return [ids[p] for p in pieces]
 
+    def _cut(self, texts: list[str]) -> list[bytes]:
+        """Texts by their pieces."""
+        pieces = [_PIECES.findall(t) for t in texts]
+        ids = iter(self._pieces.get(list(chain.from_iterable(pieces))))
+        return [b"".join(islice(ids, len(own))) for own in pieces]
+
     def _some(self, texts: list[str]) -> list[bytes]:
         if not self._by_piece:
             return self._plain(texts)
-        whole = {i for i, t in enumerate(texts) if any(a in t for a in self._added)}
-        pieces = [[] if i in whole else _PIECES.findall(t) for i, t in enumerate(texts)]
-        new, old, extra = self._new, self._old, {}
-        unknown = list(set().union(*pieces) - new.keys())
-        if unknown:
-            missing = []
-            for piece in unknown:
-                ids = old.get(piece)
-                if ids is None:
-                    missing.append(piece)
-                else:
-                    new[piece] = ids
-            for piece, ids in zip(missing, self._pieces(missing), strict=True):
-                (new if len(piece) <= PIECE else extra)[piece] = ids
-        if extra:
-            table = {**extra}
-            out = [b"".join([table[p] if p in table else new[p] for p in own]) for own in pieces]
-        else:
-            out = [b"".join(map(new.__getitem__, own)) for own in pieces]
-        for i in whole:
-            out[i] = self._plain([texts[i]])[0]
-        if len(new) > TABLE:
-            self._old, self._new = new, {}
+        out = self._cut(texts)
+        # The strings of special tokens are matched before anything is cut.
+        special = [i for i, t in enumerate(texts) if any(a in t for a in self._added)]
+        for i, ids in zip(special, self._plain([texts[i] for i in special]), strict=True):
+            out[i] = ids
         return out
 
     def encode(self, texts: Iterable[str | None]) -> Iterator[bytes]:
