@@ -24,4 +24,38 @@ SELECT c.page_id, c.host, c.path, f.rule, coalesce(f.verdict, 'allow') AS verdic
 FROM cut c LEFT JOIN fits f ON f.row = c.row AND f.nth = 1
 """
 
-SQL = {"op8_url_rules": OP8}
+OP9 = """
+WITH turns AS (
+    SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
+    FROM conversations WHERE conv_id IS NOT NULL
+), talks AS (
+    SELECT conv_id, list({'role': role, 'text': text} ORDER BY turn, role, text) AS turns FROM turns GROUP BY conv_id
+), ranked AS (
+    SELECT conv_id, turns, turns[1] AS opening,
+        (row_number() OVER (PARTITION BY turns[1] ORDER BY conv_id) - 1) // 2 AS pair
+    FROM talks
+), pairs AS (
+    SELECT min(conv_id) AS chosen, CASE WHEN count(*) = 2 THEN max(conv_id) END AS rejected
+    FROM ranked GROUP BY opening, pair
+), sides AS (
+    SELECT p.chosen, p.rejected, a.turns AS mine, b.turns AS others
+    FROM pairs p JOIN talks a ON a.conv_id = p.chosen LEFT JOIN talks b ON b.conv_id = p.rejected
+), common AS (
+    SELECT *, coalesce(list_position(list_append(
+        [coalesce(mine[i] = others[i], false) FOR i IN range(1, len(mine) + 1)], false), false) - 1, 0) AS n
+    FROM sides
+), parts AS (
+    SELECT chosen, rejected, n, mine[1:n] AS shared, mine[n + 1:] AS first, others[n + 1:] AS second FROM common
+)
+SELECT chosen, rejected, CAST(n AS INTEGER) AS n_common,
+    array_to_string(['<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10) FOR t IN shared], '') AS prompt,
+    array_to_string(['<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10) FOR t IN first], '') AS chosen_text,
+    array_to_string(['<|' || t.role || '|>' || chr(10) || t.text || '<|end|>' || chr(10) FOR t IN second], '') AS rejected_text,
+    array_to_string([(length(t.role) + 5) || 'x0,' || (length(t.text) + 8) || 'x' || CASE WHEN t.role = 'assistant' THEN '1' ELSE '0' END FOR t IN first], ',') AS chosen_mask,
+    array_to_string([(length(t.role) + 5) || 'x0,' || (length(t.text) + 8) || 'x' || CASE WHEN t.role = 'assistant' THEN '1' ELSE '0' END FOR t IN second], ',') AS rejected_mask
+FROM parts
+"""
+
+SQL = {
+    "op9_preference_examples": OP9,
+    "op8_url_rules": OP8}

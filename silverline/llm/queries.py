@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from silverline.llm import decontaminate, langid, packing, quality, sharding, simhash, token_files, tokens, urls
+from silverline.llm import cotraining, decontaminate, langid, packing, preference, quality, sharding, simhash, token_files, tokens, urls
 from silverline.llm.shared import cut
 from silverline.sources import scratch_folder
 
@@ -51,6 +51,12 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(spark, path).select("doc_id", "start", "n_tokens", ids_crc32())
 
 
+def op3_cotrained_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    model = cotraining.learn(docs, table(spark, sf_dir, "labels"))
+    return cotraining.score(docs, model).select("doc_id", "text_score", "meta_score", "score", "keep")
+
+
 def op4_benchmark_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontaminate.find_contamination(docs, table(spark, sf_dir, "benchmark"))
@@ -99,6 +105,13 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(pages, rules).drop("url")
 
 
+def op9_preference_examples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    examples = preference.preference_examples(turns, preference.opening_pairs(turns))
+    masks = {c: preference.mask_text(c) for c in ("chosen_mask", "rejected_mask")}
+    return examples.withColumns(masks)
+
+
 def op10_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     fold = langid.fold(F.col("doc_id"))
@@ -116,11 +129,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_interleaved_shards": op1_interleaved_shards,
     "op2_token_files": op2_token_files,
+    "op3_cotrained_quality": op3_cotrained_quality,
     "op4_benchmark_automaton": op4_benchmark_automaton,
     "op5_vector_packing": op5_vector_packing,
     "op6_certified_quality": op6_certified_quality,
     "op7_pivot_simhash": op7_pivot_simhash,
     "op8_url_rules": op8_url_rules,
+    "op9_preference_examples": op9_preference_examples,
     "op10_output_codes": op10_output_codes,
     "pipeline": pipeline,
 }
