@@ -31,7 +31,7 @@ BUCKETS = 1 << BUCKET_BITS
 GRAMS = (2, 3, 4)
 PER_LANGUAGE = 2000
 # A codeword's score falls by e for each 1 / SHARPNESS of mean loss per bit; below AMBIGUOUS the best is not clear.
-SHARPNESS, AMBIGUOUS = 8.0, 0.55
+SHARPNESS, AMBIGUOUS = 8.0, 0.5
 UNKNOWN = "und"
 LETTER = re.compile(r"[^\W\d_]")
 # Bytes that are no ASCII letters or beyond ASCII separate words.

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from silverline.llm.tokens import encoder
 
-GROUP = 16_384  # pieces that one group packs together
+GROUP = 8192  # pieces that one group packs together
 PACKED = "doc_id long, piece int, start long, ids binary, sequence_id long, offset long"
 
 

@@ -18,7 +18,7 @@ from itertools import chain, islice
 # The public tokenizer of the registered queries, and the id that ends a document there.
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
 # Entries of one generation of the table of pieces, and characters of its longest entries.
-PIECES, LONGEST = 500_000, 32
+PIECES, LONGEST = 160_000, 32
 # Characters of the texts that are encoded together.
 TOGETHER = 200_000
 
