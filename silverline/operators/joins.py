@@ -5,27 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when one task would get more rows of it than this.
+# Rows of one key that a task should get at most.
 ROWS_PER_TASK = 1_000_000
-# Rows in the broadcast table of hot keys. Keys beyond it (each smaller than all
-# that are in it) are still joined, only unsalted.
-MAX_HOT_KEYS = 100_000
+# A key is hot when it has more than 1 / HOT_KEYS of all rows, so there are fewer hot keys than that.
+HOT_KEYS = 100_000
 
 
 def hot_keys(
-    df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, limit: int = MAX_HOT_KEYS
+    df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, most: int = HOT_KEYS
 ) -> DataFrame:
-    """The largest keys of ``df`` and the number of parts (``_parts``) each needs.
+    """The hot keys of ``df`` and the number of parts (``_parts``) each is split into.
 
-    Reads one column and is counted before the shuffle. The limit bounds the
-    result, so it may be broadcast whatever the size of ``df``.
+    A key is hot above ``max(rows_per_task, rows of df / most)`` rows. Every such key is
+    listed, and by arithmetic there are fewer than ``most`` of them, so the result may be
+    broadcast whatever the size of ``df``. A key that is not listed is either smaller than
+    a task or smaller than one of ``most`` equal tasks. Reads one column; rows are counted
+    per key before the shuffle, and nothing is sorted.
     """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return (
-        counts.where(F.col("_rows") > rows_per_task)
-        .orderBy(F.col("_rows").desc(), key)
-        .limit(limit)
-        .select(key, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_parts"))
+    known = df.select(key).where(F.col(key).isNotNull())
+    bound = known.agg(F.greatest(F.lit(rows_per_task), F.count(F.lit(1)) / most).alias("bound")).scalar()
+    counts = known.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return counts.where(F.col("_rows") > bound).select(
+        key, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_parts")
     )
 
 
@@ -69,12 +70,19 @@ def unmatched_keys(left: DataFrame, right: DataFrame, key: str, ignore_null: boo
     return keys.distinct().join(right.select(key).distinct(), key, "left_anti")
 
 
+def unmatched_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """One row: ``rows`` of ``left`` whose key ``right`` lacks (NULL included), and their distinct ``keys`` (NULL not)."""
+    per_key = left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    missing = per_key.join(right.select(key), key, "left_anti")
+    return missing.agg(
+        F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias("rows"), F.count(key).alias("keys")
+    )
+
+
 def unmatched_row_count(left: DataFrame, right: DataFrame, key: str, name: str) -> DataFrame:
     """One row: how many rows of ``left`` have a key that ``right`` lacks.
 
     Rows are counted per key before the join, so the join sees each key once
     and a hot key costs no more than any other.
     """
-    per_key = left.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    missing = per_key.join(right.select(key), key, "left_anti")
-    return missing.agg(F.coalesce(F.sum("_rows"), F.lit(0)).cast("bigint").alias(name))
+    return unmatched_counts(left, right, key).select(F.col("rows").alias(name))

@@ -136,7 +136,7 @@ def test_split_join_equals_plain_join(skewed, how):
     assert split.columns == plain.columns
     assert rows(split) == rows(plain)
     # Whatever is listed as hot, the result stays.
-    one = joins.hot_keys(left, "k", rows_per_task=10, limit=1)
+    one = joins.hot_keys(left, "k", rows_per_task=10).limit(1)
     assert rows(joins.lookup_join(left, lookup, "k", how, one, spread_by="id")) == rows(plain)
 
 
@@ -150,6 +150,21 @@ def test_hot_keys_are_split_into_even_parts(skewed):
     assert joins.hot_keys(left, "k").count() == 0
 
 
+def test_every_key_above_the_bound_is_hot(spark):
+    # Twenty keys of 50 rows, 400 keys of one: with a share of 1 / 40 the bound is 35 rows.
+    big = spark.range(1000).selectExpr("string(id % 20) as k", "id")
+    small = spark.range(400).selectExpr("'s' || id as k", "id + 5000 as id")
+    left = big.unionByName(small)
+    hot = joins.hot_keys(left, "k", rows_per_task=10, most=40)
+    assert rows(hot) == Counter((str(i), 5) for i in range(20))
+    assert joins.hot_keys(left, "k", rows_per_task=10, most=20).count() == 0  # 70 rows are a twentieth
+    lookup = left.select("k").distinct().selectExpr("k", "length(k) as v")
+    split = joins.lookup_join(left, lookup, "k", "inner", hot, spread_by="id")
+    assert rows(split) == rows(joins.lookup_join(left, lookup, "k"))
+    plan = hot._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "Limit" not in plan
+
+
 def test_split_join_needs_a_spread_column(skewed):
     left, lookup = skewed
     with pytest.raises(ValueError, match="spread_by"):
