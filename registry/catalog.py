@@ -7,7 +7,7 @@ differently. The library itself returns the native types.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from registry import lens
 from silverline import functions as fn
+from silverline.fixed_values import RECONCILED
 from silverline.operators.counts import amount_summary, duplicate_groups, null_counts, table_profile
 from silverline.operators.dedupe import distinct_values, latest_per_key, one_per_key, present_keys
 from silverline.operators.joins import hot_keys, lookup_join
@@ -115,19 +116,35 @@ class Layered:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return gold.fact_transactions(
-            self.silver_transactions, self.accounts, self.customers, self.hot_accounts, self.hot_customers
-        )
+        return gold.fact_transactions(self.silver_transactions, self.accounts, hot_accounts=self.hot_accounts)
+
+    def tables(self) -> dict[str, DataFrame]:
+        """All nine tables, none of them written."""
+        return {
+            "bronze_accounts": self.raw_accounts,
+            "bronze_customers": self.raw_customers,
+            "bronze_transactions": self.raw_transactions,
+            "silver_accounts": self.silver_accounts,
+            "silver_customers": self.silver_customers,
+            "silver_transactions": self.silver_transactions,
+            "gold_dim_accounts": self.accounts,
+            "gold_dim_customers": self.customers,
+            "gold_fact_transactions": self.fact,
+        }
+
 
+def rekeyed(df: DataFrame, key: str, sk: str, dangling: str) -> DataFrame:
+    """All rows, those that meet the condition under an id that nothing refers to."""
+    changed = df.withColumn(key, F.when(F.expr(dangling), F.concat(F.lit("X"), key)).otherwise(F.col(key)))
+    return changed.withColumn(sk, fn.surrogate_key(F.col(key)))
 
-def damaged(customers: DataFrame) -> DataFrame:
-    """Customers without every tenth, so that some references dangle."""
-    return customers.where(F.col("customer_id").substr(-1, 1) != "0")
 
+def rekeyed_customers(customers: DataFrame) -> DataFrame:
+    return rekeyed(customers, "customer_id", "customer_sk", "customer_id like '%0'")
 
-def damaged_accounts(accounts: DataFrame) -> DataFrame:
-    """Accounts without those of status P."""
-    return accounts.where(F.col("account_status") != "P")
+
+def rekeyed_accounts(accounts: DataFrame) -> DataFrame:
+    return rekeyed(accounts, "account_id", "account_sk", "account_status = 'P'")
 
 
 def without_keys(df: DataFrame) -> DataFrame:
@@ -160,7 +177,7 @@ def report_volume_by_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("report_unlinked_accounts")
 def report_unlinked_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = Layered(spark, sf_dir)
-    return reports.unlinked_accounts(g.accounts, damaged(g.customers))
+    return reports.unlinked_accounts(g.silver_accounts, g.customers)
 
 
 @registered("report_province_distribution")
@@ -264,7 +281,7 @@ def surrogate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Properties of the keys: none negative, none NULL, one per distinct id."""
     raw = lens.raw_customers(spark, sf_dir)
     per_id = raw.groupBy(fn.trimmed_key(F.col("customer_id")).alias("id")).agg(F.count(F.lit(1)).alias("rows"))
-    keyed = per_id.select("rows", fn.surrogate_key(F.coalesce("id", F.lit(""))).alias("sk"))
+    keyed = per_id.select("rows", fn.surrogate_key(F.col("id")).alias("sk"))
     per_key = keyed.groupBy("sk").agg(F.sum("rows").alias("rows"))
     return per_key.agg(
         F.sum("rows").cast("bigint").alias("n_rows"),
@@ -297,7 +314,7 @@ def dedupe_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("distinct_keys")
 def distinct_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per account and its rank among the distinct values of the other side."""
+    """One row per account with the least of its types, and one per distinct segment."""
     raw = lens.raw_accounts(spark, sf_dir)
     kept = one_per_key(raw.select(fn.trimmed_key(F.col("account_id")).alias("account_id"), "account_type"), "account_id")
     segments = distinct_values(lens.raw_customers(spark, sf_dir), "segment")
@@ -423,7 +440,7 @@ def silver_transactions_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("join_accounts_customers")
 def join_accounts_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = Layered(spark, sf_dir)
-    customers = damaged(g.silver_customers).select("customer_id")
+    customers = g.silver_customers.select("customer_id")
     joined = lookup_join(
         g.silver_accounts, customers, "customer_id", "left_semi", g.hot_customers, spread_by="account_id"
     )
@@ -445,37 +462,71 @@ def fact_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_keys(Layered(spark, sf_dir).fact)
 
 
+@registered("split_join")
+def split_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with the priority of their order, with tasks so small that keys of four rows are split."""
+    lines = lens.table(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey as k", "l_linenumber", "l_partkey", "l_orderkey || '-' || l_partkey as line"
+    )
+    lookup = one_per_key(lens.table(spark, sf_dir, "orders").selectExpr("o_orderkey as k", "o_orderpriority"), "k")
+    # As many hot keys as there can be keys: every key above the bound is split.
+    hot = hot_keys(lines, "k", rows_per_task=3, most=10**9)
+    joined = lookup_join(lines, lookup, "k", "inner", hot, spread_by="line")
+    counted = joined.join(hot.withColumnRenamed("_parts", "parts"), "k", "left")
+    return counted.groupBy("o_orderpriority", F.coalesce("parts", F.lit(1)).alias("parts")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum("l_partkey").alias("sum_partkey"), F.sum("l_linenumber").alias("sum_line")
+    )
+
+
+@registered("key_counts")
+def key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct hashed keys of the gold tables: as many as distinct ids."""
+    g = Layered(spark, sf_dir)
+    keys = {
+        "dim_customers": (g.customers, ("customer_sk",)),
+        "dim_accounts": (g.accounts, ("account_sk",)),
+        "fact_transactions": (g.fact, ("transaction_sk", "account_sk", "customer_sk")),
+    }
+    counted = [
+        distinct_values(df, key).agg(F.count(key).alias("n")).select(
+            F.lit(name).alias("table_name"), F.lit(key).alias("key"), "n"
+        )
+        for name, (df, listed) in keys.items()
+        for key in listed
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
 # --- integrity and counts ----------------------------------------------------------------
 
 
 @registered("orphaned_transactions")
 def orphaned_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = Layered(spark, sf_dir)
-    return gold.orphaned_transactions(g.silver_transactions, damaged_accounts(g.accounts))
+    return gold.orphaned_transactions(g.silver_transactions, g.accounts)
 
 
 @registered("ri_fact_account")
 def ri_fact_account(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = Layered(spark, sf_dir)
-    return validation.foreign_key_gaps(g.fact, damaged_accounts(g.accounts), "account_sk")
+    return validation.foreign_key_gaps(g.fact, rekeyed_accounts(g.accounts), "account_sk")
 
 
 @registered("ri_fact_customer")
 def ri_fact_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = Layered(spark, sf_dir)
-    return validation.foreign_key_gaps(g.fact, damaged(g.customers), "customer_sk")
+    return validation.foreign_key_gaps(g.fact, rekeyed_customers(g.customers), "customer_sk")
 
 
 @registered("ri_account_customer")
 def ri_account_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = Layered(spark, sf_dir)
-    return validation.foreign_key_gaps(g.silver_accounts, damaged(g.customers), "customer_id", ignore_null=True)
+    return validation.foreign_key_gaps(g.silver_accounts, g.customers, "customer_id", ignore_null=True)
 
 
 @registered("row_counts")
 def row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layout = written_layers(spark, sf_dir)
-    return validation.row_counts({n: read_table(spark, path) for n, path in layout.paths().items()})
+    return validation.row_counts(Layered(spark, sf_dir).tables())
 
 
 @registered("null_counts")
@@ -515,8 +566,8 @@ def transaction_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered("reconciliation")
 def reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    layout = written_layers(spark, sf_dir)
-    tables = {n: read_table(spark, path) for n, path in layout.paths().items()}
+    compared = {name for pair in RECONCILED.values() for name in pair}
+    tables = {n: t for n, t in Layered(spark, sf_dir).tables().items() if n in compared}
     return validation.reconciliation(validation.row_counts(tables))
 
 
@@ -528,6 +579,15 @@ def domain_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered("validation_findings")
+def validation_findings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The values that make the domain checks fail, with a message each."""
+    g = Layered(spark, sf_dir)
+    tables = {n: t for n, t in g.tables().items() if n.startswith("gold_")}
+    domains = validation.domain_values(tables, g.hot_customers)
+    return reduce(DataFrame.unionByName, map(validation.findings, domains.values()))
+
+
 @registered("validation_report")
 def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layers.validate(spark, written_layers(spark, sf_dir))
@@ -536,21 +596,22 @@ def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- data quality -----------------------------------------------------------------------
 
 
-def _issue_counts(g: Layered) -> dict[str, DataFrame]:
+def _issue_counts(g: Layered, codes: Sequence[str] = issues.COUNTED) -> dict[str, DataFrame]:
     """One row of issue counts per table."""
     sources = {"customers": g.raw_customers, "accounts": g.raw_accounts, "transactions": g.raw_transactions}
     return {
-        name: issues.table_issue_counts(silver.prepare(sources[name], spec), spec) for name, spec in SPECS.items()
+        name: issues.table_issue_counts(silver.prepare(sources[name], spec), spec, codes)
+        for name, spec in SPECS.items()
     }
 
 
 def _one_code(code: str) -> Query:
-    """Counts of one code; Spark drops the counters of the other codes from the plan."""
+    """Counts of one code."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         counted = [
             counts.select(F.lit(name).alias("table_name"), F.col(code).alias("record_count"))
-            for name, counts in _issue_counts(Layered(spark, sf_dir)).items()
+            for name, counts in _issue_counts(Layered(spark, sf_dir), [code]).items()
         ]
         return reduce(DataFrame.unionByName, counted)
 

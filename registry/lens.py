@@ -121,7 +121,8 @@ def raw_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
                  when p % 4 = 2 and {has_ten_digits("day")} then {epoch_seconds("day")}
                  else if(p % 4 = 2, ' ', '') || day end as transaction_date""",
         """case when p % 5 = 0 then null when p % 53 = 1 then '9:00'
-                else lpad(p % 24, 2, '0') || ':' || lpad(p * 7 % 60, 2, '0') || ':30' end as transaction_time""",
+                else lpad(p % 24, 2, '0') || ':' || lpad(p * 7 % 60, 2, '0') || ':'
+                     || lpad(p * 11 % 60, 2, '0') end as transaction_time""",
         f"{picked(TYPE_SPELLINGS, 'p')} as transaction_type",
         f"{picked(('GROCERY', 'FUEL', 'TRAVEL', None), 's')} as merchant_category",
         "l_returnflag as merchant_subcategory",

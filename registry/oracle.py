@@ -152,7 +152,7 @@ CTES["raw_transactions"] = f"""
          ELSE strftime(ship, '%Y-%m-%d') END AS transaction_date,
     CASE WHEN p % 5 = 0 THEN NULL WHEN p % 53 = 1 THEN '9:00'
          ELSE lpad(CAST(p % 24 AS VARCHAR), 2, '0') || ':' || lpad(CAST(p * 7 % 60 AS VARCHAR), 2, '0')
-              || ':30' END AS transaction_time,
+              || ':' || lpad(CAST(p * 11 % 60 AS VARCHAR), 2, '0') END AS transaction_time,
     {chosen(TYPE_TEXTS, "p", 13)} AS transaction_type,
     {chosen("['GROCERY','FUEL','TRAVEL',NULL]", "s", 4)} AS merchant_category,
     l_returnflag AS merchant_subcategory,
@@ -243,8 +243,13 @@ CTES["fact"] = """
     a.account_id, c.customer_id
   FROM silver_transactions t JOIN dim_accounts a ON t.account_id = a.account_id
     JOIN dim_customers c ON a.customer_id = c.customer_id"""
-CTES["few_customers"] = "SELECT * FROM dim_customers WHERE right(customer_id, 1) <> '0'"
-CTES["few_accounts"] = "SELECT * FROM dim_accounts WHERE account_status <> 'P'"
+# All rows, some under an id that nothing refers to.
+CTES["rekeyed_customers"] = """
+  SELECT CASE WHEN customer_id LIKE '%0' THEN 'X' || customer_id ELSE customer_id END AS customer_id
+  FROM dim_customers"""
+CTES["rekeyed_accounts"] = """
+  SELECT CASE WHEN account_status = 'P' THEN 'X' || account_id ELSE account_id END AS account_id
+  FROM dim_accounts"""
 
 NEEDS = {
     "raw_customers": [],
@@ -260,8 +265,8 @@ NEEDS = {
     "dim_customers": ["silver_customers"],
     "dim_accounts": ["silver_accounts", "dim_customers"],
     "fact": ["silver_transactions", "dim_accounts", "dim_customers"],
-    "few_customers": ["dim_customers"],
-    "few_accounts": ["dim_accounts"],
+    "rekeyed_customers": ["dim_customers"],
+    "rekeyed_accounts": ["dim_accounts"],
 }
 
 
@@ -302,8 +307,8 @@ SQL["report_volume_by_type"] = on(
        FROM fact GROUP BY transaction_type ORDER BY transaction_type""",
 )
 SQL["report_unlinked_accounts"] = on(
-    ["dim_accounts", "few_customers"],
-    """SELECT count(*) AS unlinked_accounts FROM dim_accounts a LEFT JOIN few_customers c
+    ["silver_accounts", "dim_customers"],
+    """SELECT count(*) AS unlinked_accounts FROM silver_accounts a LEFT JOIN dim_customers c
          ON a.customer_id = c.customer_id WHERE c.customer_id IS NULL""",
 )
 SQL["report_province_distribution"] = on(
@@ -447,7 +452,25 @@ SQL["silver_transactions_flagged"] = on(["flagged_transactions"], grouped("dq_fl
 SQL["join_accounts_customers"] = on(
     ["silver_accounts", "silver_customers"],
     f"""SELECT account_id, customer_id, account_status, {real("current_balance")} FROM silver_accounts
-        WHERE customer_id IN (SELECT customer_id FROM silver_customers WHERE right(customer_id, 1) <> '0')""",
+        WHERE customer_id IN (SELECT customer_id FROM silver_customers)""",
+)
+SQL["split_join"] = """
+  SELECT o_orderpriority, CASE WHEN rows > 3 THEN CAST(ceil(rows / 3.0) AS INTEGER) ELSE 1 END AS parts, count(*) AS n,
+    CAST(sum(l_partkey) AS BIGINT) AS sum_partkey, CAST(sum(l_linenumber) AS BIGINT) AS sum_line
+  FROM (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS rows FROM lineitem) JOIN orders ON l_orderkey = o_orderkey
+  GROUP BY 1, 2"""
+SQL["key_counts"] = on(
+    ["fact", "dim_accounts", "dim_customers"],
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, '{key}_sk' AS key, count(DISTINCT {key}_id) AS n FROM {source}"
+        for name, source, key in (
+            ("dim_customers", "dim_customers", "customer"),
+            ("dim_accounts", "dim_accounts", "account"),
+            ("fact_transactions", "fact", "transaction"),
+            ("fact_transactions", "fact", "account"),
+            ("fact_transactions", "fact", "customer"),
+        )
+    ),
 )
 SQL["dim_customers"] = on(["dim_customers"], "SELECT * FROM dim_customers")
 SQL["dim_accounts"] = on(
@@ -460,24 +483,24 @@ FACT_OUT = f"""SELECT * EXCLUDE (account_id, customer_id) REPLACE (
 SQL["fact_build"] = on(["fact"], FACT_OUT)
 SQL["sample_records"] = on(["fact"], f"{FACT_OUT} ORDER BY transaction_id LIMIT 5")
 SQL["orphaned_transactions"] = on(
-    ["silver_transactions", "few_accounts"],
+    ["silver_transactions", "dim_accounts"],
     """SELECT count(*) AS orphan_count FROM silver_transactions t
-       WHERE NOT EXISTS (SELECT 1 FROM few_accounts a WHERE a.account_id = t.account_id)""",
+       WHERE NOT EXISTS (SELECT 1 FROM dim_accounts a WHERE a.account_id = t.account_id)""",
 )
 SQL["ri_fact_account"] = on(
-    ["fact", "few_accounts"],
+    ["fact", "rekeyed_accounts"],
     """SELECT count(DISTINCT account_id) AS orphan_keys FROM fact
-       WHERE account_id NOT IN (SELECT account_id FROM few_accounts)""",
+       WHERE account_id NOT IN (SELECT account_id FROM rekeyed_accounts)""",
 )
 SQL["ri_fact_customer"] = on(
-    ["fact", "few_customers"],
+    ["fact", "rekeyed_customers"],
     """SELECT count(DISTINCT customer_id) AS orphan_keys FROM fact
-       WHERE customer_id NOT IN (SELECT customer_id FROM few_customers)""",
+       WHERE customer_id NOT IN (SELECT customer_id FROM rekeyed_customers)""",
 )
 SQL["ri_account_customer"] = on(
-    ["silver_accounts", "few_customers"],
+    ["silver_accounts", "dim_customers"],
     """SELECT count(DISTINCT customer_id) AS orphan_keys FROM silver_accounts
-       WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM few_customers)""",
+       WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM dim_customers)""",
 )
 LAYER_TABLES = {
     "bronze_accounts": "raw_accounts",
@@ -559,6 +582,12 @@ DOMAINS = (
     )
 )
 SQL["domain_check"] = on(["fact", "dim_accounts", "dim_customers"], DOMAINS)
+SQL["validation_findings"] = on(
+    ["fact", "dim_accounts", "dim_customers"],
+    f"""SELECT domain, "value", verdict,
+          domain || ': ' || verdict || ' value ' || chr(39) || coalesce("value", 'NULL') || chr(39) AS message
+        FROM ({DOMAINS}) WHERE verdict <> 'ok'""",
+)
 
 # Every check of the report as (group, name, value, healthy or NULL).
 UNIQUE_KEYS = {

@@ -88,3 +88,18 @@ SOURCE_LABELS = {
     "accounts": "accounts_csv",
     "transactions": "transactions_jsonl",
 }
+
+# Names in the validation report.
+# Differences of row counts: rows of the first table minus rows of the second.
+RECONCILED = {
+    "bronze_to_silver_accounts_delta": ("bronze_accounts", "silver_accounts"),
+    "bronze_to_silver_customers_delta": ("bronze_customers", "silver_customers"),
+    "bronze_to_silver_transactions_delta": ("bronze_transactions", "silver_transactions"),
+    "silver_transactions_to_gold_fact_delta": ("silver_transactions", "gold_fact_transactions"),
+}
+LINK_CHECKS = (
+    "fact_account_sk_not_in_dim_accounts",
+    "fact_customer_sk_not_in_dim_customers",
+    "dim_account_customer_id_not_in_dim_customers",
+)
+UNLINKED_CHECK = "unlinked_accounts"

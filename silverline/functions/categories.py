@@ -16,8 +16,8 @@ def canonical(folded: Column, spellings: Mapping[str, Sequence[str]], unknown: C
     The spelling table is one constant map, so the lookup stays inside
     generated code and needs no join.
     """
-    pairs = [f"'{s}', '{name}'" for name, listed in spellings.items() for s in listed]
-    return F.coalesce(F.try_element_at(F.expr(f"map({', '.join(pairs)})"), folded), unknown)
+    pairs = [F.lit(text) for name, listed in spellings.items() for spelling in listed for text in (spelling, name)]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), folded), unknown)
 
 
 def _upper_trimmed(value: Column) -> Column:

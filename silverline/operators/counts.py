@@ -31,7 +31,7 @@ def duplicate_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     A NULL key is one group. Rows are counted per key before the shuffle.
     """
     if not set(keys) <= set(df.columns):
-        return df.agg(F.lit(MISSING_COLUMN).cast("bigint").alias("duplicate_groups"))
+        return df.sparkSession.range(1).select(F.lit(MISSING_COLUMN).cast("bigint").alias("duplicate_groups"))
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     return per_key.agg(F.count_if(F.col("_rows") > 1).alias("duplicate_groups"))
 

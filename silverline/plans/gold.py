@@ -55,22 +55,24 @@ def dim_accounts(
 def fact_transactions(
     transactions: DataFrame,
     accounts: DataFrame,
-    customers: DataFrame,
+    customers: DataFrame | None = None,
     hot_accounts: DataFrame | None = None,
     hot_customers: DataFrame | None = None,
 ) -> DataFrame:
     """Transactions of known accounts of known customers.
 
-    The two dimensions are joined first, on narrow key columns, so that the
-    fact, by far the largest side, is shuffled for a join once and not twice.
+    A customer's key is a function of its id, which the accounts carry, and
+    :func:`dim_accounts` keeps accounts of known customers only: the accounts alone
+    are enough. Give ``customers`` where the two dimensions may not belong together;
+    accounts of other customers are then left out first, on narrow columns, so that
+    the fact is shuffled for a join once in either case.
     """
-    linked = lookup_join(
-        accounts.select("account_id", "account_sk", "customer_id"),
-        customers.select("customer_id", "customer_sk"),
-        "customer_id",
-        hot=hot_customers,
-        spread_by="account_id",
-    ).drop("customer_id")
+    linked = accounts.select("account_id", "account_sk", "customer_id")
+    if customers is not None:
+        linked = lookup_join(
+            linked, customers.select("customer_id"), "customer_id", "left_semi", hot=hot_customers, spread_by="account_id"
+        )
+    linked = linked.select("account_id", "account_sk", fn.surrogate_key(F.col("customer_id")).alias("customer_sk"))
     joined = lookup_join(
         transactions, linked, "account_id", hot=hot_accounts, spread_by="transaction_id"
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import add, or_
 
@@ -60,28 +61,36 @@ def row_issue(prepared: DataFrame, spec: TableSpec) -> Column:
     )
 
 
-def table_issue_counts(prepared: DataFrame, spec: TableSpec) -> DataFrame:
-    """One row of issue counts for one prepared raw table.
+COUNTED = ("DUPLICATE_DEDUPED", "TYPE_MISMATCH", "DATE_FORMAT", "CURRENCY_VARIANT", "NULL_REQUIRED")
 
-    One scan and one shuffle of per-key subtotals: the issue counts are summed
-    per key before the shuffle, and the surplus rows per key are the duplicates.
+
+def table_issue_counts(prepared: DataFrame, spec: TableSpec, codes: Sequence[str] = COUNTED) -> DataFrame:
+    """One row of counts of the given issue codes for one prepared raw table.
+
+    All codes together take one scan and one shuffle of per-key subtotals: the counts
+    are summed per key before the shuffle, and the surplus rows per key are the duplicates.
+    Without the duplicates no key is needed and nothing is shuffled but one row per task;
+    a code that no column of the table can have counts 0 without reading it.
     """
-    per_key = prepared.groupBy(fn.trimmed_key(F.col(spec.key)).alias("_key")).agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.sum(_hits(unreadable_numbers(prepared, spec))).alias("types"),
-        F.sum(_hits(unreadable_dates(prepared, spec))).alias("dates"),
-        F.sum(_hits(currency_variants(prepared, spec))).alias("currencies"),
-    )
-    present = is_present(F.col("_key"))
-    totals = {
-        "DUPLICATE_DEDUPED": F.sum(F.when(present, F.col("rows") - 1)),
-        "TYPE_MISMATCH": F.sum("types"),
-        "DATE_FORMAT": F.sum("dates"),
-        "CURRENCY_VARIANT": F.sum("currencies"),
-        "NULL_REQUIRED": F.sum(F.when(present, F.lit(0)).otherwise(F.col("rows"))),
+    key = fn.trimmed_key(F.col(spec.key))
+    tests = {
+        "TYPE_MISMATCH": unreadable_numbers(prepared, spec),
+        "DATE_FORMAT": unreadable_dates(prepared, spec),
+        "CURRENCY_VARIANT": currency_variants(prepared, spec),
+        "NULL_REQUIRED": [~F.coalesce(is_present(key), F.lit(False))],
     }
-    return per_key.agg(
-        *[F.coalesce(total, F.lit(0)).cast("bigint").alias(code) for code, total in totals.items()]
+    zero = F.lit(0).cast("bigint")
+    counts = {code: F.sum(_hits(tests[code])) for code in codes if tests.get(code)}
+    if "DUPLICATE_DEDUPED" in codes:
+        per_key = prepared.groupBy(key.alias("_key")).agg(
+            F.count(F.lit(1)).alias("rows"), *[count.alias(code) for code, count in counts.items()]
+        )
+        prepared, counts = per_key, {code: F.sum(code) for code in counts}
+        counts["DUPLICATE_DEDUPED"] = F.sum(F.when(is_present(F.col("_key")), F.col("rows") - 1))
+    if not counts:
+        return prepared.sparkSession.range(1).select(*[zero.alias(code) for code in codes])
+    return prepared.agg(
+        *[F.coalesce(counts.get(code, zero), F.lit(0)).cast("bigint").alias(code) for code in codes]
     )
 
 

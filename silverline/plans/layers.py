@@ -6,7 +6,7 @@ most the stage that is running.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import reduce
@@ -20,7 +20,7 @@ from silverline.operators.shape import add_load_metadata
 from silverline.plans import gold, reports
 from silverline.plans.issues import as_code_rows, issue_summary, table_issue_counts
 from silverline.plans.silver import build, prepare
-from silverline.plans.validation import CHECKED, validation_report
+from silverline.plans.validation import CHECKED, domain_values, failure_messages, findings, validation_report
 from silverline.sources import open_tables, read_csv_text, read_json_lines, read_table, write_json, write_table
 from silverline.spec import SPECS
 
@@ -35,6 +35,10 @@ class Layout:
         layer, _, table = name.partition("_")
         return f"{self.root.rstrip('/')}/{layer}/{table}"
 
+    def hot(self, key: str) -> str:
+        """Where the hot values of a join key are kept."""
+        return f"{self.root.rstrip('/')}/hot/{key}"
+
     def report(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/reports/{name}"
 
@@ -65,10 +69,22 @@ def load_silver(spark: SparkSession, layout: Layout, flag_issues: bool = False)
         write_table(build(bronze, spec, flag_issues), layout.table(f"silver_{name}"))
 
 
-def load_gold(spark: SparkSession, layout: Layout, as_of: date | None = None) -> None:
+def _hot(spark: SparkSession, layout: Layout, name: str) -> DataFrame | None:
+    """The hot keys that :func:`load_gold` has written, if it has."""
+    return open_tables(spark, {name: layout.hot(name)})[name]
+
+
+def load_gold(
+    spark: SparkSession, layout: Layout, as_of: date | None = None, partition_by: Sequence[str] = ()
+) -> None:
+    """Dimensions and fact; ``partition_by`` lays the fact out by the values of some columns.
+
+    Hot keys are counted once and written, for these joins and for the reports.
+    """
     silver = {name: read_table(spark, layout.table(f"silver_{name}")) for name in SPECS}
-    hot_customers = hot_keys(silver["accounts"], "customer_id")
-    hot_accounts = hot_keys(silver["transactions"], "account_id")
+    write_table(hot_keys(silver["accounts"], "customer_id"), layout.hot("customer_id"))
+    write_table(hot_keys(silver["transactions"], "account_id"), layout.hot("account_id"))
+    hot_customers, hot_accounts = (read_table(spark, layout.hot(key)) for key in ("customer_id", "account_id"))
 
     write_table(gold.dim_customers(silver["customers"], as_of), layout.table("gold_dim_customers"))
     customers = read_table(spark, layout.table("gold_dim_customers"))
@@ -76,10 +92,8 @@ def load_gold(spark: SparkSession, layout: Layout, as_of: date | None = None) ->
         gold.dim_accounts(silver["accounts"], customers, hot_customers), layout.table("gold_dim_accounts")
     )
     accounts = read_table(spark, layout.table("gold_dim_accounts"))
-    fact = gold.fact_transactions(
-        silver["transactions"], accounts, customers, hot_accounts, hot_customers
-    )
-    write_table(fact, layout.table("gold_fact_transactions"))
+    fact = gold.fact_transactions(silver["transactions"], accounts, hot_accounts=hot_accounts)
+    write_table(fact, layout.table("gold_fact_transactions"), partition_by=partition_by)
 
 
 def issue_counts(spark: SparkSession, layout: Layout) -> DataFrame:
@@ -101,16 +115,30 @@ def write_issue_summary(spark: SparkSession, layout: Layout, compute: bool = Tru
 
 def validate(spark: SparkSession, layout: Layout) -> DataFrame:
     """Check rows over whatever tables exist below the layout's root."""
-    tables = open_tables(spark, layout.paths())
-    accounts = tables["gold_dim_accounts"]
-    hot = None if accounts is None else hot_keys(accounts, "customer_id")
-    return validation_report(tables, hot)
+    return validation_report(open_tables(spark, layout.paths()), _hot(spark, layout, "customer_id"))
 
 
 def write_validation(spark: SparkSession, layout: Layout) -> None:
-    """Write the check rows, the two grouped reports and the samples as JSON."""
-    write_json(validate(spark, layout), layout.report("validation"))
+    """Write the check rows, what is wrong in them, the two grouped reports and the samples as JSON.
+
+    ``findings`` has a row for each missing or unexpected value of a domain, ``messages``
+    one for each failed check.
+    """
     tables = open_tables(spark, layout.paths())
+    hot = _hot(spark, layout, "customer_id")
+    domains = domain_values(tables, hot)
+    for name, values in domains.items():
+        write_json(values, layout.report(f"domain_{name}"))
+    # The checks count the written values, so that each domain is computed once.
+    written = {
+        name: spark.read.schema(values.schema).json(layout.report(f"domain_{name}")) for name, values in domains.items()
+    }
+    report = validation_report(tables, hot, written)
+    write_json(report, layout.report("validation"))
+    if written:
+        write_json(reduce(DataFrame.unionByName, map(findings, written.values())), layout.report("findings"))
+    checked = spark.read.schema(report.schema).json(layout.report("validation"))
+    write_json(failure_messages(checked), layout.report("messages"))
     fact, accounts, customers = (
         tables[f"gold_{name}"] for name in ("fact_transactions", "dim_accounts", "dim_customers")
     )
@@ -121,8 +149,11 @@ def write_validation(spark: SparkSession, layout: Layout) -> None:
     if fact is not None:
         write_json(reports.volume_by_type(fact), layout.report("volume_by_type"))
     if accounts is not None and customers is not None:
-        by_province = reports.province_distribution(accounts, customers, hot_keys(accounts, "customer_id"))
-        write_json(by_province, layout.report("province_distribution"))
+        write_json(reports.province_distribution(accounts, customers, hot), layout.report("province_distribution"))
+
+
+# The stages in their order.
+STAGES = ("bronze", "silver", "gold", "quality", "validate")
 
 
 def run(
@@ -132,10 +163,22 @@ def run(
     ingested_at: datetime | None = None,
     as_of: date | None = None,
     flag_issues: bool = False,
+    partition_by: Sequence[str] = (),
+    compute_issues: bool = True,
+    stages: Sequence[str] = STAGES,
 ) -> None:
-    """Raw inputs to gold, then the data-quality summary and the validation report."""
-    load_bronze(sources, layout, ingested_at)
-    load_silver(spark, layout, flag_issues)
-    load_gold(spark, layout, as_of)
-    write_issue_summary(spark, layout)
-    write_validation(spark, layout)
+    """Raw inputs to gold, then the data-quality summary and the validation report.
+
+    ``stages`` picks some of them; each reads what earlier ones have written. ``sources`` are
+    needed by bronze only.
+    """
+    steps = {
+        "bronze": lambda: load_bronze(sources, layout, ingested_at),
+        "silver": lambda: load_silver(spark, layout, flag_issues),
+        "gold": lambda: load_gold(spark, layout, as_of, partition_by),
+        "quality": lambda: write_issue_summary(spark, layout, compute_issues),
+        "validate": lambda: write_validation(spark, layout),
+    }
+    for stage in STAGES:
+        if stage in stages:
+            steps[stage]()

@@ -9,10 +9,10 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from silverline.fixed_values import PROVINCES, TRANSACTION_TYPES
+from silverline.fixed_values import LINK_CHECKS, PROVINCES, RECONCILED, TRANSACTION_TYPES, UNLINKED_CHECK
 from silverline.operators.counts import MISSING_COLUMN, table_profile
-from silverline.operators.joins import unmatched_keys
-from silverline.plans.reports import province_distribution, unlinked_accounts
+from silverline.operators.joins import unmatched_counts, unmatched_keys
+from silverline.plans.reports import located_accounts
 
 
 @dataclass(frozen=True)
@@ -38,14 +38,6 @@ CHECKED = {
     ),
 }
 
-# Reconciliation: rows of the first table minus rows of the second.
-RECONCILED = {
-    "bronze_to_silver_accounts_delta": ("bronze_accounts", "silver_accounts"),
-    "bronze_to_silver_customers_delta": ("bronze_customers", "silver_customers"),
-    "bronze_to_silver_transactions_delta": ("bronze_transactions", "silver_transactions"),
-    "silver_transactions_to_gold_fact_delta": ("silver_transactions", "gold_fact_transactions"),
-}
-
 # Groups whose value decides the status, with the values that are healthy.
 HEALTHY = {
     "missing_tables": (0,),
@@ -66,10 +58,12 @@ Row = tuple[str, str, str]
 def _rows(df: DataFrame, rows: Sequence[Row]) -> DataFrame:
     """Turn a one-row table of figures into check rows."""
     structs = [
-        f"named_struct('check_group', '{group}', 'check_name', '{name}', 'value', double({value}))"
+        F.struct(
+            F.lit(group).alias("check_group"), F.lit(name).alias("check_name"), F.expr(f"double({value})").alias("value")
+        )
         for group, name, value in rows
     ]
-    return df.selectExpr(f"inline(array({', '.join(structs)}))")
+    return df.select(F.inline(F.array(*structs)))
 
 
 def _profile_rows(name: str, tables: Tables) -> DataFrame:
@@ -157,43 +151,69 @@ def type_domain(fact: DataFrame) -> DataFrame:
 
 def province_domain(accounts: DataFrame, customers: DataFrame, hot_customers: DataFrame | None = None) -> DataFrame:
     """Provinces in which accounts are held, against the expected provinces."""
-    held = province_distribution(accounts, customers, hot_customers)
+    held = located_accounts(accounts, customers, hot_customers)
     return domain_check(held, "province", sorted(PROVINCES), "province")
 
 
-def _cross_table_rows(tables: Tables, hot_customers: DataFrame | None) -> list[DataFrame]:
+def domain_values(tables: Tables, hot_customers: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The compared values of each domain, where the tables it needs are present."""
+    fact = tables.get("gold_fact_transactions")
+    accounts = tables.get("gold_dim_accounts")
+    customers = tables.get("gold_dim_customers")
+    domains = {}
+    if fact is not None:
+        domains["transaction_type"] = type_domain(fact)
+    if accounts is not None and customers is not None:
+        domains["province"] = province_domain(accounts, customers, hot_customers)
+    return domains
+
+
+def findings(values: DataFrame) -> DataFrame:
+    """What is wrong in compared values: a row with a message for each missing or unexpected one."""
+    value = F.coalesce("value", F.lit("NULL"))
+    message = F.concat("domain", F.lit(": "), "verdict", F.lit(" value '"), value, F.lit("'"))
+    return values.where(F.col("verdict") != "ok").select("domain", "value", "verdict", message.alias("message"))
+
+
+def failure_messages(report: DataFrame) -> DataFrame:
+    """A message for each check of a report that did not pass."""
+    message = F.concat(
+        "check_group", F.lit(": "), "check_name", F.lit(" is "), F.col("value").cast("bigint").cast("string")
+    )
+    return report.where(~F.col("passed")).select("check_group", "check_name", "value", message.alias("message"))
+
+
+def _cross_table_rows(tables: Tables, domains: Mapping[str, DataFrame]) -> list[DataFrame]:
     """Checks that need two tables; those with a missing table are left out."""
     fact = tables.get("gold_fact_transactions")
     accounts = tables.get("gold_dim_accounts")
     customers = tables.get("gold_dim_customers")
+    account_link, customer_link, owner_link = LINK_CHECKS
     links = (
-        ("fact_account_sk_not_in_dim_accounts", fact, accounts, "account_sk", False),
-        ("fact_customer_sk_not_in_dim_customers", fact, customers, "customer_sk", False),
-        ("dim_account_customer_id_not_in_dim_customers", accounts, customers, "customer_id", True),
+        (account_link, fact, accounts, "account_sk"),
+        (customer_link, fact, customers, "customer_sk"),
     )
     checks = [
-        _rows(
-            foreign_key_gaps(child, parent, key, ignore_null),
-            [("referential_integrity", name, "orphan_keys")],
-        )
-        for name, child, parent, key, ignore_null in links
+        _rows(foreign_key_gaps(child, parent, key), [("referential_integrity", name, "orphan_keys")])
+        for name, child, parent, key in links
         if child is not None and parent is not None
     ]
-    domains = []
-    if fact is not None:
-        domains.append(("transaction_type", type_domain(fact)))
     if accounts is not None and customers is not None:
-        domains.append(("province", province_domain(accounts, customers, hot_customers)))
-        unlinked = unlinked_accounts(accounts, customers)
-        checks.append(_rows(unlinked, [("unlinked_accounts", "unlinked_accounts", "unlinked_accounts")]))
-    for domain, verdicts in domains:
+        # Rows and distinct ids without a customer come from one join.
+        gaps = unmatched_counts(accounts, customers, "customer_id")
+        checks.append(
+            _rows(gaps, [("referential_integrity", owner_link, "keys"), ("unlinked_accounts", UNLINKED_CHECK, "rows")])
+        )
+    for domain, verdicts in domains.items():
         kinds = ("missing", "unexpected")
         wrong = verdicts.agg(*[F.count_if(F.col("verdict") == kind).alias(kind) for kind in kinds])
         checks.append(_rows(wrong, [("domains", f"{domain}_{kind}_values", kind) for kind in kinds]))
     return checks
 
 
-def validation_report(tables: Tables, hot_customers: DataFrame | None = None) -> DataFrame:
+def validation_report(
+    tables: Tables, hot_customers: DataFrame | None = None, domains: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
     """All checks as rows, each with the status of the whole report.
 
     A table that is ``None`` is missing: it gives a failed row, the checks that
@@ -212,7 +232,7 @@ def validation_report(tables: Tables, hot_customers: DataFrame | None = None) ->
         "check_group string, check_name string, value double",
     )
     branches = [existence, *[_profile_rows(name, tables) for name in present]]
-    branches += _cross_table_rows(tables, hot_customers)
+    branches += _cross_table_rows(tables, domain_values(tables, hot_customers) if domains is None else domains)
     parts = reduce(DataFrame.unionByName, branches)
     checks = parts.groupBy("check_group", "check_name").agg(F.sum("value").alias("value"))
 

@@ -12,8 +12,10 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from silverline import __main__ as command_line
 from silverline import sources
-from silverline.fixed_values import ISSUE_HANDLING
+from silverline.fixed_values import ISSUE_HANDLING, TRANSACTION_TYPES
+from silverline.functions import categories
 from silverline.operators.joins import hot_keys
 from silverline.plans import gold, issues, layers, reports, silver, validation
 from silverline.spec import ACCOUNTS, CUSTOMERS, SPECS, TRANSACTIONS
@@ -394,3 +396,101 @@ def test_command_line_help():
         check=True,
     )
     assert "--transactions" in done.stdout
+
+
+def plan_of(df, **settings):
+    """The physical plan under some settings, without adaptive execution."""
+    spark = df.sparkSession
+    wanted = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", **settings}
+    before = {name: spark.conf.get(name) for name in wanted}
+    try:
+        for name, value in wanted.items():
+            spark.conf.set(name, value)
+        return df.select("*")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
+def test_fact_from_raw_needs_two_joins(spark):
+    tables = gold_tables(spark)
+    accounts = gold.dim_accounts(tables["silver_accounts"], tables["gold_dim_customers"])
+    fact = gold.fact_transactions(tables["silver_transactions"], accounts)
+    assert plan_of(fact).count("SortMergeJoin") == 2
+    both = gold.fact_transactions(tables["silver_transactions"], accounts, tables["gold_dim_customers"])
+    assert Counter(map(tuple, fact.collect())) == Counter(map(tuple, both.collect()))
+    orphans = gold.orphaned_transactions(tables["silver_transactions"], accounts.where("account_id <> 'AC3'")).first()[0]
+    linked = gold.fact_transactions(tables["silver_transactions"], accounts.where("account_id <> 'AC3'")).count()
+    assert orphans > 0 and linked + orphans == tables["silver_transactions"].count()
+
+
+def test_volume_by_type_plans_the_fact_once(clean_tables):
+    fact = gold.fact_transactions(clean_tables["silver_transactions"], clean_tables["gold_dim_accounts"])
+    report = reports.volume_by_type(fact)
+    plan = plan_of(report)
+    assert "Window" not in plan and "ReusedExchange" in plan
+    assert plan.count("SortMergeJoin") == 1
+    assert sum(r.pct_of_total for r in report.collect()) == pytest.approx(100, abs=0.05)
+
+
+def test_single_issue_codes_need_no_key_shuffle(spark):
+    raw = spark.createDataFrame(
+        [("A1", "C", "x"), (" A1", "C", "1"), (" ", "C", " "), (None, "C", "1")],
+        "account_id string, customer_id string, credit_limit string",
+    )
+    prepared = silver.prepare(raw, ACCOUNTS)
+    expected = {"TYPE_MISMATCH": 1, "DATE_FORMAT": 0, "CURRENCY_VARIANT": 0, "NULL_REQUIRED": 2}
+    for code, count in expected.items():
+        counts = issues.table_issue_counts(prepared, ACCOUNTS, [code])
+        assert counts.collect() == [(count,)]
+        assert "hashpartitioning" not in plan_of(counts)
+    assert issues.table_issue_counts(prepared, ACCOUNTS, ["DUPLICATE_DEDUPED"]).collect() == [(1,)]
+
+
+def test_findings_and_messages_name_what_is_wrong(clean_tables):
+    fact = clean_tables["gold_fact_transactions"].withColumn("transaction_type", F.lit("it's odd"))
+    tables = {**clean_tables, "gold_fact_transactions": fact}
+    found = {tuple(r) for r in validation.findings(validation.domain_values(tables)["transaction_type"]).collect()}
+    assert ("transaction_type", "it's odd", "unexpected", "transaction_type: unexpected value 'it's odd'") in found
+    assert {r[2] for r in found} == {"missing", "unexpected"} and len(found) == 1 + len(TRANSACTION_TYPES)
+    messages = {r.message for r in validation.failure_messages(validation.validation_report(tables)).collect()}
+    assert messages == {
+        f"domains: transaction_type_missing_values is {len(TRANSACTION_TYPES)}",
+        "domains: transaction_type_unexpected_values is 1",
+    }
+
+
+def test_spellings_and_check_names_may_have_quotes(spark):
+    one = spark.range(1)
+    looked = one.select(categories.canonical(F.lit("O'K"), {"it's": ["O'K"]}, F.lit("?")).alias("v"))
+    assert looked.first().v == "it's"
+    assert validation._rows(one, [("g", "it's", "3")]).first().check_name == "it's"
+
+
+def test_stages_from_the_command_line(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("customer_id,province,dob\nC1,GP,1980-01-01\nC2,Nowhere,1990-01-01\n")
+    (tmp_path / "a.csv").write_text("account_id,customer_ref\nA1,C1\nA2,C2\nA3,C9\n")
+    (tmp_path / "t.jsonl").write_text(
+        "".join(
+            f'{{"transaction_id": "T{i}", "account_id": "A{i}", "transaction_type": "credit", "channel": "APP", "transaction_date": "2024-01-0{i}", "amount": "1"}}\n'
+            for i in (1, 2, 3)
+        )
+    )
+    out = f"{tmp_path}/out"
+    inputs = [f"--customers={tmp_path}/c.csv", f"--accounts={tmp_path}/a.csv", f"--transactions={tmp_path}/t.jsonl"]
+    # The command line takes the session that is there.
+    command_line.main([*inputs, f"--output={out}", "--stages", "bronze", "--ingested-at", "2024-06-01"])
+    assert not Path(f"{out}/silver").exists()
+    command_line.main([f"--output={out}", "--stages", "silver", "gold", "--as-of", "2024-06-30", "--partition-by", "channel"])
+    fact = sources.read_table(spark, f"{out}/gold/fact_transactions")
+    assert fact.count() == 2 and list(Path(f"{out}/gold/fact_transactions").glob("channel=*"))
+    assert not Path(f"{out}/reports").exists()
+    command_line.main([f"--output={out}", "--stages", "quality", "validate", "--orphans-only"])
+    summary = {r.issue_code: r.record_count for r in spark.read.json(f"{out}/reports/dq_summary").collect()}
+    assert summary["ORPHANED_ACCOUNT"] == 1
+    found = {(r.domain, r["value"], r.verdict) for r in spark.read.json(f"{out}/reports/findings").collect()}
+    assert ("province", "Nowhere", "unexpected") in found
+    messages = {r.message for r in spark.read.json(f"{out}/reports/messages").collect()}
+    assert "domains: province_unexpected_values is 1" in messages
+    with pytest.raises(SystemExit):
+        command_line.options([f"--output={out}"])
