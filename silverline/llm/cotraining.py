@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverline.llm.decontaminate import words
-from silverline.llm.shared import without
+from silverline.llm.shared import map_batches, without
 
 BUCKETS = 1 << 15
 LABELLED, POOL = 8000, 4000
@@ -219,7 +219,8 @@ def learn(
             lists = [pa.array([x.tobytes() for x in v], pa.binary()) for v in (own, metas)]
             yield pa.RecordBatch.from_arrays([good, part, *lists], names=["good", "part", "own", "meta"])
 
-    rows = sample.mapInArrow(featured, "good int, part long, own binary, meta binary").orderBy("own", "meta", "part").collect()
+    featured_rows = map_batches(sample, featured, "good int, part long, own binary, meta binary")
+    rows = featured_rows.orderBy("own", "meta", "part").collect()
     views = [Rows([np.frombuffer(r[i], dtype=np.int32) for r in rows]) for i in (2, 3)]
     target = np.array([r[0] for r in rows], dtype=float)
     held = np.array([r[1] == 0 for r in rows], dtype=bool)
@@ -250,4 +251,4 @@ def score(docs: DataFrame, model: Model, text: str = "text", cutoff: float = 0.5
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns, kept], names=[*names, *COLUMNS])
 
     schema = docs.select("*", *[F.lit(0.0).alias(c) for c in COLUMNS[:3]], F.lit(True).alias(COLUMNS[3])).schema
-    return docs.mapInArrow(scored, schema)
+    return map_batches(docs, scored, schema)

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverline.llm.shared import cut, free_names, without
+from silverline.llm.shared import cut, free_names, map_batches, without
 
 WINDOW = 10
 AUTOMATON_BYTES = 16 << 20  # of benchmark text in one automaton
@@ -138,8 +138,8 @@ def find_contamination(
     ).schema
     *earlier, last = _groups(benchmark, item, item_text, automaton_bytes)
     for group in earlier:  # cut, so that one automaton at a time is in memory
-        state = cut(state.mapInArrow(_scanner(group, window, names.index(text), False), state.schema))
-    return state.mapInArrow(_scanner(last, window, names.index(text), True), result)
+        state = cut(map_batches(state, _scanner(group, window, names.index(text), False), state.schema))
+    return map_batches(state, _scanner(last, window, names.index(text), True), result)
 
 
 def _scanner(group: tuple[tuple[str, str], ...], window: int, at: int, last: bool):

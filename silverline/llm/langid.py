@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverline.llm.shared import LOWER, without
+from silverline.llm.shared import LOWER, map_batches, without
 
 BITS = 24
 BUCKET_BITS = 14
@@ -142,8 +142,7 @@ def learn(
 
     # One row per language and bucket, added up before and after the shuffle: a table of fixed size.
     summed = (
-        sample.repartition(8)
-        .mapInArrow(counted, "lang string, bucket int, weight double")
+        map_batches(sample.repartition(8), counted, "lang string, bucket int, weight double")
         .groupBy("lang", "bucket")
         .agg(F.sum("weight").alias("weight"))
         .groupBy("lang")
@@ -202,4 +201,4 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:width], *names])
 
     schema = docs.select("*", F.lit("").alias(names[0]), F.lit(0.0).alias(names[1]), F.lit(True).alias(names[2])).schema
-    return docs.mapInArrow(predicted, schema)
+    return map_batches(docs, predicted, schema)

@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from silverline.llm.shared import map_batches
 from silverline.llm.tokens import encoder
 
 GROUP = 8192  # pieces that one group packs together
@@ -152,4 +153,4 @@ def pack(
             yield packed(open_)
 
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return narrow.mapInArrow(pieces, PACKED)
+    return map_batches(narrow, pieces, PACKED)

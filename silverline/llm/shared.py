@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
+from collections.abc import Callable, Iterator
+from pathlib import Path
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from silverline.sources import scratch_folder
 
@@ -40,3 +48,29 @@ def cut(df: DataFrame) -> DataFrame:
     """``df`` computed once and kept in the shared checkpoint folder, free of its lineage."""
     checkpoint_ready(df.sparkSession)
     return df.checkpoint()
+
+
+ROOT = Path(__file__).resolve().parents[2]
+_SENT: set[str] = set()
+
+
+def workers_find_us(spark: SparkSession) -> None:
+    """Let the workers of a local session import this package wherever the session was started.
+
+    On a cluster the package is installed or given with ``--py-files``.
+    """
+    context = spark.sparkContext
+    known = {Path(p).resolve() for p in os.environ.get("PYTHONPATH", "").split(os.pathsep) if p} | {Path.cwd()}
+    if ROOT in known or context.applicationId in _SENT or not context.master.startswith("local"):
+        return
+    folder = tempfile.mkdtemp(prefix="package-")
+    context.addPyFile(shutil.make_archive(f"{folder}/silverline", "zip", ROOT, "silverline"))
+    _SENT.add(context.applicationId)
+
+
+def map_batches(
+    df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType | str
+) -> DataFrame:
+    """``df.mapInArrow`` with workers that can import this package."""
+    workers_find_us(df.sparkSession)
+    return df.mapInArrow(function, schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverline.llm.shared import LOWER, cut, free_names, without
+from silverline.llm.shared import LOWER, cut, free_names, map_batches, without
 
 DISTANCE = 3
 PIVOTS = 32
@@ -74,7 +74,7 @@ def fingerprints(docs: DataFrame, text: str = "text", name: str = "fingerprint")
             columns = [*batch.columns[:width], pa.array(values.view(np.int64))]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:width], name])
 
-    return docs.mapInArrow(computed, docs.withColumn(name, F.lit(0).cast("long")).schema)
+    return map_batches(docs, computed, docs.withColumn(name, F.lit(0).cast("long")).schema)
 
 
 def hex_fingerprint(column: str = "fingerprint") -> Column:
@@ -191,7 +191,7 @@ def links(distinct: DataFrame, cell: int = CELL) -> DataFrame:
         )
     )
     together = meeting.repartition("bucket", "low", "high").sortWithinPartitions("bucket", "low", "high")
-    return together.mapInArrow(_compare, "a long, b long").distinct()
+    return map_batches(together, _compare, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:

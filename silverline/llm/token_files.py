@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silverline.llm import simple8b
+from silverline.llm.shared import map_batches
 from silverline.llm.tokens import encoder
 
 # Ids after which a frame is closed. A document is never divided between frames.
@@ -77,7 +78,7 @@ def write_token_files(
         if parts:
             yield close()
 
-    ordered.mapInArrow(frames, FRAMES).write.parquet(path)
+    map_batches(ordered, frames, FRAMES).write.parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
@@ -107,4 +108,4 @@ def read_token_files(spark: SparkSession, path: str) -> DataFrame:
                     names=["doc_id", "start", "n_tokens", "ids"],
                 )
 
-    return placed.mapInArrow(documents, "doc_id long, start long, n_tokens long, ids binary")
+    return map_batches(placed, documents, "doc_id long, start long, n_tokens long, ids binary")
