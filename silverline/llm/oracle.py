@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from silverline.llm.quality import ALLOWED, LEVEL, RULES
+
 OP8 = """
 WITH rules(host, path, verdict) AS (
     VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
@@ -24,6 +26,56 @@ SELECT c.page_id, c.host, c.path, f.rule, coalesce(f.verdict, 'allow') AS verdic
 FROM cut c LEFT JOIN fits f ON f.row = c.row AND f.nth = 1
 """
 
+_LEVELS = ", ".join(
+    f"CASE WHEN n_words > 0 THEN {' + '.join(f'({r.measure} > {c})::INT' for c in r.cutoffs)} ELSE 0 END AS level{i}"
+    for i, r in enumerate(RULES)
+)
+_CUTS = " UNION ALL ".join(
+    f"SELECT stratum, {i} AS rule, t, count(*) AS n, count(*) FILTER (level{i} >= t) AS k "
+    f"FROM held, range(1, {len(r.cutoffs) + 1}) AS c(t) GROUP BY stratum, t"
+    for i, r in enumerate(RULES)
+)
+_SHARE = ALLOWED / len(RULES)
+_REJECTED = " OR ".join(
+    f"coalesce(level{i} >= (SELECT min(t) FROM certified c WHERE c.stratum IS NOT DISTINCT FROM l.lang AND c.rule = {i}), false)"
+    for i in range(len(RULES))
+)
+OP6 = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS row, doc_id, lang, coalesce(text, '') AS text FROM documents
+), words AS (
+    SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w FROM docs
+), windows AS (
+    SELECT row, i, array_to_string(w[i:i + 4], ' ') AS five FROM words, unnest(range(1, len(w) - 3)) AS r(i)
+), repeated AS (
+    SELECT row, count(DISTINCT i + k) AS n
+    FROM (SELECT *, count(*) OVER (PARTITION BY row, five) AS often FROM windows), range(0, 5) AS r(k)
+    WHERE often > 1 GROUP BY row
+), lines AS (
+    SELECT row, count(*) - count(DISTINCT line) AS n
+    FROM (SELECT row, unnest(string_split(text, chr(10))) AS line FROM docs)
+    WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]') GROUP BY row
+), measured AS (
+    SELECT w.row, doc_id, lang, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+        len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols, coalesce(l.n, 0) AS n_dup_lines,
+        coalesce(r.n, 0) AS n_repeat_words
+    FROM words w LEFT JOIN lines l ON l.row = w.row LEFT JOIN repeated r ON r.row = w.row
+), levels AS (
+    SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, {_LEVELS} FROM measured
+), held AS (
+    SELECT *, lang AS stratum FROM levels WHERE NOT base_failed AND doc_id IN (
+        SELECT doc_id FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id HAVING min(quality) = 1)
+), cuts AS ({_CUTS}), certified AS (
+    SELECT stratum, rule, t FROM cuts WHERE k <= n * {_SHARE}
+        AND list_sum([exp(lgamma(n + 1) - lgamma(i + 1) - lgamma(n - i + 1) + i * ln({_SHARE}) + (n - i) * ln(1 - {_SHARE}))
+                      FOR i IN range(0, k + 1)])
+            <= {LEVEL} / ({len(RULES)} * (SELECT count(*) FROM (SELECT DISTINCT stratum FROM held)))
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT ({_REJECTED}) AS kept
+FROM levels l
+"""
+
 OP9 = """
 WITH turns AS (
     SELECT DISTINCT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
@@ -57,5 +109,6 @@ FROM parts
 """
 
 SQL = {
+    "op6_certified_quality": OP6,
     "op9_preference_examples": OP9,
     "op8_url_rules": OP8}
