@@ -70,19 +70,33 @@ def interleaved_shards(
         .drop(place, cell)
     )
 
-    # Cell c of the sequence has the rows with c <= cells * (2r - 1) / 2n < c + 1.
+    # Row r of n is in cell cells * (2r - 1) div 2n. A stratum of few rows lists them, one of many
+    # lists its rows per cell, so the list is never longer than the table.
     sizes = counted.groupBy(stratum).agg(F.sum("rows").alias("n"))
-    starts = (
-        sizes.select("n", F.explode(F.sequence(F.lit(0), F.lit(cells))).alias(cell))
-        .groupBy(cell)
-        .agg(F.sum(F.expr(f"(2 * n * {cell} + 3L * {cells} - 1) div (2L * {cells}) - 1")).alias(place))
-        .withColumn(of + "_all", F.max(place).over(Window.partitionBy()))
+    until = lambda c: f"((2 * n * {c} + {cells} - 1) div (2L * {cells}))"  # noqa: E731  rows of cells before c
+    listed = sizes.select(
+        F.explode(
+            F.when(
+                F.col("n") <= cells,
+                F.expr(f"transform(sequence(1L, n), r -> struct(int(((2 * r - 1) * {cells}) div (2 * n)) as c, 1L as k))"),
+            ).otherwise(
+                F.expr(f"transform(sequence(0, {cells - 1}), c -> struct(c as c, {until('(c + 1)')} - {until('c')} as k))")
+            )
+        ).alias("x")
+    )
+    # At most ``cells`` rows from here on.
+    per_cell = listed.groupBy(F.col("x.c").alias(cell)).agg(F.sum("x.k").alias("k"))
+    before = Window.orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)
+    starts = per_cell.select(
+        cell,
+        F.coalesce(F.sum("k").over(before), F.lit(0)).alias(place),
+        F.sum("k").over(Window.partitionBy()).alias(of + "_all"),
     )
     placed = ranked.withColumn(
         cell, F.expr(f"((2 * `{rank}` - 1) * {cells}) div (2 * `{of}`)").cast("int")
     )
     in_sequence = Window.partitionBy(cell).orderBy((2 * F.col(rank) - 1) / F.col(of), stratum, draw, key, tie)
-    # ``starts`` has cells + 1 rows whatever the input.
+    # ``starts`` has one row per cell at most, whatever the input.
     placed = (
         placed.withColumn(rank, F.row_number().over(in_sequence).cast("long"))
         .join(F.broadcast(starts), cell)
