@@ -1,10 +1,11 @@
 """Token files: documents as Simple-8b frames in order of their id, written and read by Spark.
 
 A file is Parquet whose rows are frames of whole consecutive documents. A row holds the
-place of the file and of the frame in it, the documents' ids and lengths, and the coded
-ids (see :mod:`silverline.llm.simple8b`). Spark's committer writes them, so a lost executor
-leaves no half file and any file system that Spark knows will do. Documents are ordered
-over the files by range; how many ids precede a file follows from one number per file.
+number of the file, how many ids precede the frame in it, the documents' ids and lengths, and
+the coded ids (see :mod:`silverline.llm.simple8b`). Spark's committer writes them, so a lost
+executor leaves no half file and any file system that Spark knows will do. Documents are
+ordered over the files by range; an index beside the frames has one row per file, how
+many ids precede it. Reading joins the frames with the index and moves no ids.
 """
 
 from __future__ import annotations
@@ -23,7 +24,8 @@ from silverline.llm.tokens import encoder
 
 # Ids after which a frame is closed. A document is never divided between frames.
 FRAME_IDS = 131_072
-FRAMES = "file int, frame int, n_ids long, doc_ids array<long>, lengths array<long>, coded binary"
+FRAMES = "file int, in_file long, n_ids long, doc_ids array<long>, lengths array<long>, coded binary"
+INDEX = "file int, n_ids long, start long"
 
 
 def write_token_files(
@@ -51,10 +53,10 @@ def write_token_files(
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema(
-            [("file", pa.int32()), ("frame", pa.int32()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
+            [("file", pa.int32()), ("in_file", pa.int64()), ("n_ids", pa.int64()), ("doc_ids", pa.list_(pa.int64())),
              ("lengths", pa.list_(pa.int64())), ("coded", pa.binary())]
         )
-        file, number = TaskContext.get().partitionId(), 0
+        file, in_file = TaskContext.get().partitionId(), 0
         end = np.array([end_id], dtype="<u4").tobytes()
         names: list = []
         parts: list[bytes] = []
@@ -62,7 +64,7 @@ def write_token_files(
 
         def close() -> pa.RecordBatch:
             ids = np.frombuffer(b"".join(parts), dtype="<u4")
-            row = [[file], [number], [len(ids)], [names], [[len(p) // 4 for p in parts]], [simple8b.encode(ids)]]
+            row = [[file], [in_file], [len(ids)], [names], [[len(p) // 4 for p in parts]], [simple8b.encode(ids)]]
             return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, schema.types, strict=True)], schema=schema)
 
         for batch in batches:
@@ -74,23 +76,27 @@ def write_token_files(
                 size += len(parts[-1]) // 4
                 if size >= frame_ids:
                     yield close()
-                    number, names, parts, size = number + 1, [], [], 0
+                    in_file, names, parts, size = in_file + size, [], [], 0
         if parts:
             yield close()
 
-    map_batches(ordered, frames, FRAMES).write.parquet(path)
+    map_batches(ordered, frames, FRAMES).write.parquet(f"{path}/frames")
+    written = ordered.sparkSession.read.schema(FRAMES).parquet(f"{path}/frames")
+    # One row per file, from two columns of the frames.
+    files = written.groupBy("file").agg(F.sum("n_ids").alias("n_ids"))
+    earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files.withColumn("start", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0))).write.parquet(f"{path}/index")
 
 
 def read_token_files(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id``, ``start`` (ids of all earlier documents), ``n_tokens`` and ``ids`` (binary, unsigned 32 bits)."""
-    frames = spark.read.schema(FRAMES).parquet(path)
-    before = lambda w: F.coalesce(F.sum("n_ids").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    # One row per file, then one per frame of a file: numbers only, the frames themselves stay where they are.
-    files = frames.groupBy("file").agg(F.sum("n_ids").alias("n_ids"))
-    files = files.select("file", before(Window.orderBy("file")).alias("file_start"))
-    places = frames.select("file", "frame", before(Window.partitionBy("file").orderBy("frame")).alias("in_file"))
-    places = places.join(files, "file").select("file", "frame", (F.col("file_start") + F.col("in_file")).alias("start"))
-    placed = frames.join(places, ["file", "frame"]).select("start", "doc_ids", "lengths", "coded")
+    index = spark.read.schema(INDEX).parquet(f"{path}/index").select("file", "start")
+    placed = (
+        spark.read.schema(FRAMES)
+        .parquet(f"{path}/frames")
+        .join(index, "file")
+        .select((F.col("start") + F.col("in_file")).alias("start"), "doc_ids", "lengths", "coded")
+    )
 
     def documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
