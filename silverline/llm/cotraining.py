@@ -30,7 +30,7 @@ BUCKETS = 1 << 15
 LABELLED, POOL = 8000, 4000
 ROUNDS, SHARE = 2, 0.05  # share of the pool that a view hands over in a round
 EPOCHS, RATE, DECAY = 100, 1.0, 1e-3
-COMMON = 0.01  # share of the fitted rows that a feature must be in to have a weight
+EVIDENCE = 20.0  # squared standard deviations from chance at which a feature counts a quarter
 COLUMNS = ("text_score", "meta_score", "score", "keep")
 META = ("lang", "source", "n_chars")
 
@@ -90,20 +90,38 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+def evidence(rows: Rows, target: np.ndarray, used: np.ndarray) -> np.ndarray:
+    """How much each feature counts, from 0 to 1, by how far its good rows are from what chance would give.
+
+    No share of all rows is asked for: a mark of few documents, as of a small language, counts if
+    they are nearly all of one kind, and one seen once or twice counts next to nothing.
+    """
+    n = max(1.0, float(used.sum()))
+    share = float((used * target).sum()) / n
+    rows_with = np.bincount(rows.bucket, used[rows.of], BUCKETS)
+    good_with = np.bincount(rows.bucket, (used * target)[rows.of], BUCKETS)
+    variance = rows_with * share * (1 - share) * (1 - rows_with / (n + 1))
+    squared = (good_with - rows_with * share) ** 2 / np.maximum(variance, 1e-9) * (rows_with > 0)
+    return (squared / (squared + EVIDENCE)) ** 2
+
+
 def fit(rows: Rows, target: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, float]:
-    """Weights and bias of a logistic classifier, by adaptive gradient steps over all rows."""
+    """Weights and bias of a logistic classifier, by adaptive gradient steps over all rows.
+
+    Features are scaled by their evidence, so that words of few rows cannot be learned by heart.
+    """
     w, bias = np.zeros(BUCKETS), 0.0
-    common = np.bincount(rows.bucket, (weight > 0)[rows.of], BUCKETS) >= max(2, COMMON * (weight > 0).sum())
+    scale = evidence(rows, target, weight > 0)
     seen, seen_bias = np.full(BUCKETS, 1e-8), 1e-8
     total = max(1.0, weight.sum())
     for _ in range(EPOCHS):
-        error = (_sigmoid(rows.dot(w) + bias) - target) * weight / total
-        step, step_bias = rows.spread(error) * common + DECAY * w / total, float(error.sum())
+        error = (_sigmoid(rows.dot(w * scale) + bias) - target) * weight / total
+        step, step_bias = rows.spread(error) * scale + DECAY * w / total, float(error.sum())
         seen += step**2
         seen_bias += step_bias**2
         w -= RATE * step / np.sqrt(seen)
         bias -= RATE * step_bias / np.sqrt(seen_bias)
-    return w, bias
+    return w * scale, bias
 
 
 def calibrate(scores: np.ndarray, target: np.ndarray) -> tuple[float, float]:

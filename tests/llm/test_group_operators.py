@@ -247,6 +247,25 @@ def test_co_training_of_odd_rows(spark, docs, none):
     assert cotraining.score(none, cotraining.learn(none, marks)).count() == 0
 
 
+def test_marks_of_a_small_language_are_learned():
+    """Toxic documents of a language of 3 % of the rows, told by words in less than 1 % of all rows."""
+    rng = np.random.default_rng(6)
+    small, toxic, half = rng.random(6000) < 0.03, rng.random(6000) < 0.25, rng.random(6000) < 0.5
+    rows = []
+    for s, t in zip(small, toxic, strict=True):
+        filler = " ".join(f"{'s' if s else 'b'}{k}" for k in rng.integers(0, 3000, 40))
+        marks = [] if not t else rng.choice(["klein", "kurz", "schmal", "eng"], 3, False) if s else rng.choice(["big", "wide"], 1)
+        rows.append(cotraining.text_features(" ".join([filler, *marks])))
+    assert (small & toxic & half).sum() < 0.01 * half.sum()
+    known = np.flatnonzero(half)
+    w, bias = cotraining.fit(cotraining.Rows([rows[i] for i in known]), 1.0 - toxic[known], np.ones(len(known)))
+    good = cotraining.Rows(rows).dot(w) + bias >= 0
+    for some in (small, ~small):
+        new = ~half & some
+        assert (~good)[new & toxic].mean() > 0.9
+        assert good[new & ~toxic].mean() > 0.95
+
+
 # Registered queries and the pipeline
 
 
