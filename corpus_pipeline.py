@@ -23,10 +23,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and the certified cutoffs of their language."""
+    """Documents that pass the base rules and the certified steps of the joint path of rules."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    cutoffs = cut(quality.certified_cutoffs(quality.measured(docs.select("doc_id", "text", "lang")).drop("text"), labels))
-    return quality.quality_verdicts(quality.measured(docs), cutoffs).where("kept").select(*docs.columns)
+    depths = cut(quality.joint_depths(quality.measured(docs.select("doc_id", "text", "lang")).drop("text"), labels))
+    return quality.joint_verdicts(quality.measured(docs), depths).where("kept").select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

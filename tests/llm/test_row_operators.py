@@ -10,6 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from silverline.llm import decontaminate, langid, packing, quality, simple8b, token_files, tokens
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -93,6 +94,62 @@ def test_quality_without_labels_keeps_what_the_base_rules_keep(docs, none, spark
     assert quality.quality_verdicts(empty, quality.certified_cutoffs(empty, labels)).count() == 0
 
 
+def test_joint_path_certifies_some_hundred_labels_and_falls_back(spark, tmp_path):
+    """700 good documents a language: too few for five shares of the budget, enough for one path."""
+    n, rows, labels = 700, [], []
+
+    def add(lang, good, symbols):
+        key = len(rows)
+        rows.append((key, " ".join(f"word{key}{k}{'$$$$' if symbols else ''}" for k in range(12)), lang, "a", 1))
+        if good is not None:
+            labels.append((key, good, 0))
+
+    for i in range(n):
+        add("en", 1, False)
+        add("fr", 1, i < 70)  # good French has symbols: no step holds
+    for i in range(40):
+        add("es", 1, False)  # too few labels: what all languages allow together
+        add("it", 1, i < 1)
+    for lang in ("en", "fr", "es", "it", None):
+        for _ in range(50):
+            add(lang, None, True)
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    measured = quality.measured(docs)
+
+    def lost(some):
+        keys = [key for key, good, _ in labels if rows[key][2] in some]
+        mine = docs.where(F.col("lang").isin(*some))
+        depths = quality.joint_depths(quality.measured(mine), marks.where(F.col("doc_id").isin(keys)))
+        kept = quality.joint_verdicts(measured, depths).where("kept")
+        left = Counter(r["lang"] for r in kept.where(f"doc_id >= {len(labels)}").select("lang").collect())
+        return {r["stratum"]: r["depth"] for r in depths.collect()}, {lang: 50 - left[lang] for lang in ("en", "fr", "es", "it", None)}
+
+    # French speaks against symbols, for itself and for all together; English has its own depth.
+    depths, gone = lost(("en", "fr", "es", "it"))
+    assert depths["=fr"] == 0 and depths[None] == 0 and depths["=en"] > 20
+    assert gone == {"en": 50, "fr": 0, "es": 0, "it": 0, None: 0}
+    # Without French, the common depth holds for Spanish and for languages without labels ...
+    depths, gone = lost(("en", "es"))
+    assert "=es" not in depths and depths[None] == 22 == sum(len(r.cutoffs) for r in quality.RULES[:3])
+    assert gone == {"en": 50, "fr": 50, "es": 50, "it": 50, None: 50}
+    # ... but not against the labels of Italian.
+    depths, gone = lost(("en", "es", "it"))
+    assert depths["=it"] == 0 and depths[None] == 22 and gone == {"en": 50, "fr": 50, "es": 50, "it": 0, None: 50}
+    assert quality.certified_cutoffs(measured, marks).count() == 0  # five shares certify nothing here
+    # The pipeline's stage rejects them as well.
+    marks.where(F.col("doc_id").isin([k for k, _, _ in labels if rows[k][2] in ("en", "es")])).write.parquet(f"{tmp_path}/labels.parquet")
+    kept = corpus_pipeline.quality_rules(spark, docs, str(tmp_path))
+    assert kept.where(f"doc_id >= {len(labels)}").count() == 0 and kept.where("lang = 'en'").count() == n
+
+
+def test_joint_path_steps_match_brute_force(docs):
+    path = [(r, c) for r in quality.RULES for c in reversed(r.cutoffs)]
+    for r in quality.measured(docs).withColumn("step", quality.path_step()).collect():
+        found = [i for i, (rule, c) in enumerate(path) if r["n_words"] and eval(rule.measure, {}, r.asDict()) > c]
+        assert r["step"] == min(found, default=None)
+
+
 # Decontamination
 
 
