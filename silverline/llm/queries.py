@@ -6,7 +6,20 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from silverline.llm import cotraining, decontaminate, langid, packing, preference, quality, sharding, simhash, token_files, tokens, urls
+from silverline.llm import (
+    cotraining,
+    decontaminate,
+    langid,
+    packing,
+    preference,
+    quality,
+    runs,
+    sharding,
+    simhash,
+    token_files,
+    tokens,
+    urls,
+)
 from silverline.llm.shared import cut
 from silverline.sources import scratch_folder
 
@@ -122,6 +135,36 @@ def op10_output_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def looped_text() -> Column:
+    """The text of every tenth document with a loop of words in its second part, as the query's contract states it."""
+    h = F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8"))
+    words = F.split(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")), " ")
+    n = F.when(F.trim(F.regexp_replace("text", r"[\x20\x09-\x0D]+", " ")) != "", F.size(words)).otherwise(0)
+    g = F.floor(h / 10)
+    a = (g % F.greatest(n, F.lit(1))).cast("int")
+    tail = n - a
+    period = (1 + F.floor(tail / (3 + g % 8))).cast("int")
+    loop = F.array_repeat(F.slice(words, a + 1, period), F.ceil(tail / period).cast("int"))
+    looped = F.array_join(F.concat(F.slice(words, 1, a), F.slice(F.flatten(loop), 1, tail)), " ")
+    return F.when((h % 10 == 0) & (n > 0), looped).otherwise(F.col("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", looped_text().alias("text"))
+    line = lambda run: F.concat(run["start"], F.lit(","), run["length"], F.lit(","), run["period"], F.lit("\n"))
+    best = F.col("strongest")
+    return runs.periodic_runs(docs).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        F.sha2(F.encode(F.array_join(F.transform("runs", line), ""), "UTF-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -137,5 +180,6 @@ QUERIES = {
     "op8_url_rules": op8_url_rules,
     "op9_preference_examples": op9_preference_examples,
     "op10_output_codes": op10_output_codes,
+    "op11_periodic_runs": op11_periodic_runs,
     "pipeline": pipeline,
 }
