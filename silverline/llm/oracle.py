@@ -108,7 +108,45 @@ SELECT chosen, rejected, CAST(n AS INTEGER) AS n_common,
 FROM parts
 """
 
+OP12 = r"""
+WITH lines AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS line
+    FROM documents
+), pieces AS (
+    SELECT lang, regexp_extract_all(line, '[^\x20\x09]+') AS words FROM lines
+), grams AS (
+    SELECT lang, m, words[i : i + m - 1] AS g
+    FROM pieces, range(1, 4) AS size(m), range(1, len(words) - m + 2) AS place(i)
+), counts AS (
+    SELECT lang, m, g, count(*) AS f FROM grams GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE m = 1 GROUP BY lang
+), cuts AS (
+    SELECT c.lang, c.m, c.g, c.f AS a, k, x.f AS l, y.f AS r,
+        (1000000 * c.f::HUGEINT * c.f) // (x.f::HUGEINT * y.f) AS score
+    FROM counts c, range(1, c.m) AS cut(k)
+    JOIN counts x ON x.lang = c.lang AND x.g = c.g[1 : k]
+    JOIN counts y ON y.lang = c.lang AND y.g = c.g[k + 1 : c.m]
+    WHERE c.m >= 2 AND c.f >= 10
+), candidates AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1
+), longer AS (
+    SELECT lang, g[1 : 2] AS g, a FROM candidates WHERE m = 3
+    UNION ALL SELECT lang, g[2 : 3], a FROM candidates WHERE m = 3
+), kept AS (
+    SELECT lang, array_to_string(g, ' ') AS phrase, a, l, r, score::BIGINT AS score
+    FROM candidates c
+    WHERE NOT EXISTS (SELECT 1 FROM longer x WHERE x.lang = c.lang AND x.g = c.g AND 100 * x.a >= 50 * c.a)
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
 SQL = {
     "op6_certified_quality": OP6,
     "op9_preference_examples": OP9,
-    "op8_url_rules": OP8}
+    "op8_url_rules": OP8,
+    "op12_collocations": OP12,
+}

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from silverline.llm import (
+    collocations,
     cotraining,
     decontaminate,
     langid,
@@ -165,6 +166,10 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -181,5 +186,6 @@ QUERIES = {
     "op9_preference_examples": op9_preference_examples,
     "op10_output_codes": op10_output_codes,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_collocations": op12_collocations,
     "pipeline": pipeline,
 }

@@ -1,0 +1,152 @@
+"""Collocations and the filters under them: round trips, brute force over odd rows, and SQL over whole tables."""
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from silverline.llm import collocations, quotient
+
+
+@pytest.mark.parametrize("bits", [32, 34, 42, 62])
+@pytest.mark.parametrize("size", [2, 3, 4])
+def test_filters_lose_nothing(bits, size):
+    draw = np.random.default_rng(bits + size)
+    ids = [draw.integers(0, 2**bits, 3000, dtype=np.uint64) for _ in range(size)]
+    for values in ids:
+        values[:100] = 0
+        values[100:200] = 2**bits - 1
+    lanes, width = quotient.shape(size, bits)
+    packed = quotient.pack(ids, bits)
+    moved = quotient.permute(packed, width)
+    assert len(moved) == lanes and all((lane <= np.uint64(2**width - 1)).all() for lane in moved)
+    back = quotient.unpack(quotient.restore(moved, width), size, bits)
+    assert all((a == b).all() for a, b in zip(ids, back, strict=True))
+    # Two filters of overlapping halves, shard by shard, merge to the counts of all rows.
+    expected = Counter(zip(*(v.tolist() for v in ids[:]), strict=True))
+    found = Counter()
+    for shard in range(8):
+        blocks = []
+        for half in (slice(0, 2000), slice(2000, 3000)):
+            lanes_, counts = quotient.summed([lane[half] for lane in moved], np.full(3000, 300)[half])
+            bounds = quotient.shard_bounds(lanes_, width, 3)
+            a, b = bounds[shard], bounds[shard + 1]
+            blocks.append(quotient.encode([lane[a:b] for lane in lanes_], counts[a:b], width, 3))
+        entries, counts = quotient.merge(blocks, lanes, width, shard, 3)
+        own = quotient.unpack(quotient.restore(entries, width), size, bits)
+        found.update(dict(zip(zip(*(v.tolist() for v in own), strict=True), counts.tolist(), strict=True)))
+    assert found == Counter({k: 300 * c for k, c in expected.items()})
+
+
+def test_an_empty_filter():
+    block = quotient.encode([np.empty(0, np.uint64)] * 2, np.empty(0, np.int64), 51, 6)
+    entries, counts = quotient.merge([block, block], 2, 51, 5, 6)
+    assert [len(e) for e in entries] == [0, 0] and len(counts) == 0
+
+
+def test_shards_are_even_for_numbers_in_a_row():
+    ids = [np.arange(64_000, dtype=np.uint64), np.zeros(64_000, dtype=np.uint64)]
+    lanes = quotient.permute(quotient.pack(ids, 32), 64)
+    sizes = np.diff(quotient.shard_bounds(quotient.summed(lanes, np.ones(64_000, np.int64))[0], 64, 6))
+    assert sizes.min() > 800 and sizes.max() < 1200
+
+
+def test_tasks_and_vocabulary_agree_on_ids(spark):
+    rows = [("en", "the"), ("en", ""), ("", "the"), ("日本", "語 x"), ("und", "é" * 50)]
+    words = spark.createDataFrame(rows, "lang string, word string")
+    for attempt, bits in ((0, 32), (3, 62)):
+        found = {(r["lang"], r["word"]): r["id"] for r in words.withColumn("id", collocations.id_column(attempt, bits)).collect()}
+        assert found == {(g, w): collocations.word_id(w.encode(), g, attempt, bits) for g, w in rows}
+
+
+def test_words_that_share_an_id_get_another_seed(spark, monkeypatch):
+    monkeypatch.setattr(
+        collocations, "id_column", lambda attempt, bits: F.when(F.lit(attempt) < 2, F.lit(1)).otherwise(F.xxhash64("word")).cast("long")
+    )
+    words = spark.createDataFrame([("en", "a"), ("en", "b")], "lang string, word string")
+    assert collocations.with_ids(words)[1] == 2
+
+
+def brute_force(rows, longest=3, least=10, share=50, top=2000):
+    f, n = Counter(), Counter()
+    lower = {c: c + 32 for c in range(65, 91)}
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(lower)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(words)
+            for m in range(1, longest + 1):
+                f.update((lang, *words[i : i + m]) for i in range(len(words) - m + 1))
+    out = []
+    candidates = {g: a for g, a in f.items() if len(g) > 2 and a >= least}
+    around = {}
+    for g, a in candidates.items():
+        for m in range(2, len(g) - 1):
+            for i in range(1, len(g) - m + 1):
+                inner = (g[0], *g[i : i + m])
+                around[inner] = max(a, around.get(inner, 0))
+    for g, a in candidates.items():
+        if 100 * around.get(g, -1) >= share * a:
+            continue
+        cuts = [(f[g[: k + 1]], f[g[:1] + g[k + 1 :]]) for k in range(1, len(g) - 1)]
+        score, _, left, right = min((1000000 * a * a // (x * y), k, x, y) for k, (x, y) in enumerate(cuts))
+        out.append((g[0], " ".join(g[1:]), a, left, right, n[g[0]], score))
+    out.sort(key=lambda r: (r[0], -r[6], -r[2], r[1].encode()))
+    ranks = Counter()
+    result = []
+    for lang, phrase, a, left, right, total, score in out:
+        ranks[lang] += 1
+        if ranks[lang] <= top:
+            result.append((lang, ranks[lang], phrase, a, left, right, total, score))
+    return sorted(result)
+
+
+ODD = [
+    ("New York city. new york City, NEW YORK\tcity; york new", "en"),
+    ("É É é É É. a\x0bb\x0ca b\x1ca b", "en"),
+    ("same words here in another language new york", None),
+    ("same words here in another language new york", "und"),
+    (None, "de"),
+    ("", None),
+    (" \t.,;:!?\n", "de"),
+    ("a a a a a a a a a a a a a a a", "de"),
+    ("one two three four " * 3000, "fr"),
+    ("日本 語 日本 語, 日本 語", ""),
+]
+
+
+@pytest.mark.parametrize(("longest", "least", "share", "top"), [(3, 10, 50, 2000), (2, 1, 50, 3), (4, 2, 100, 2000), (3, 1, 1, 5)])
+def test_odd_rows_match_brute_force(spark, monkeypatch, longest, least, share, top):
+    monkeypatch.setattr(collocations, "BUFFER", 40)
+    monkeypatch.setattr(collocations, "TABLE", 5)
+    rows = ODD * 6
+    docs = spark.createDataFrame(rows, "text string, lang string").withColumns({"word": F.lit("mine"), "ids": F.lit(1), "f": F.lit("x")})
+    found = collocations.collocations(docs, longest=longest, least=least, share=share, top=top)
+    assert sorted(map(tuple, found.collect())) == brute_force(rows, longest, least, share, top)
+
+
+def test_tables_without_words(spark, none):
+    assert collocations.collocations(none).collect() == []
+    blank = spark.createDataFrame([(None, None), (" .", "en")], "text string, lang string")
+    assert collocations.collocations(blank).collect() == []
+    one = spark.createDataFrame([("word", "en")], "text string, lang string")
+    assert collocations.collocations(one).collect() == []
+
+
+def test_products_beyond_64_bits(spark):
+    """Counts as large as a whole corpus has go through the same exact arithmetic."""
+    words = spark.createDataFrame([(1, "en", "a", 3 * 10**12 + 1), (2, "en", "b", 10**13 + 7)], "id long, lang string, word string, f long")
+    phrases = spark.createDataFrame([([1, 2], 10**12 + 3)], "ids array<bigint>, f long")
+    (row,) = collocations._scored(phrases, words, 3).collect()
+    assert row["score"] == 10**6 * (10**12 + 3) ** 2 // ((3 * 10**12 + 1) * (10**13 + 7)) and row["phrase"] == "a b"
+
+
+def test_words_of_many_phrases_are_split_in_the_join(spark, monkeypatch):
+    monkeypatch.setattr(collocations, "hot_keys", lambda df, key: hot(df, key, rows_per_task=5))
+    from silverline.operators.joins import hot_keys as hot
+
+    rows = [(" ".join(f"the w{i} the" for _ in range(3)), "en") for i in range(40)]
+    found = collocations.collocations(spark.createDataFrame(rows, "text string, lang string"), least=2, share=200)
+    assert sorted(map(tuple, found.collect())) == brute_force(rows, least=2, share=200)
