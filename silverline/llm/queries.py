@@ -15,6 +15,7 @@ from silverline.llm import (
     preference,
     quality,
     runs,
+    secret_scan,
     sharding,
     simhash,
     token_files,
@@ -170,6 +171,23 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
 
 
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def joined(spans: Column) -> Column:
+        place = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+        return F.array_join(F.transform(spans, place), ",")
+
+    count = lambda kind: F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("secrets", lambda s: s["kind"] != "literal")
+    return found.select(
+        "doc_id",
+        *[count(kind) for kind in ("assign", "access", "hex")],
+        F.sha2(F.encode(joined(base), "UTF-8"), 256).alias("base_sha256"),
+        joined(F.col("secrets")).alias("spans"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
@@ -187,5 +205,6 @@ QUERIES = {
     "op10_output_codes": op10_output_codes,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_collocations": op12_collocations,
+    "op13_secret_scan": op13_secret_scan,
     "pipeline": pipeline,
 }
