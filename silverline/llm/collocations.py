@@ -6,7 +6,9 @@
 2. Every task counts its n-grams in counting quotient filters (:mod:`silverline.llm.quotient`),
    sorted and divided into shards by the first bits of the quotient. Shards are even whatever
    the text: a phrase that is everywhere is one entry of each block. Blocks of a shard are
-   merged; the permutation is undone, and what occurs often enough keeps its ids.
+   merged; the permutation is undone, and what occurs often enough keeps its ids. Words that are
+   surely rarer than a candidate has to be end a piece: a bit for each of 2^24 values of an id's
+   last bits says whether any frequent word has it, 2 MB whatever the vocabulary.
 3. Parts are looked up among the frequent words and phrases: a phrase is no more frequent
    than its parts, so they are all there. Words that are part of very many phrases are split
    in that join. Everything from here on is SQL functions with exact decimals.
@@ -36,7 +38,11 @@ LONGEST, LEAST, SHARE, TOP = 3, 10, 50, 2000
 SCALE = 1_000_000
 UNKNOWN = "und"
 # Words that a task counts together, entries that a merging task gets about, and the least number of shards (as bits).
-BUFFER, SHARD_WORDS, SHARD_BITS = 1_000_000, 4_000_000, 6
+BUFFER, SHARD_WORDS, SHARD_BITS = 1_000_000, 2_000_000, 6
+# Bits of an id that the map of frequent words goes by.
+MAP_BITS = 24
+# Parts that the ranking of a group is first made in.
+RANK_PARTS = 64
 # Distinct words of a task's table of ids, or of a task's counts, before it starts anew.
 TABLE = 500_000
 END_OF_PIECE, NO_WORD = b"\n", np.uint64(2**64 - 1)
@@ -121,13 +127,43 @@ def with_ids(words: DataFrame) -> tuple[DataFrame, int, int]:
         attempt += 1
 
 
+def frequency_map(numbered: DataFrame, least: int) -> np.ndarray:
+    """For every value of an id's last bits, whether a word that occurs ``least`` times may have it."""
+    slot = F.col("id").bitwiseAND((1 << MAP_BITS) - 1) + 1  # bitmaps number their bits from 1
+    rows = (
+        numbered.where(F.col("f") >= least)
+        .select(slot.alias("slot"))
+        .groupBy(F.bitmap_bucket_number("slot").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+        .collect()
+    )
+    each = 1 << 15  # bits of one bitmap
+    whole = np.zeros(1 << MAP_BITS, dtype=bool)
+    for row in rows:
+        begin = (row["bucket"] - 1) * each
+        whole[begin : begin + each] = np.unpackbits(np.frombuffer(row["bits"], np.uint8), bitorder="little")
+    return np.packbits(whole)
+
+
 def frequent_phrases(
-    docs: DataFrame, attempt: int, bits: int, words: int, longest: int = LONGEST, least: int = LEAST
+    docs: DataFrame,
+    attempt: int,
+    bits: int,
+    words: int,
+    longest: int = LONGEST,
+    least: int = LEAST,
+    frequent: np.ndarray | None = None,
 ) -> DataFrame:
-    """``ids`` and ``f`` of all phrases of 2 to ``longest`` words that occur ``least`` times; ``words``: of all texts, about."""
+    """``ids`` and ``f`` of all phrases of 2 to ``longest`` words that occur ``least`` times.
+
+    ``words``: how many all texts have, about; ``frequent``: a :func:`frequency_map`.
+    """
+    low = np.uint64((1 << MAP_BITS) - 1)
     shard_bits = max(SHARD_BITS, (words // SHARD_WORDS).bit_length())
 
     def blocks_of(ids: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if frequent is not None:
+            ids = np.where(np.unpackbits(frequent)[ids & low], ids, NO_WORD)
         for size in range(2, longest + 1):
             columns = [ids[i : len(ids) - size + 1 + i] for i in range(size)]
             whole = np.logical_and.reduce([c != NO_WORD for c in columns])
@@ -264,10 +300,16 @@ def collocations(
     if not total:
         return spark.createDataFrame([], RESULT)
     numbered, attempt, bits = with_ids(vocabulary)
-    phrases = cut(frequent_phrases(docs, attempt, bits, total, longest, least))
+    frequent = frequency_map(numbered, least)
+    phrases = cut(frequent_phrases(docs, attempt, bits, total, longest, least, frequent))
     scored = _scored(phrases, numbered.where(F.col("f") >= least), longest)
     kept = scored.where(F.coalesce(100 * F.col("longer") < share * F.col("a"), F.lit(True)))
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top)
+    # The best of each part of a group, then the best of those: no task gets a whole group.
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    part = F.pmod(F.xxhash64("phrase"), F.lit(RANK_PARTS))
+    for by in (["lang", part], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        kept = kept.withColumn("rank", place).where(F.col("rank") <= top)
+    ranked = kept
     schema = T.StructType.fromDDL(RESULT)
     return ranked.join(n, "lang").select(*[F.col(f.name).cast(f.dataType) for f in schema])
