@@ -37,7 +37,7 @@ from silverline.sources import (
     write_json,
     write_table,
 )
-from silverline.spec import ACCOUNTS, SPECS, TRANSACTIONS
+from silverline.spec import ACCOUNTS, CUSTOMERS, SPECS, TRANSACTIONS
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -383,6 +383,23 @@ def scan_csv_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv_text(spark, folder)
 
 
+@registered("scan_csv_drift")
+def scan_csv_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All customers from one folder whose files have three headers: other orders, other names, a late extra column."""
+    folder = scratch_folder(spark, "csv-drift")
+    raw = lens.raw_customers(spark, sf_dir).select("customer_id", "id_number", "dob", "province", "risk_score")
+    third = lambda n: raw.where(f"int(substr(id_number, 3)) % 3 = {n}")
+    renamed = third(1).selectExpr(
+        "province", "risk_score as `Risk Rating`", "id_number as `ID-Number`", "customer_id as cust_id", "dob as `date.of.birth`"
+    )
+    late = third(2).selectExpr("dob", "customer_id", "'R' || id_number as referrer", "id_number", "risk_score", "province")
+    for part in (third(0), renamed, late):
+        writer = part.write.mode("append").option("header", True).option("quoteAll", True)
+        writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
+    read = rename_aliases(normalise_columns(read_csv_text(spark, folder, CUSTOMERS.aliases)), CUSTOMERS.aliases)
+    return read.select("customer_id", "id_number", "dob", "province", "risk_score", "referrer")
+
+
 @registered("scan_jsonl_nested")
 def scan_jsonl_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_folder(spark, "jsonl")

@@ -425,6 +425,11 @@ SQL["bronze_metadata"] = on(
         FROM raw_accounts""",
 )
 SQL["scan_csv_strings"] = on(["raw_accounts"], "SELECT * FROM raw_accounts")
+SQL["scan_csv_drift"] = on(
+    ["raw_customers"],
+    """SELECT customer_id, id_number, dob, province, risk_score,
+         CASE WHEN CAST(substr(id_number, 3) AS BIGINT) % 3 = 2 THEN 'R' || id_number END AS referrer FROM raw_customers""",
+)
 SQL["scan_jsonl_nested"] = on(
     ["raw_transactions"],
     """SELECT transaction_id, account_id, transaction_date, amount, currency, province, city,

@@ -41,17 +41,42 @@ def distinct_columns(df: DataFrame) -> DataFrame:
     return select_by_position(df, [name.strip() for name in df.columns])
 
 
-def rename_aliases(df: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Rename the best present alias of every target that is not present itself."""
-    names = list(df.columns)
+def alias_names(names: Sequence[str], aliases: Mapping[str, Sequence[str]]) -> list[str]:
+    """The names, the best present alias of every target that is not present itself renamed."""
+    names = list(names)
     for target, candidates in aliases.items():
         if target not in names:
             present = [c for c in candidates if c in names]
             if present:
                 names[names.index(present[0])] = target
+    return names
+
+
+def rename_aliases(df: DataFrame, aliases: Mapping[str, Sequence[str]]) -> DataFrame:
+    """Rename the best present alias of every target that is not present itself."""
+    names = alias_names(df.columns, aliases)
     return df if names == df.columns else df.toDF(*names)
 
 
+def shared_spelling(
+    names: Sequence[str], spelling: dict[str, str], aliases: Mapping[str, Sequence[str]]
+) -> list[str]:
+    """``names``, each as its column was first spelt: names that normalise alike or are aliases of one target are one column.
+
+    ``spelling`` has the first spelling by meaning and takes what is new. Of columns of one
+    meaning the first gets that spelling; the others stay apart under a numbered name.
+    """
+    out: list[str] = []
+    for name, meaning in zip(names, alias_names([normalise_name(n) for n in names], aliases), strict=True):
+        wanted = spelling.setdefault(meaning, name)
+        taken = {n.lower() for n in out}
+        number, free = 2, wanted
+        while free.lower() in taken:
+            number, free = number + 1, f"{wanted}_{number}"
+        out.append(free)
+    return out
+
+
 def require_columns(df: DataFrame, required: Iterable[str], table: str) -> DataFrame:
     """Return ``df`` unchanged, or raise while the plan is being built."""
     missing = [name for name in required if name not in df.columns]

@@ -49,10 +49,10 @@ class Layout:
 def read_sources(
     spark: SparkSession, customers: str, accounts: str, transactions: str, transaction_schema: str | None = None
 ) -> dict[str, DataFrame]:
-    """The three raw inputs: two CSV files (or folders) and one of JSON lines."""
+    """The three raw inputs: two CSV files (or folders, whose files may differ in their headers) and one of JSON lines."""
     return {
-        "customers": read_csv_text(spark, customers),
-        "accounts": read_csv_text(spark, accounts),
+        "customers": read_csv_text(spark, customers, SPECS["customers"].aliases),
+        "accounts": read_csv_text(spark, accounts, SPECS["accounts"].aliases),
         "transactions": read_json_lines(spark, transactions, transaction_schema),
     }
 

@@ -2,16 +2,89 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import re
+from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverline.operators.shape import shared_spelling
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """CSV with a header; every column stays text."""
-    return spark.read.csv(path, header=True, inferSchema=False)
+
+def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> dict[str, list[str]]:
+    """The files below ``path`` by their first line, both in order of the file names; empty files are left out.
+
+    Every split is a task of its own that stops after one line, so the files are not read
+    for this. The driver gets a line per file, as it has a name per file from listing them.
+    """
+
+    def first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch
+            return
+
+    # Settings of a session of its own: no two splits in a task, one row in a batch.
+    apart = spark.newSession()
+    apart.conf.set("spark.sql.files.openCostInBytes", apart.conf.get("spark.sql.files.maxPartitionBytes"))
+    apart.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1")
+    lines = apart.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), "value"
+    )
+    found = lines.mapInArrow(first_line, lines.schema).where("start = 0").select("file", "value").collect()
+    groups: dict[str, list[str]] = {}
+    for file, line in sorted((r["file"], r["value"]) for r in found):
+        groups.setdefault(line.removeprefix("\ufeff").rstrip("\r"), []).append(file)
+    return groups
+
+
+def _as_path(uri: str) -> str:
+    """A file's URI as a path for a reader, which would take some characters for a pattern."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(uri))
+
+
+def _csv(reader: DataFrameReader, path: str | list[str], corrupt: str | None) -> DataFrame:
+    plain = reader.csv(path)
+    if corrupt is None or not plain.columns:
+        return plain
+    schema = T.StructType([*plain.schema.fields, T.StructField(corrupt, T.StringType())])
+    # Rows are judged by all their fields, whichever of them are asked for.
+    return reader.option("columnNameOfCorruptRecord", corrupt).option("columnPruning", False).schema(schema).csv(path)
+
+
+def read_csv_text(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    aliases: Mapping[str, Sequence[str]] | None = None,
+    corrupt: str | None = None,
+) -> DataFrame:
+    """CSV with a header; every column stays text.
+
+    The files of a folder may differ in their headers: files of one header are read together, and the
+    groups are united by name, so a column may have another place in each file, or be in some of them only (NULL
+    elsewhere). Names that normalise alike, or are ``aliases`` of one column, are one column under its first spelling.
+    Files of one header take one scan, as a single file does. With ``corrupt``, a column of that name
+    has the whole line of records whose number of fields is not the header's, NULL for all others.
+    """
+    where = path if isinstance(path, str) else list(path)
+    reader = lambda: spark.read.option("header", True).option("inferSchema", False)
+    several = len(spark.read.text(where).inputFiles()) > 1
+    groups = csv_headers(spark, where) if several else {}
+    if len(groups) <= 1:
+        return _csv(reader(), where, corrupt)
+    spelling: dict[str, str] = {}
+    frames = []
+    for files in groups.values():
+        own = reader()
+        if isinstance(path, str) and not re.search(r"[\[\]{}*?]", path):
+            own = own.option("basePath", path)  # keeps columns that are in the names of folders
+        frame = _csv(own, [_as_path(f) for f in files], corrupt)
+        frames.append(frame.toDF(*shared_spelling(frame.columns, spelling, aliases or {})))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
