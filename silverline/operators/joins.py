@@ -9,23 +9,39 @@ from pyspark.sql import functions as F
 ROWS_PER_TASK = 1_000_000
 # A key is hot when it has more than 1 / HOT_KEYS of all rows, so there are fewer hot keys than that.
 HOT_KEYS = 100_000
+# Places of the count vector that finds them: about ten for every hot key that there can be.
+BUCKETS = 1 << 20
+
+
+def bucket_counts(df: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """Rows with a key by the key's ``_bucket``, a hash of it: at most ``buckets`` rows of two numbers, from every task, too."""
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    known = df.select(key).where(F.col(key).isNotNull())
+    return known.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_rows"))
 
 
 def hot_keys(
-    df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, most: int = HOT_KEYS
+    df: DataFrame, key: str, rows_per_task: int = ROWS_PER_TASK, most: int = HOT_KEYS, buckets: int = BUCKETS
 ) -> DataFrame:
     """The hot keys of ``df`` and the number of parts (``_parts``) each is split into.
 
     A key is hot above ``max(rows_per_task, rows of df / most)`` rows. Every such key is
     listed, and by arithmetic there are fewer than ``most`` of them, so the result may be
     broadcast whatever the size of ``df``. A key that is not listed is either smaller than
-    a task or smaller than one of ``most`` equal tasks. Reads one column; rows are counted
-    per key before the shuffle, and nothing is sorted.
+    a task or smaller than one of ``most`` equal tasks.
+
+    Two passes over one column (and a count) find them without moving every key. The first counts rows
+    per bucket of the key's hash; a hot key's bucket is above the bound itself, and fewer than
+    ``most`` buckets are. The second counts exactly, but only keys in such buckets. The number of
+    buckets decides how many keys are counted for nothing, never the result.
     """
     known = df.select(key).where(F.col(key).isNotNull())
     bound = known.agg(F.greatest(F.lit(rows_per_task), F.count(F.lit(1)) / most).alias("bound")).scalar()
-    counts = known.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
-    return counts.where(F.col("_rows") > bound).select(
+    full = bucket_counts(df, key, buckets).where(F.col("_rows") > bound).select("_bucket")
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    suspects = known.join(F.broadcast(full), bucket == F.col("_bucket"), "left_semi")
+    exact = suspects.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    return exact.where(F.col("_rows") > bound).select(
         key, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_parts")
     )
 

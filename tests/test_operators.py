@@ -1,5 +1,6 @@
 """Shape, deduplication, joins and counts on small tables."""
 
+import random
 from collections import Counter
 from datetime import datetime
 from decimal import Decimal
@@ -165,6 +166,37 @@ def test_every_key_above_the_bound_is_hot(spark):
     assert "rangepartitioning" not in plan and "Limit" not in plan
 
 
+@pytest.mark.parametrize("buckets", [1, 3, 64, joins.BUCKETS])
+@pytest.mark.parametrize(("rows_per_task", "most"), [(5, 1000), (40, 10), (1, 10**9)])
+def test_hot_keys_equal_a_count_of_every_key(spark, buckets, rows_per_task, most):
+    """Whatever shares a bucket, the list is that of counting all keys; NULL is no key, an empty table has none."""
+    draw = random.Random(buckets + most)
+    keys = [None if i % 17 == 0 else f"k{int(draw.paretovariate(0.7)) % 300}" for i in range(3000)]
+    left = spark.createDataFrame([(k,) for k in keys], "k string")
+    counts = Counter(k for k in keys if k is not None)
+    bound = max(rows_per_task, counts.total() / most)
+    expected = Counter((k, -(-n // rows_per_task)) for k, n in counts.items() if n > bound)
+    assert rows(joins.hot_keys(left, "k", rows_per_task, most, buckets)) == expected
+    assert joins.hot_keys(left.limit(0), "k", rows_per_task, most, buckets).count() == 0
+
+
+def test_hot_keys_move_buckets_and_suspects_only(spark, tmp_path):
+    """No exchange by the key but behind the join that leaves keys of full buckets only."""
+    spark.range(20_000).selectExpr("if(id % 4 = 0, 'hot', 'k' || id) as k").write.parquet(str(tmp_path / "t"))
+    left = spark.read.parquet(str(tmp_path / "t"))
+    hot = joins.hot_keys(left, "k", rows_per_task=1000)
+    plan = hot._jdf.queryExecution().executedPlan().toString()
+    by_key = plan.index("Exchange hashpartitioning(k#")
+    assert plan.count("hashpartitioning(k#") == 1
+    assert by_key < plan.index("LeftSemi") and "BroadcastHashJoin" in plan
+    assert "SortMergeJoin" not in plan
+    assert rows(hot) == Counter([("hot", 5)])
+    assert plan.count("Exchange hashpartitioning") == 2  # buckets, and keys of full buckets
+    counted = joins.bucket_counts(left, "k")
+    assert counted.agg(F.sum("_rows")).first()[0] == 20_000
+    assert joins.bucket_counts(left, "k", 8).count() <= 8
+
+
 def test_split_join_needs_a_spread_column(skewed):
     left, lookup = skewed
     with pytest.raises(ValueError, match="spread_by"):
