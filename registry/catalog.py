@@ -20,6 +20,7 @@ from silverline.fixed_values import RECONCILED
 from silverline.operators.counts import amount_summary, duplicate_groups, null_counts, table_profile
 from silverline.operators.dedupe import distinct_values, latest_per_key, one_per_key, present_keys
 from silverline.operators.joins import hot_keys, lookup_join
+from silverline.operators.keyring import add_key, key_faults, resolve_collisions
 from silverline.operators.shape import (
     add_load_metadata,
     conform,
@@ -514,6 +515,28 @@ def key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counted)
 
 
+@registered("resolved_keys")
+def resolved_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys from so short a hash that many ids share one: all are distinct, and those of a first load stay in the second."""
+    every = lens.raw_accounts(spark, sf_dir).select(fn.trimmed_key(F.col("account_id")).alias("id")).where("id <> ''")
+    modulus = 8 * every.distinct().count() + 1009
+    first = every.where("length(id) % 2 = 0 or id like '%3'")
+    moved = resolve_collisions(first, "id", modulus=modulus)
+    known = add_key(first.distinct(), "id", "sk", moved, modulus)
+    moved = resolve_collisions(every, "id", moved, known, modulus)
+    keyed = add_key(every, "id", "sk", moved, modulus)
+    both = keyed.distinct().join(known.withColumnRenamed("sk", "first_sk"), "id", "left")
+    counted = both.agg(
+        F.countDistinct("id").alias("n_ids"),
+        F.countDistinct("sk").alias("n_keys"),
+        F.count("first_sk").alias("n_kept"),
+        F.count_if(F.col("sk") != F.col("first_sk")).alias("n_changed"),
+        F.count_if(F.col("sk").isNull() | (F.col("sk") < 0) | (F.col("sk") >= modulus)).alias("n_out_of_range"),
+    )
+    faults = key_faults(keyed, "id", "sk")
+    return counted.select("*", *[faults.select(name).scalar().alias(name) for name in ("repeated", "collided")])
+
+
 # --- integrity and counts ----------------------------------------------------------------
 
 

@@ -425,6 +425,13 @@ SQL["bronze_metadata"] = on(
         FROM raw_accounts""",
 )
 SQL["scan_csv_strings"] = on(["raw_accounts"], "SELECT * FROM raw_accounts")
+SQL["resolved_keys"] = on(
+    ["raw_accounts"],
+    """SELECT count(*) AS n_ids, count(*) AS n_keys, count(*) FILTER (length(id) % 2 = 0 OR id LIKE '%3') AS n_kept,
+         CAST(0 AS BIGINT) AS n_changed, CAST(0 AS BIGINT) AS n_out_of_range,
+         count(*) FILTER (n > 1) AS repeated, CAST(0 AS BIGINT) AS collided
+       FROM (SELECT trim(account_id) AS id, count(*) AS n FROM raw_accounts WHERE trim(account_id) <> '' GROUP BY ALL)""",
+)
 SQL["scan_csv_drift"] = on(
     ["raw_customers"],
     """SELECT customer_id, id_number, dob, province, risk_score,

@@ -2,11 +2,13 @@
 
 The inputs are silver tables, which hold one row per key; no further distinct is
 needed, so none is paid for. ``hot_*`` arguments take the result of
-:func:`silverline.operators.joins.hot_keys` and split heavy keys in the joins.
+:func:`silverline.operators.joins.hot_keys` and split heavy keys in the joins. ``keys`` has the lists
+of :func:`silverline.operators.keyring.resolve_collisions` by id column, for ids whose hash is another's key.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
 
 from pyspark.sql import Column, DataFrame
@@ -14,13 +16,22 @@ from pyspark.sql import functions as F
 
 from silverline import functions as fn
 from silverline.operators.joins import lookup_join, unmatched_row_count
+from silverline.operators.keyring import add_key
 from silverline.operators.shape import column_or_null
 
 
-def dim_customers(customers: DataFrame, as_of: date | Column | None = None) -> DataFrame:
+Keys = Mapping[str, DataFrame | None]
+
+
+def _keyed(df: DataFrame, key: str, keys: Keys | None) -> DataFrame:
+    """``df`` with the surrogate key of one of its ids."""
+    return add_key(df, key, key.removesuffix("_id") + "_sk", (keys or {}).get(key))
+
+
+def dim_customers(customers: DataFrame, as_of: date | Column | None = None, keys: Keys | None = None) -> DataFrame:
     texts = ("gender", "province", "income_band", "segment")
-    return customers.select(
-        fn.surrogate_key(F.col("customer_id")).alias("customer_sk"),
+    return _keyed(customers, "customer_id", keys).select(
+        "customer_sk",
         F.col("customer_id").cast("string").alias("customer_id"),
         *[column_or_null(customers, name, "string") for name in texts],
         column_or_null(customers, "risk_score", "int"),
@@ -30,7 +41,7 @@ def dim_customers(customers: DataFrame, as_of: date | Column | None = None) -> D
 
 
 def dim_accounts(
-    accounts: DataFrame, customers: DataFrame, hot_customers: DataFrame | None = None
+    accounts: DataFrame, customers: DataFrame, hot_customers: DataFrame | None = None, keys: Keys | None = None
 ) -> DataFrame:
     """Accounts of known customers. Only existence matters, hence the semi join."""
     known = lookup_join(
@@ -41,8 +52,8 @@ def dim_accounts(
         hot=hot_customers,
         spread_by="account_id",
     )
-    return known.select(
-        fn.surrogate_key(F.col("account_id")).alias("account_sk"),
+    return _keyed(known, "account_id", keys).select(
+        "account_sk",
         *[column_or_null(known, n, "string") for n in ("account_id", "customer_id")],
         *[column_or_null(known, n, "string") for n in ("account_type", "account_status")],
         column_or_null(known, "account_open_date", "date").alias("open_date"),
@@ -58,6 +69,7 @@ def fact_transactions(
     customers: DataFrame | None = None,
     hot_accounts: DataFrame | None = None,
     hot_customers: DataFrame | None = None,
+    keys: Keys | None = None,
 ) -> DataFrame:
     """Transactions of known accounts of known customers.
 
@@ -72,13 +84,13 @@ def fact_transactions(
         linked = lookup_join(
             linked, customers.select("customer_id"), "customer_id", "left_semi", hot=hot_customers, spread_by="account_id"
         )
-    linked = linked.select("account_id", "account_sk", fn.surrogate_key(F.col("customer_id")).alias("customer_sk"))
+    linked = _keyed(linked, "customer_id", keys).select("account_id", "account_sk", "customer_sk")
     joined = lookup_join(
         transactions, linked, "account_id", hot=hot_accounts, spread_by="transaction_id"
     )
     texts = ("transaction_type", "merchant_category", "merchant_subcategory")
-    return joined.select(
-        fn.surrogate_key(F.col("transaction_id")).alias("transaction_sk"),
+    return _keyed(joined, "transaction_id", keys).select(
+        "transaction_sk",
         F.col("transaction_id").cast("string").alias("transaction_id"),
         "account_sk",
         "customer_sk",

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from silverline.fixed_values import SOURCE_LABELS
 from silverline.operators.joins import hot_keys
+from silverline.operators.keyring import key_faults, resolve_collisions
 from silverline.operators.shape import add_load_metadata
 from silverline.plans import gold, reports
 from silverline.plans.issues import as_code_rows, issue_summary, table_issue_counts
@@ -39,6 +40,10 @@ class Layout:
         """Where the hot values of a join key are kept."""
         return f"{self.root.rstrip('/')}/hot/{key}"
 
+    def keys(self, key: str) -> str:
+        """Where the ids are listed that have another key than their hash."""
+        return f"{self.root.rstrip('/')}/keys/{key}"
+
     def report(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/reports/{name}"
 
@@ -74,25 +79,55 @@ def _hot(spark: SparkSession, layout: Layout, name: str) -> DataFrame | None:
     return open_tables(spark, {name: layout.hot(name)})[name]
 
 
+# The gold table, id and surrogate key of each silver table.
+KEYED = {
+    "customers": ("gold_dim_customers", "customer_id", "customer_sk"),
+    "accounts": ("gold_dim_accounts", "account_id", "account_sk"),
+    "transactions": ("gold_fact_transactions", "transaction_id", "transaction_sk"),
+}
+
+
+def resolve_keys(spark: SparkSession, layout: Layout) -> dict[str, DataFrame | None]:
+    """The ids of each silver table that cannot have their hash as key; the lists are written for the next run.
+
+    Keys of the gold tables that are there from an earlier run stay as they are.
+    """
+    lists = {}
+    for name, (gold_table, key, sk) in KEYED.items():
+        ids = read_table(spark, layout.table(f"silver_{name}"))
+        earlier, used = open_tables(spark, {"list": layout.keys(key), "gold": layout.table(gold_table)}).values()
+        owners = None if used is None else used.select(key, F.col(sk).alias("sk"))
+        lists[key] = resolve_collisions(ids, key, earlier, owners)
+        if lists[key] is not None:
+            write_table(lists[key], layout.keys(key))
+    return lists
+
+
 def load_gold(
-    spark: SparkSession, layout: Layout, as_of: date | None = None, partition_by: Sequence[str] = ()
+    spark: SparkSession,
+    layout: Layout,
+    as_of: date | None = None,
+    partition_by: Sequence[str] = (),
+    unique_keys: bool = True,
 ) -> None:
     """Dimensions and fact; ``partition_by`` lays the fact out by the values of some columns.
 
-    Hot keys are counted once and written, for these joins and for the reports.
+    Hot keys are counted once and written, for these joins and for the reports. With ``unique_keys`` ids
+    of equal hash are found first (one shuffle of hashes per table) and get different keys.
     """
     silver = {name: read_table(spark, layout.table(f"silver_{name}")) for name in SPECS}
+    keys = resolve_keys(spark, layout) if unique_keys else {}
     write_table(hot_keys(silver["accounts"], "customer_id"), layout.hot("customer_id"))
     write_table(hot_keys(silver["transactions"], "account_id"), layout.hot("account_id"))
     hot_customers, hot_accounts = (read_table(spark, layout.hot(key)) for key in ("customer_id", "account_id"))
 
-    write_table(gold.dim_customers(silver["customers"], as_of), layout.table("gold_dim_customers"))
+    write_table(gold.dim_customers(silver["customers"], as_of, keys), layout.table("gold_dim_customers"))
     customers = read_table(spark, layout.table("gold_dim_customers"))
     write_table(
-        gold.dim_accounts(silver["accounts"], customers, hot_customers), layout.table("gold_dim_accounts")
+        gold.dim_accounts(silver["accounts"], customers, hot_customers, keys), layout.table("gold_dim_accounts")
     )
     accounts = read_table(spark, layout.table("gold_dim_accounts"))
-    fact = gold.fact_transactions(silver["transactions"], accounts, hot_accounts=hot_accounts)
+    fact = gold.fact_transactions(silver["transactions"], accounts, hot_accounts=hot_accounts, keys=keys)
     write_table(fact, layout.table("gold_fact_transactions"), partition_by=partition_by)
 
 
@@ -121,7 +156,7 @@ def validate(spark: SparkSession, layout: Layout) -> DataFrame:
 def write_validation(spark: SparkSession, layout: Layout) -> None:
     """Write the check rows, what is wrong in them, the two grouped reports and the samples as JSON.
 
-    ``findings`` has a row for each missing or unexpected value of a domain, ``messages``
+    ``key_faults`` tells repeated rows of a key from different ids that share one; ``findings`` has a row for each missing or unexpected value of a domain, ``messages``
     one for each failed check.
     """
     tables = open_tables(spark, layout.paths())
@@ -139,6 +174,13 @@ def write_validation(spark: SparkSession, layout: Layout) -> None:
         write_json(reduce(DataFrame.unionByName, map(findings, written.values())), layout.report("findings"))
     checked = spark.read.schema(report.schema).json(layout.report("validation"))
     write_json(failure_messages(checked), layout.report("messages"))
+    faults = [
+        key_faults(tables[name], key, sk).select(F.lit(name).alias("table_name"), "repeated", "collided")
+        for name, key, sk in KEYED.values()
+        if tables[name] is not None
+    ]
+    if faults:
+        write_json(reduce(DataFrame.unionByName, faults), layout.report("key_faults"))
     fact, accounts, customers = (
         tables[f"gold_{name}"] for name in ("fact_transactions", "dim_accounts", "dim_customers")
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
@@ -20,3 +20,10 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"{purpose}-")
+
+
+def materialised(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` written to a new scratch folder and read from there: computed once, free of its lineage."""
+    path = scratch_folder(df.sparkSession, purpose)
+    df.write.parquet(path, mode="overwrite")
+    return df.sparkSession.read.schema(df.schema).parquet(path)

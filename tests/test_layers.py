@@ -16,6 +16,7 @@ from silverline import __main__ as command_line
 from silverline import sources
 from silverline.fixed_values import ISSUE_HANDLING, TRANSACTION_TYPES
 from silverline.functions import categories
+from silverline.operators import keyring
 from silverline.operators.joins import hot_keys
 from silverline.plans import gold, issues, layers, reports, silver, validation
 from silverline.spec import ACCOUNTS, CUSTOMERS, SPECS, TRANSACTIONS
@@ -494,3 +495,32 @@ def test_stages_from_the_command_line(spark, tmp_path):
     assert "domains: province_unexpected_values is 1" in messages
     with pytest.raises(SystemExit):
         command_line.options([f"--output={out}"])
+
+
+def test_layers_with_colliding_hashes(spark, tmp_path, monkeypatch):
+    """With 97 hashes for 24 ids the layers still join rightly, and a second load changes no key."""
+    hashed = keyring.seeded_key
+    monkeypatch.setattr(keyring, "seeded_key", lambda value, attempt, modulus=0: hashed(value, attempt, 97))
+    layout = layers.Layout(str(tmp_path / "out"))
+
+    def load(n):
+        customers = spark.range(n).selectExpr("'C' || id as customer_id", "'gp' as province")
+        accounts = spark.range(n).selectExpr("'A' || id as account_id", "'C' || id as customer_id")
+        transactions = spark.range(n).selectExpr(
+            "'T' || id as transaction_id", "'A' || id as account_id", "'2024-01-05' as transaction_date", "'1' as amount"
+        )
+        raw = {"customers": customers, "accounts": accounts, "transactions": transactions}
+        layers.run(spark, raw, layout, LOADED, AS_OF, stages=("bronze", "silver", "gold", "validate"))
+        fact = table(spark, layout, "gold_fact_transactions")
+        owners = {r.customer_sk: r.customer_id for r in table(spark, layout, "gold_dim_customers").collect()}
+        holders = {r.account_sk: r.account_id for r in table(spark, layout, "gold_dim_accounts").collect()}
+        found = {r.transaction_id: (r.transaction_sk, owners[r.customer_sk], holders[r.account_sk]) for r in fact.collect()}
+        assert {k: v[1:] for k, v in found.items()} == {f"T{i}": (f"C{i}", f"A{i}") for i in range(n)}
+        assert len({v[0] for v in found.values()}) == len(owners) == len(holders) == n
+        faults = json_rows(layout.report("key_faults"))
+        assert len(faults) == 3 and all((r["repeated"], r["collided"]) == (0, 0) for r in faults)
+        return owners, holders, {v[0]: k for k, v in found.items()}
+
+    for before, after in zip(load(12), load(24), strict=True):
+        assert before.items() <= after.items()
+    assert table(spark, layout, "gold_dim_customers").where("customer_sk >= 97").count() == 0
