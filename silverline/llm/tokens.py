@@ -13,11 +13,10 @@ import json
 import re
 from array import array
 from collections.abc import Iterable, Iterator
-from itertools import chain, islice
 
 # The public tokenizer of the registered queries, and the id that ends a document there.
 TOKENIZER, END_ID = "byte_bpe_50k.json", 2
-# Entries of one generation of the table of pieces, and characters of its longest entries.
+# Entries of one generation of the table of pieces, and of the pieces seen once; characters of its longest entries.
 PIECES, LONGEST = 160_000, 32
 # Characters of the texts that are encoded together.
 TOGETHER = 200_000
@@ -50,28 +49,37 @@ def public_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
-class _Table:
-    """A dictionary of bounded size: what was not asked for during a whole generation is forgotten."""
+class _Table(dict):
+    """Ids by piece, of bounded size; ``find`` gives those of a new piece.
+
+    A piece is kept apart until it is asked for again: most pieces of a corpus are seen once, and these do
+    not push out the others. What was not asked for during a whole generation is forgotten.
+    """
 
     def __init__(self, entries: int, find):
+        super().__init__()
         self._entries, self._find = entries, find
-        self._new: dict[str, bytes] = {}
+        self._once: dict[str, bytes] = {}
         self._old: dict[str, bytes] = {}
 
-    def get(self, keys: list[str]) -> list[bytes]:
-        """The values of the keys in order; ``find`` gives those of new keys."""
-        new, old = self._new, self._old
-        unknown = set(keys).difference(new)
-        missing = [k for k in unknown if k not in old]
-        new.update((k, old[k]) for k in unknown if k in old)
-        new.update(zip(missing, self._find(missing), strict=True))
-        values = list(map(new.__getitem__, keys))
-        for key in missing:
-            if len(key) > LONGEST:
-                del new[key]
-        if len(new) > self._entries:
-            self._old, self._new = new, {}
-        return values
+    def __missing__(self, piece: str) -> bytes:
+        ids = self._old.get(piece) or self._once.pop(piece, None)
+        if ids is not None:
+            self[piece] = ids
+            return ids
+        ids = self._find(piece)
+        if len(piece) <= LONGEST:
+            if len(self._once) >= self._entries:
+                self._once = {}
+            self._once[piece] = ids
+        return ids
+
+    def aged(self) -> "_Table":
+        """Begin a new generation if this one is full."""
+        if len(self) > self._entries:
+            self._old = dict(self)
+            self.clear()
+        return self
 
 
 class Encoder:
@@ -93,29 +101,23 @@ class Encoder:
         self._added = [t["content"] for t in spec.get("added_tokens", [])]
         self._model = self._tokenizer.model
         self._letters = _byte_letters()
-        self._pieces = _Table(PIECES, self._new_pieces)
+        self._pieces = _Table(PIECES, self._new_piece)
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False) if texts else []
         return [array("I", e.ids).tobytes() for e in encoded]
 
-    def _new_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Whole pieces by the model alone, which is what the tokenizer would do with them."""
-        merge, letters, whole = self._model.tokenize, self._letters, _WHOLE.fullmatch
-        ids: dict[str, bytes] = {}
-        for piece in pieces:
-            if whole(piece):
-                spelt = piece if piece.isascii() else piece.encode().decode("latin-1")
-                ids[piece] = array("I", [t.id for t in merge(spelt.translate(letters))]).tobytes()
-        others = [p for p in pieces if p not in ids]
-        ids.update(zip(others, self._plain(others), strict=True))
-        return [ids[p] for p in pieces]
+    def _new_piece(self, piece: str) -> bytes:
+        """A whole piece by the model alone, which is what the tokenizer would do with it."""
+        if not _WHOLE.fullmatch(piece):
+            return self._plain([piece])[0]
+        spelt = piece if piece.isascii() else piece.encode().decode("latin-1")
+        return array("I", [t.id for t in self._model.tokenize(spelt.translate(self._letters))]).tobytes()
 
     def _cut(self, texts: list[str]) -> list[bytes]:
-        """Texts by their pieces."""
-        pieces = [_PIECES.findall(t) for t in texts]
-        ids = iter(self._pieces.get(list(chain.from_iterable(pieces))))
-        return [b"".join(islice(ids, len(own))) for own in pieces]
+        """Texts by their pieces: one lookup a piece."""
+        ids_of = self._pieces.aged().__getitem__
+        return [b"".join(map(ids_of, _PIECES.findall(text))) for text in texts]
 
     def _some(self, texts: list[str]) -> list[bytes]:
         if not self._by_piece:
