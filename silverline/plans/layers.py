@@ -15,10 +15,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverline.fixed_values import SOURCE_LABELS
+from silverline.functions.keys import trimmed_key
 from silverline.operators.joins import hot_keys
 from silverline.operators.keyring import key_faults, resolve_collisions
 from silverline.operators.shape import add_load_metadata
-from silverline.plans import gold, reports
+from silverline.plans import gold, quarantine, reports
 from silverline.plans.issues import as_code_rows, issue_summary, table_issue_counts
 from silverline.plans.silver import build, prepare
 from silverline.plans.validation import CHECKED, domain_values, failure_messages, findings, validation_report
@@ -44,6 +45,10 @@ class Layout:
         """Where the ids are listed that have another key than their hash."""
         return f"{self.root.rstrip('/')}/keys/{key}"
 
+    def quarantine(self, name: str) -> str:
+        """Where the records are kept that a table did not take, or took with a value missing."""
+        return f"{self.root.rstrip('/')}/quarantine/{name}"
+
     def report(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/reports/{name}"
 
@@ -52,13 +57,22 @@ class Layout:
 
 
 def read_sources(
-    spark: SparkSession, customers: str, accounts: str, transactions: str, transaction_schema: str | None = None
+    spark: SparkSession,
+    customers: str,
+    accounts: str,
+    transactions: str,
+    transaction_schema: str | None = None,
+    keep_malformed: bool = False,
 ) -> dict[str, DataFrame]:
-    """The three raw inputs: two CSV files (or folders, whose files may differ in their headers) and one of JSON lines."""
+    """The three raw inputs: two CSV files (or folders, whose files may differ in their headers) and one of JSON lines.
+
+    With ``keep_malformed``, lines that do not fit their header or are no JSON come along as they are.
+    """
+    corrupt = quarantine.CORRUPT if keep_malformed else None
     return {
-        "customers": read_csv_text(spark, customers, SPECS["customers"].aliases),
-        "accounts": read_csv_text(spark, accounts, SPECS["accounts"].aliases),
-        "transactions": read_json_lines(spark, transactions, transaction_schema),
+        "customers": read_csv_text(spark, customers, SPECS["customers"].aliases, corrupt),
+        "accounts": read_csv_text(spark, accounts, SPECS["accounts"].aliases, corrupt),
+        "transactions": read_json_lines(spark, transactions, transaction_schema, corrupt),
     }
 
 
@@ -131,6 +145,41 @@ def load_gold(
     write_table(fact, layout.table("gold_fact_transactions"), partition_by=partition_by)
 
 
+# The gold table that the rows of a silver table become, the column that names the parent, its table and the code.
+PARENTS = {
+    "accounts": ("gold_dim_accounts", "customer_id", "gold_dim_customers", quarantine.UNLINKED),
+    "transactions": ("gold_fact_transactions", "account_id", "gold_dim_accounts", "ORPHANED_ACCOUNT"),
+}
+
+
+def write_quarantine(spark: SparkSession, layout: Layout) -> None:
+    """Keep the records that silver and gold did not take, and those with values that could not be read.
+
+    ``quarantine/silver_...`` and ``quarantine/gold_...`` hold rejected records, ``quarantine/reported_...`` the
+    others; ``reports/quarantine_balance`` says for each step that what was kept and what was rejected is all that came.
+    """
+    steps = {}
+    for name, spec in SPECS.items():
+        bronze, kept = (read_table(spark, layout.table(f"{layer}_{name}")) for layer in ("bronze", "silver"))
+        hot = hot_keys(prepare(bronze, spec).select(trimmed_key(F.col(spec.key)).alias("record_key")), "record_key")
+        parts = {
+            f"silver_{name}": quarantine.silver_rejects(bronze, spec, hot),
+            f"reported_{name}": quarantine.reported_records(bronze, spec),
+        }
+        tables = {f"silver_{name}": (bronze, kept)}
+        if name in PARENTS:
+            gold_table, key, parents, code = PARENTS[name]
+            parents = read_table(spark, layout.table(parents))
+            parts[gold_table] = quarantine.gold_rejects(kept, parents, spec, key, code, _hot(spark, layout, key))
+            tables[gold_table] = (kept, read_table(spark, layout.table(gold_table)))
+        for part, rows in parts.items():
+            write_table(rows, layout.quarantine(part))
+        steps |= {
+            step: (came, taken, read_table(spark, layout.quarantine(step))) for step, (came, taken) in tables.items()
+        }
+    write_json(quarantine.balance(steps), layout.report("quarantine_balance"))
+
+
 def issue_counts(spark: SparkSession, layout: Layout) -> DataFrame:
     """Issue counts of the written layers, one row per table and code."""
     bronze = [
@@ -195,7 +244,7 @@ def write_validation(spark: SparkSession, layout: Layout) -> None:
 
 
 # The stages in their order.
-STAGES = ("bronze", "silver", "gold", "quality", "validate")
+STAGES = ("bronze", "silver", "gold", "quarantine", "quality", "validate")
 
 
 def run(
@@ -209,7 +258,7 @@ def run(
     compute_issues: bool = True,
     stages: Sequence[str] = STAGES,
 ) -> None:
-    """Raw inputs to gold, then the data-quality summary and the validation report.
+    """Raw inputs to gold, then rejected records, the data-quality summary and the validation report.
 
     ``stages`` picks some of them; each reads what earlier ones have written. ``sources`` are
     needed by bronze only.
@@ -218,6 +267,7 @@ def run(
         "bronze": lambda: load_bronze(sources, layout, ingested_at),
         "silver": lambda: load_silver(spark, layout, flag_issues),
         "gold": lambda: load_gold(spark, layout, as_of, partition_by),
+        "quarantine": lambda: write_quarantine(spark, layout),
         "quality": lambda: write_issue_summary(spark, layout, compute_issues),
         "validate": lambda: write_validation(spark, layout),
     }

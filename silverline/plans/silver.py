@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,8 +19,10 @@ def prepare(raw: DataFrame, spec: TableSpec) -> DataFrame:
     return require_columns(named, spec.required, spec.name)
 
 
-def clean(prepared: DataFrame, spec: TableSpec, flag_issues: bool = False) -> DataFrame:
-    """All silver columns, before deduplication.
+def clean(
+    prepared: DataFrame, spec: TableSpec, flag_issues: bool = False, carry: Sequence[str] = ()
+) -> DataFrame:
+    """All silver columns, before deduplication, and those of ``carry`` as they are.
 
     Columns that follow from other silver columns come in a second projection,
     so that what they follow from (the event time) is parsed only once.
@@ -26,21 +30,23 @@ def clean(prepared: DataFrame, spec: TableSpec, flag_issues: bool = False) -> Da
     columns = {f.name: f.expression(prepared) for f in spec.fields if f.after is None}
     if flag_issues and "dq_flag" in columns:
         columns["dq_flag"] = row_issue(prepared, spec).alias("dq_flag")
-    cleaned = prepared.select(*columns.values())
+    cleaned = prepared.select(*columns.values(), *carry)
     if len(columns) == len(spec.fields):
         return cleaned
     return cleaned.select(
-        *[F.col(f.name) if f.after is None else f.expression(cleaned) for f in spec.fields]
+        *[F.col(f.name) if f.after is None else f.expression(cleaned) for f in spec.fields], *carry
     )
 
 
+def tie_breakers(spec: TableSpec) -> list[str]:
+    """The columns that settle which of equally new records is kept: those that do not follow from others."""
+    return [f.name for f in spec.fields if f.after is None and f.name not in (spec.key, *spec.newest_first)]
+
+
 def build(raw: DataFrame, spec: TableSpec, flag_issues: bool = False) -> DataFrame:
     """Silver table of ``spec`` from raw or bronze records."""
     cleaned = clean(prepare(raw, spec), spec, flag_issues)
-    ranked_by = (spec.key, *spec.newest_first)
-    # Columns that follow from others cannot settle a tie.
-    ties = [f.name for f in spec.fields if f.after is None and f.name not in ranked_by]
-    return latest_per_key(cleaned, spec.key, spec.newest_first, ties)
+    return latest_per_key(cleaned, spec.key, spec.newest_first, tie_breakers(spec))
 
 
 def silver_customers(raw: DataFrame) -> DataFrame:

@@ -87,14 +87,26 @@ def read_csv_text(
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def read_json_lines(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
+def read_json_lines(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, corrupt: str | None = None
+) -> DataFrame:
     """One JSON object per line; every leaf stays text, structs are kept.
 
     Without a schema the field names are found by an extra pass over the files,
-    which is what lets renamed columns through. Give a schema to save that pass.
+    which is what lets renamed columns through. Give a schema to save that pass. With ``corrupt``,
+    a column of that name has every line that is no JSON object, NULL for all others.
     """
     reader = spark.read.option("multiLine", False).option("primitivesAsString", True)
-    return (reader if schema is None else reader.schema(schema)).json(path)
+    if corrupt is None:
+        return (reader if schema is None else reader.schema(schema)).json(path)
+    reader = reader.option("columnNameOfCorruptRecord", corrupt)
+    if schema is None:
+        schema = reader.json(path).schema
+    elif isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    if corrupt not in schema.names:
+        schema = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    return reader.schema(schema).json(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
