@@ -31,8 +31,10 @@ from silverline.operators.shape import (
 )
 from silverline.plans import gold, issues, layers, quarantine, reports, silver, validation
 from silverline.sources import (
+    json_fields,
     read_csv_text,
     read_json_lines,
+    read_json_records,
     read_table,
     scratch_folder,
     write_json,
@@ -418,6 +420,16 @@ def scan_jsonl_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@registered("scan_jsonl_one_pass")
+def scan_jsonl_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records in one scan, without discovering their fields."""
+    folder = scratch_folder(spark, "jsonl")
+    write_json(lens.raw_transactions(spark, sf_dir), folder)
+    plain = ("transaction_id", "account_id", "transaction_date", "amount", "currency")
+    nested = {"province": ["location.province"], "city": ["location.city"], "retry_flag": ["metadata.retry_flag"]}
+    return json_fields(read_json_records(spark, folder), {n: [n] for n in plain} | nested)
+
+
 @registered("scan_parquet_counts")
 def scan_parquet_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = ("customer", "orders", "lineitem", "nation", "region", "events")

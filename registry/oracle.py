@@ -442,6 +442,7 @@ SQL["scan_jsonl_nested"] = on(
     """SELECT transaction_id, account_id, transaction_date, amount, currency, province, city,
          CASE WHEN retry_flag THEN 'true' ELSE 'false' END AS retry_flag FROM raw_transactions""",
 )
+SQL["scan_jsonl_one_pass"] = SQL["scan_jsonl_nested"]
 SQL["scan_parquet_counts"] = " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
     for t in ("customer", "orders", "lineitem", "nation", "region", "events")

@@ -23,6 +23,7 @@ def options(arguments: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--flag-issues", action="store_true", help="fill dq_flag in silver")
     parser.add_argument("--orphans-only", action="store_true", help="report 0 for every other issue code")
     parser.add_argument("--keep-malformed", action="store_true", help="keep lines that cannot be read, for quarantine")
+    parser.add_argument("--one-pass", action="store_true", help="scan the JSON lines once, for the columns that silver knows")
     parser.add_argument("--partition-by", nargs="+", default=(), help="columns that lay out the fact")
     given = parser.parse_args(arguments)
     if "bronze" in given.stages and None in (given.customers, given.accounts, given.transactions):
@@ -35,7 +36,13 @@ def main(arguments: Sequence[str] | None = None) -> None:
     spark = SparkSession.builder.appName("silverline").getOrCreate()
     sources = (
         read_sources(
-            spark, given.customers, given.accounts, given.transactions, given.transaction_schema, given.keep_malformed
+            spark,
+            given.customers,
+            given.accounts,
+            given.transactions,
+            given.transaction_schema,
+            given.keep_malformed,
+            given.one_pass,
         )
         if "bronze" in given.stages
         else {}

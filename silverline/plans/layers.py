@@ -23,8 +23,17 @@ from silverline.plans import gold, quarantine, reports
 from silverline.plans.issues import as_code_rows, issue_summary, table_issue_counts
 from silverline.plans.silver import build, prepare
 from silverline.plans.validation import CHECKED, domain_values, failure_messages, findings, validation_report
-from silverline.sources import open_tables, read_csv_text, read_json_lines, read_table, write_json, write_table
-from silverline.spec import SPECS
+from silverline.sources import (
+    json_fields,
+    open_tables,
+    read_csv_text,
+    read_json_lines,
+    read_json_records,
+    read_table,
+    write_json,
+    write_table,
+)
+from silverline.spec import SPECS, raw_names
 
 
 @dataclass(frozen=True)
@@ -63,16 +72,26 @@ def read_sources(
     transactions: str,
     transaction_schema: str | None = None,
     keep_malformed: bool = False,
+    one_pass: bool = False,
 ) -> dict[str, DataFrame]:
     """The three raw inputs: two CSV files (or folders, whose files may differ in their headers) and one of JSON lines.
 
-    With ``keep_malformed``, lines that do not fit their header or are no JSON come along as they are.
+    With ``keep_malformed``, lines that do not fit their header or are no JSON come along as they are. With ``one_pass``
+    transactions are scanned once: the columns that silver knows, under any of their names, and the line itself.
     """
     corrupt = quarantine.CORRUPT if keep_malformed else None
+    if one_pass:
+        records = read_json_records(spark, transactions)
+        if keep_malformed:
+            records = records.withColumn(corrupt, F.when(F.col("record").isNull(), F.col("line")))
+        keep = ["line", corrupt] if keep_malformed else ["line"]
+        found = json_fields(records, raw_names(SPECS["transactions"]), keep)
+    else:
+        found = read_json_lines(spark, transactions, transaction_schema, corrupt)
     return {
         "customers": read_csv_text(spark, customers, SPECS["customers"].aliases, corrupt),
         "accounts": read_csv_text(spark, accounts, SPECS["accounts"].aliases, corrupt),
-        "transactions": read_json_lines(spark, transactions, transaction_schema, corrupt),
+        "transactions": found,
     }
 
 

@@ -1,15 +1,25 @@
 """Reading raw files and layer tables, writing tables and reports."""
 
-from silverline.sources.readers import csv_headers, open_tables, read_csv_text, read_json_lines, read_table
+from silverline.sources.readers import (
+    csv_headers,
+    json_fields,
+    open_tables,
+    read_csv_text,
+    read_json_lines,
+    read_json_records,
+    read_table,
+)
 from silverline.sources.scratch import materialised, scratch_folder
 from silverline.sources.writers import write_json, write_table
 
 __all__ = [
     "csv_headers",
+    "json_fields",
     "materialised",
     "open_tables",
     "read_csv_text",
     "read_json_lines",
+    "read_json_records",
     "read_table",
     "scratch_folder",
     "write_json",

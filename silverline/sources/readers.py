@@ -9,7 +9,7 @@ from urllib.parse import unquote
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -109,6 +109,32 @@ def read_json_lines(
     return reader.schema(schema).json(path)
 
 
+def read_json_records(spark: SparkSession, path: str) -> DataFrame:
+    """JSON lines in one scan, whatever their fields: ``line`` as it came, and ``record``, its value as a variant.
+
+    Nothing is inferred, so no pass over the files goes before. ``record`` is NULL where a line is no
+    JSON object; blank lines are left out. ``line`` keeps the spelling of numbers, which a variant does not.
+    """
+    lines = spark.read.text(path).where(F.trim("value") != "").withColumnRenamed("value", "line")
+    record = F.try_parse_json("line")
+    return lines.withColumn("record", F.when(F.schema_of_variant(record).startswith("OBJECT"), record))
+
+
+def json_fields(records: DataFrame, wanted: Mapping[str, Sequence[str]], keep: Sequence[str] = ()) -> DataFrame:
+    """Text columns from the ``record`` of :func:`read_json_records`: for each name the first of its paths that a record has.
+
+    A path is a field, or fields joined by dots. What is no object on the way, and JSON's null, is NULL. Each record is
+    judged by itself, so a field that is renamed in the middle of a file loses no value. ``keep`` names columns to keep.
+    """
+
+    def at(path: str) -> Column:
+        place = "$" + "".join(f"['{part}']" for part in path.split("."))
+        return F.try_variant_get("record", place, "string")
+
+    columns = [F.coalesce(*map(at, paths)).alias(name) for name, paths in wanted.items()]
+    return records.select(*keep, *columns)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 

@@ -19,6 +19,8 @@ from silverline.fixed_values import (
     ACCOUNT_ALIASES,
     CUSTOMER_ALIASES,
     EVENT_DATE_NAMES,
+    EVENT_TIME_NAMES,
+    EVENT_TIMESTAMP_NAMES,
     HOME_CURRENCY,
     TRANSACTION_ALIASES,
 )
@@ -161,3 +163,14 @@ TRANSACTIONS = TableSpec(
 )
 
 SPECS = {spec.name: spec for spec in (CUSTOMERS, ACCOUNTS, TRANSACTIONS)}
+
+
+def raw_names(spec: TableSpec) -> dict[str, list[str]]:
+    """Every raw column that a silver column is made of, with the names that it may come under, best first."""
+    names = {f.name: [f.name] for f in spec.fields if f.derive is None and f.after is None and f is not LOADED}
+    for target, aliases in spec.aliases.items():
+        names[target] = [target, *aliases]
+    if spec is TRANSACTIONS:
+        names |= {n: [n] for n in (*EVENT_TIMESTAMP_NAMES, *EVENT_DATE_NAMES, *EVENT_TIME_NAMES)}
+        names["location_province"] = ["location.province", "location_province"]
+    return names

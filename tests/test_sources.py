@@ -5,8 +5,11 @@ from pathlib import Path
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from silverline import sources
 from silverline.operators.shape import normalise_columns, shared_spelling
+from silverline.plans import layers, silver
 from silverline.spec import ACCOUNTS
 
 
@@ -116,3 +119,45 @@ def test_shared_spelling_keeps_columns_apart():
     spelling = {}
     assert shared_spelling(["Id", "ID ", "x"], spelling, {}) == ["Id", "Id_2", "x"]
     assert shared_spelling(["id", "X", "id_2"], spelling, {}) == ["Id", "x", "id_2"]
+
+
+def test_json_fields_of_one_scan(spark, tmp_path):
+    lines = [
+        '{"id": "1", "amount": 1.50, "location": {"province": "wc", "x": [1]}, "flag": true}',
+        '{"txn": "2", "amount": "2.50", "location": "wc", "flag": null}',
+        '{"id": 3, "new field": "n", "a.b": 1}',
+        "{broken",
+        "[1, 2]",
+        '"text"',
+        "null",
+        "   ",
+        "",
+    ]
+    (tmp_path / "t.jsonl").write_text("\n".join(lines))
+    records = sources.read_json_records(spark, str(tmp_path / "t.jsonl"))
+    assert [r.line for r in records.where("record is null").select("line").collect()] == lines[3:7]
+    wanted = {"id": ["id", "txn"], "amount": ["amount"], "province": ["location.province"], "flag": ["flag"], "n": ["new field"]}
+    read = sources.json_fields(records.where("record is not null"), wanted, ["line"])
+    assert {tuple(r)[1:] for r in read.collect()} == {
+        ("1", "1.5", "wc", "true", None), ("2", "2.50", None, None, None), ("3", None, None, None, "n"),
+    }
+    assert [r.line for r in read.where("id = '1'").collect()] == lines[:1]  # 1.50 is in the line
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1
+
+
+def test_layers_read_transactions_in_one_pass(spark, tmp_path):
+    """A field renamed in the middle of a file loses no value; what silver does not know stays in the line."""
+    (tmp_path / "c.csv").write_text("customer_id\nC1\n")
+    (tmp_path / "a.csv").write_text("account_id,customer_id\nA1,C1\n")
+    lines = ['{"txn_id": "T1", "account_id": "A1", "txn_amount": 1.5, "date": "2024-01-05", "location": {"province": "gp"}}',
+             '{"transaction_id": "T2", "acct_id": "A1", "amount": "2", "transaction_date": "2024-01-06", "extra": 1}', "{bad"]
+    (tmp_path / "t.jsonl").write_text("\n".join(lines))
+    paths = [str(tmp_path / n) for n in ("c.csv", "a.csv", "t.jsonl")]
+    raw = layers.read_sources(spark, *paths, keep_malformed=True, one_pass=True)["transactions"]
+    assert sorted(r.line for r in raw.collect()) == sorted(lines)
+    assert [r["_corrupt_record"] for r in raw.where("_corrupt_record is not null").collect()] == ["{bad"]
+    found = {r.transaction_id: r for r in silver.silver_transactions(raw.withColumn("ingestion_timestamp", F.current_timestamp())).collect()}
+    assert {k: (str(r.amount), r.account_id, r.location_province) for k, r in found.items()} == {
+        "T1": ("1.50", "A1", "Gauteng"), "T2": ("2.00", "A1", None),
+    }
