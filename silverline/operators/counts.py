@@ -50,6 +50,24 @@ def amount_summary(df: DataFrame, column: str = "amount") -> DataFrame:
     )
 
 
+def figure_columns(df: DataFrame, null_columns: Sequence[str] = (), amount: str | None = None) -> dict[str, Column]:
+    """The figures of :func:`table_profile` but the duplicates, as aggregates that can be observed while a table is written."""
+    n = F.count(F.lit(1))
+    figures = {"rows": n}
+    for name in null_columns:
+        figures[f"nulls_{name}"] = F.count_if(F.col(name).isNull()) if name in df.columns else n * 0 + MISSING_COLUMN
+    if amount is not None and amount in df.columns:
+        value = F.col(amount)
+        mean = F.try_divide(F.sum(value).cast("decimal(38,6)"), F.count(value).cast("decimal(18,0)"))
+        figures |= {
+            "amount_total": F.sum(value).cast("double"),
+            "amount_average": F.round(mean, 6).cast("double"),
+            "amount_minimum": F.min(value).cast("double"),
+            "amount_maximum": F.max(value).cast("double"),
+        }
+    return figures
+
+
 def table_profile(
     df: DataFrame,
     key: str | None = None,

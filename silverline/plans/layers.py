@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from silverline.fixed_values import SOURCE_LABELS
 from silverline.functions.keys import trimmed_key
+from silverline.operators.counts import figure_columns
 from silverline.operators.joins import hot_keys
 from silverline.operators.keyring import key_faults, resolve_collisions
 from silverline.operators.shape import add_load_metadata
@@ -50,6 +51,10 @@ class Layout:
         """Where the hot values of a join key are kept."""
         return f"{self.root.rstrip('/')}/hot/{key}"
 
+    def figures(self, name: str) -> str:
+        """Where the figures are that were observed when a table was written."""
+        return f"{self.root.rstrip('/')}/figures/{name}"
+
     def keys(self, key: str) -> str:
         """Where the ids are listed that have another key than their hash."""
         return f"{self.root.rstrip('/')}/keys/{key}"
@@ -95,16 +100,31 @@ def read_sources(
     }
 
 
+def write_layer(df: DataFrame, layout: Layout, name: str, partition_by: Sequence[str] = ()) -> None:
+    """Write a table of a layer and, beside it, what the validation wants to know of its rows."""
+    checked = CHECKED[name]
+    columns = figure_columns(df, checked.not_null, checked.amount)
+    observed = write_table(df, layout.table(name), partition_by=partition_by, figures=columns)
+    schema = ", ".join(f"{c} {'double' if c.startswith('amount_') else 'long'}" for c in columns)
+    row = df.sparkSession.createDataFrame([tuple(observed[c] for c in columns)], schema)
+    write_table(row.coalesce(1), layout.figures(name))
+
+
+def table_figures(spark: SparkSession, layout: Layout) -> dict[str, DataFrame | None]:
+    """The observed figures of each table, ``None`` where none were written."""
+    return open_tables(spark, {name: layout.figures(name) for name in CHECKED})
+
+
 def load_bronze(sources: Mapping[str, DataFrame], layout: Layout, ingested_at: datetime | None = None) -> None:
     for name, raw in sources.items():
         loaded = add_load_metadata(raw, SOURCE_LABELS[name], ingested_at)
-        write_table(loaded, layout.table(f"bronze_{name}"))
+        write_layer(loaded, layout, f"bronze_{name}")
 
 
 def load_silver(spark: SparkSession, layout: Layout, flag_issues: bool = False) -> None:
     for name, spec in SPECS.items():
         bronze = read_table(spark, layout.table(f"bronze_{name}"))
-        write_table(build(bronze, spec, flag_issues), layout.table(f"silver_{name}"))
+        write_layer(build(bronze, spec, flag_issues), layout, f"silver_{name}")
 
 
 def _hot(spark: SparkSession, layout: Layout, name: str) -> DataFrame | None:
@@ -154,14 +174,12 @@ def load_gold(
     write_table(hot_keys(silver["transactions"], "account_id"), layout.hot("account_id"))
     hot_customers, hot_accounts = (read_table(spark, layout.hot(key)) for key in ("customer_id", "account_id"))
 
-    write_table(gold.dim_customers(silver["customers"], as_of, keys), layout.table("gold_dim_customers"))
+    write_layer(gold.dim_customers(silver["customers"], as_of, keys), layout, "gold_dim_customers")
     customers = read_table(spark, layout.table("gold_dim_customers"))
-    write_table(
-        gold.dim_accounts(silver["accounts"], customers, hot_customers, keys), layout.table("gold_dim_accounts")
-    )
+    write_layer(gold.dim_accounts(silver["accounts"], customers, hot_customers, keys), layout, "gold_dim_accounts")
     accounts = read_table(spark, layout.table("gold_dim_accounts"))
     fact = gold.fact_transactions(silver["transactions"], accounts, hot_accounts=hot_accounts, keys=keys)
-    write_table(fact, layout.table("gold_fact_transactions"), partition_by=partition_by)
+    write_layer(fact, layout, "gold_fact_transactions", partition_by)
 
 
 # The gold table that the rows of a silver table become, the column that names the parent, its table and the code.
@@ -218,7 +236,8 @@ def write_issue_summary(spark: SparkSession, layout: Layout, compute: bool = Tru
 
 def validate(spark: SparkSession, layout: Layout) -> DataFrame:
     """Check rows over whatever tables exist below the layout's root."""
-    return validation_report(open_tables(spark, layout.paths()), _hot(spark, layout, "customer_id"))
+    hot, figures = _hot(spark, layout, "customer_id"), table_figures(spark, layout)
+    return validation_report(open_tables(spark, layout.paths()), hot, figures=figures)
 
 
 def write_validation(spark: SparkSession, layout: Layout) -> None:
@@ -236,7 +255,7 @@ def write_validation(spark: SparkSession, layout: Layout) -> None:
     written = {
         name: spark.read.schema(values.schema).json(layout.report(f"domain_{name}")) for name, values in domains.items()
     }
-    report = validation_report(tables, hot, written)
+    report = validation_report(tables, hot, written, table_figures(spark, layout))
     write_json(report, layout.report("validation"))
     if written:
         write_json(reduce(DataFrame.unionByName, map(findings, written.values())), layout.report("findings"))

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silverline.fixed_values import LINK_CHECKS, PROVINCES, RECONCILED, TRANSACTION_TYPES, UNLINKED_CHECK
-from silverline.operators.counts import MISSING_COLUMN, table_profile
+from silverline.operators.counts import MISSING_COLUMN, duplicate_groups, table_profile
 from silverline.operators.joins import unmatched_counts, unmatched_keys
 from silverline.plans.reports import located_accounts
 
@@ -66,9 +66,15 @@ def _rows(df: DataFrame, rows: Sequence[Row]) -> DataFrame:
     return df.select(F.inline(F.array(*structs)))
 
 
-def _profile_rows(name: str, tables: Tables) -> DataFrame:
+def _profile_rows(name: str, tables: Tables, observed: DataFrame | None = None) -> DataFrame:
+    """The check rows of one table, from figures of its write (then only its key is read) or from a scan."""
     checked = CHECKED[name]
-    profile = table_profile(tables[name], checked.key, checked.not_null, checked.amount)
+    if observed is None:
+        profile = table_profile(tables[name], checked.key, checked.not_null, checked.amount)
+    elif checked.key is None:
+        profile = observed
+    else:
+        profile = observed.withColumn("duplicates", duplicate_groups(tables[name], [checked.key]).scalar())
     rows = [("row_counts", name, "rows")]
     if checked.key is not None:
         rows.append(("duplicates", f"{name}_duplicate_{checked.key}", "duplicates"))
@@ -212,7 +218,10 @@ def _cross_table_rows(tables: Tables, domains: Mapping[str, DataFrame]) -> list[
 
 
 def validation_report(
-    tables: Tables, hot_customers: DataFrame | None = None, domains: Mapping[str, DataFrame] | None = None
+    tables: Tables,
+    hot_customers: DataFrame | None = None,
+    domains: Mapping[str, DataFrame] | None = None,
+    figures: Mapping[str, DataFrame | None] | None = None,
 ) -> DataFrame:
     """All checks as rows, each with the status of the whole report.
 
@@ -221,7 +230,8 @@ def validation_report(
     any deciding check failed, else PASS. ``passed`` is NULL for figures that
     decide nothing.
 
-    Each table is scanned once for all its own checks. The number of report rows
+    Each table is scanned once for all its own checks, or, where ``figures`` has the one row of figures
+    observed when it was written, only its key is, for duplicates. The number of report rows
     is fixed by the list of checks and does not grow with the data, which is why
     a window over all of them is safe.
     """
@@ -231,7 +241,7 @@ def validation_report(
         [("missing_tables", name, 0.0 if name in present else 1.0) for name in CHECKED],
         "check_group string, check_name string, value double",
     )
-    branches = [existence, *[_profile_rows(name, tables) for name in present]]
+    branches = [existence, *[_profile_rows(name, tables, (figures or {}).get(name)) for name in present]]
     branches += _cross_table_rows(tables, domain_values(tables, hot_customers) if domains is None else domains)
     parts = reduce(DataFrame.unionByName, branches)
     checks = parts.groupBy("check_group", "check_name").agg(F.sum("value").alias("value"))

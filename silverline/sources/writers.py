@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 
 
 def write_table(
@@ -13,20 +13,29 @@ def write_table(
     mode: str = "overwrite",
     partition_by: Sequence[str] = (),
     compression: str | None = None,
-) -> None:
-    """Write parquet, optionally laid out by the values of some columns.
+    figures: Mapping[str, Column] | None = None,
+) -> dict[str, object] | None:
+    """Write parquet, optionally laid out by the values of some columns; returns ``figures``, if any are given.
+
+    Figures are aggregates that are observed on the rows as they are written, behind the last shuffle, where a task
+    counts once however often it is tried.
 
     A partitioned layout is rebalanced first: rows of one value meet in few
     files, and Spark splits a value too large for one task.
     """
     if partition_by:
         df = df.hint("rebalance", *partition_by)
+    observation = None
+    if figures:
+        observation = Observation()
+        df = df.observe(observation, *[figure.alias(name) for name, figure in figures.items()])
     writer = df.write.mode(mode)
     if compression is not None:
         writer = writer.option("compression", compression)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    return None if observation is None else dict(observation.get)
 
 
 def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
