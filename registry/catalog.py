@@ -31,12 +31,15 @@ from silverline.operators.shape import (
 )
 from silverline.plans import gold, issues, layers, quarantine, reports, silver, validation
 from silverline.sources import (
+    join_by_key,
     json_fields,
+    open_by_key,
     read_csv_text,
     read_json_lines,
     read_json_records,
     read_table,
     scratch_folder,
+    write_by_key,
     write_json,
     write_table,
 )
@@ -443,6 +446,29 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, folder)
 
 
+@registered("clustered_scans")
+def clustered_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions clustered by day and account, read back by either: the last quarter of the days, one range of accounts."""
+    folder = scratch_folder(spark, "clustered")
+    write_table(Layered(spark, sf_dir).silver_transactions, folder, cluster_by=["transaction_date", "account_id"])
+    rows = read_table(spark, folder)
+    scans = {
+        "all": F.lit(True),
+        "days": F.col("transaction_date") >= F.lit("1998-01-01").cast("date"),
+        "accounts": F.col("account_id").between("A1", "A2"),
+    }
+    found = [
+        rows.where(condition).agg(
+            F.lit(name).alias("scan"),
+            F.count(F.lit(1)).alias("n"),
+            F.count("transaction_date").alias("n_days"),
+            F.sum("amount").alias("total_amount"),
+        )
+        for name, condition in scans.items()
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
 # --- layers --------------------------------------------------------------------------
 
 
@@ -508,6 +534,36 @@ def split_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# Buckets of the registered layouts; what a cluster needs follows from rows per task.
+BUCKETS = 16
+
+
+def laid_out(spark: SparkSession, g: Layered) -> tuple:
+    """Transactions and account links laid out by account; keys of more than six rows are kept apart."""
+    folder = scratch_folder(spark, "by-account")
+    hot = hot_keys(g.silver_transactions, "account_id", rows_per_task=6, most=10**9)
+    write_by_key(g.silver_transactions, f"{folder}/transactions", "account_id", BUCKETS, hot)
+    write_by_key(gold.account_links(g.accounts), f"{folder}/accounts", "account_id", BUCKETS)
+    return open_by_key(spark, f"{folder}/transactions"), open_by_key(spark, f"{folder}/accounts")
+
+
+@registered("fact_by_key")
+def fact_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact from two tables of one layout, joined bucket by bucket."""
+    transactions, links = laid_out(spark, Layered(spark, sf_dir))
+    return without_keys(gold.fact_rows(join_by_key(transactions, links, "inner", "transaction_id")))
+
+
+@registered("orphans_by_key")
+def orphans_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Transactions without an account, by type, from the same layout; hot keys split instead of broadcast."""
+    transactions, links = laid_out(spark, Layered(spark, sf_dir))
+    orphans = join_by_key(transactions, links, "left_anti", "transaction_id", broadcast_keys=0)
+    return orphans.groupBy("transaction_type").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("account_id").alias("n_accounts")
+    )
+
+
 @registered("key_counts")
 def key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct hashed keys of the gold tables: as many as distinct ids."""

@@ -494,6 +494,24 @@ SQL["dim_accounts"] = on(
 FACT_OUT = f"""SELECT * EXCLUDE (account_id, customer_id) REPLACE (
     {text("transaction_timestamp", "transaction_date", "ingestion_timestamp")}, {real("amount")}) FROM fact"""
 SQL["fact_build"] = on(["fact"], FACT_OUT)
+SQL["fact_by_key"] = SQL["fact_build"]
+SQL["orphans_by_key"] = on(
+    ["silver_transactions", "dim_accounts"],
+    """SELECT transaction_type, count(*) AS n, count(DISTINCT account_id) AS n_accounts FROM silver_transactions t
+       WHERE NOT EXISTS (SELECT 1 FROM dim_accounts a WHERE a.account_id = t.account_id) GROUP BY 1""",
+)
+SQL["clustered_scans"] = on(
+    ["silver_transactions"],
+    " UNION ALL ".join(
+        f"""SELECT '{name}' AS scan, count(*) AS n, count(transaction_date) AS n_days,
+              CAST(sum(amount) AS DOUBLE) AS total_amount FROM silver_transactions WHERE {condition}"""
+        for name, condition in (
+            ("all", "true"),
+            ("days", "transaction_date >= DATE '1998-01-01'"),
+            ("accounts", "account_id BETWEEN 'A1' AND 'A2'"),
+        )
+    ),
+)
 SQL["sample_records"] = on(["fact"], f"{FACT_OUT} ORDER BY transaction_id LIMIT 5")
 SQL["orphaned_transactions"] = on(
     ["silver_transactions", "dim_accounts"],

@@ -79,15 +79,30 @@ def fact_transactions(
     accounts of other customers are then left out first, on narrow columns, so that
     the fact is shuffled for a join once in either case.
     """
+    linked = account_links(accounts, customers, hot_customers, keys)
+    joined = lookup_join(
+        transactions, linked, "account_id", hot=hot_accounts, spread_by="transaction_id"
+    )
+    return fact_rows(joined, keys)
+
+
+def account_links(
+    accounts: DataFrame,
+    customers: DataFrame | None = None,
+    hot_customers: DataFrame | None = None,
+    keys: Keys | None = None,
+) -> DataFrame:
+    """What the fact takes from an account: its id, its key and its customer's key."""
     linked = accounts.select("account_id", "account_sk", "customer_id")
     if customers is not None:
         linked = lookup_join(
             linked, customers.select("customer_id"), "customer_id", "left_semi", hot=hot_customers, spread_by="account_id"
         )
-    linked = _keyed(linked, "customer_id", keys).select("account_id", "account_sk", "customer_sk")
-    joined = lookup_join(
-        transactions, linked, "account_id", hot=hot_accounts, spread_by="transaction_id"
-    )
+    return _keyed(linked, "customer_id", keys).select("account_id", "account_sk", "customer_sk")
+
+
+def fact_rows(joined: DataFrame, keys: Keys | None = None) -> DataFrame:
+    """The fact from transactions that have met their :func:`account_links`, however they were joined."""
     texts = ("transaction_type", "merchant_category", "merchant_subcategory")
     return _keyed(joined, "transaction_id", keys).select(
         "transaction_sk",

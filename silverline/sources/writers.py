@@ -6,6 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
 
+from silverline.operators.zorder import clustered
+
 
 def write_table(
     df: DataFrame,
@@ -14,6 +16,8 @@ def write_table(
     partition_by: Sequence[str] = (),
     compression: str | None = None,
     figures: Mapping[str, Column] | None = None,
+    cluster_by: Sequence[str] = (),
+    row_group_bytes: int | None = None,
 ) -> dict[str, object] | None:
     """Write parquet, optionally laid out by the values of some columns; returns ``figures``, if any are given.
 
@@ -21,8 +25,13 @@ def write_table(
     counts once however often it is tried.
 
     A partitioned layout is rebalanced first: rows of one value meet in few
-    files, and Spark splits a value too large for one task.
+    files, and Spark splits a value too large for one task. A clustered layout orders the rows by several
+    columns at once (:func:`silverline.operators.zorder.clustered`), so that row groups are skipped by any of them.
     """
+    if partition_by and cluster_by:
+        raise ValueError("lay a table out by values or cluster it, not both")
+    if cluster_by:
+        df = clustered(df, cluster_by)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     observation = None
@@ -32,6 +41,8 @@ def write_table(
     writer = df.write.mode(mode)
     if compression is not None:
         writer = writer.option("compression", compression)
+    if row_group_bytes is not None:
+        writer = writer.option("parquet.block.size", row_group_bytes)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
