@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,39 +54,37 @@ def _codes(df: DataFrame, columns: Sequence[str]) -> list[Column]:
     return [code(c) for c in columns]
 
 
-def _rank(code: Column, bounds: Sequence[float]) -> Column:
-    """How many of the ascending ``bounds`` a code exceeds, by halving; NULL exceeds none."""
-    if not bounds:
-        return F.lit(0)
-    listed = F.expr("array(" + ", ".join(f"{b}L" if isinstance(b, int) else f"double('{b}')" for b in bounds) + ")")
-    steps = F.lit([1 << s for s in reversed(range(BITS))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: at + F.when((at + step <= len(bounds)) & (F.get(listed, at + step - 1) < code), step).otherwise(0),
-    )
-
-
-def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = BITS) -> Column:
-    """The interleaved key (long) of rows of ``df``, to sort or range-partition by.
+def with_zorder(df: DataFrame, columns: Sequence[str], name: str, bits: int = BITS) -> DataFrame:
+    """``df`` with the interleaved key ``name`` (long), to sort or range-partition by.
 
     Numbers, dates, timestamps, booleans and texts (by their bytes) may be clustered by, up to six columns of ten bits. NULLs
     come first. The bounds are found by one pass over these columns, two if any is a text; the driver holds
-    ``2 ** bits`` of them for each column, whatever the table.
+    ``2 ** bits`` of them for each column, whatever the table. A rank is the number of bounds that a value exceeds, found
+    by halving; every halving is a projection of its own, so that nothing is evaluated twice.
     """
     if not columns or not 1 <= bits <= BITS or bits * len(columns) > 62:
         raise ValueError("1 to 62 bits of key, and at most ten for a column")
-    codes = _codes(df, columns)
-    shares = [i / (1 << bits) for i in range(1, 1 << bits)]
-    asked = [F.percentile_approx(code, shares, round(1 / ACCURACY)).alias(f"b{i}") for i, code in enumerate(codes)]
-    bounds = df.agg(*asked).first()
-    ranks = [_rank(code, found or []) for code, found in zip(codes, bounds, strict=True)]
+    codes = [code.alias(f"c{i}") for i, code in enumerate(_codes(df, columns))]
+    shares = ", ".join(f"{i / (1 << bits)!r}D" for i in range(1, 1 << bits))
+    bounds = df.select(*codes).agg(
+        *[F.expr(f"percentile_approx(c{i}, array({shares}), {round(1 / ACCURACY)})") for i in range(len(codes))]
+    )
+    bounds = [F.lit(np.array(found or [], dtype=float if any(isinstance(b, float) for b in found or []) else int))
+              for found in bounds.first()]
+
+    code, at = ([f"{name}_{kind}{i}" for i in range(len(columns))] for kind in ("code", "at"))
+    ranked = df.withColumns({**dict(zip(code, codes, strict=True)), **dict.fromkeys(at, F.lit(0))})
+    for step in (1 << bit for bit in reversed(range(bits))):
+        exceeds = [F.get(known, F.col(a) + (step - 1)) < F.col(c) for known, a, c in zip(bounds, at, code, strict=True)]
+        ranked = ranked.withColumns(
+            {a: F.col(a) + F.when(more, step).otherwise(0) for a, more in zip(at, exceeds, strict=True)}
+        )
     key = F.lit(0).cast("long")
     for bit in range(bits):
-        for place, rank in enumerate(ranks):
-            one = F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("long")
-            key = key.bitwiseOR(F.shiftleft(one, bit * len(ranks) + len(ranks) - 1 - place))
-    return key
+        for place, a in enumerate(reversed(at)):
+            one = F.shiftright(F.col(a), bit).bitwiseAND(F.lit(1)).cast("long")
+            key = key.bitwiseOR(F.shiftleft(one, bit * len(at) + place))
+    return ranked.withColumn(name, key).drop(*code, *at)
 
 
 def clustered(df: DataFrame, columns: Sequence[str], partitions: int | None = None) -> DataFrame:
@@ -95,10 +94,10 @@ def clustered(df: DataFrame, columns: Sequence[str], partitions: int | None = No
     are still divided among tasks; a retried task deals them alike. Rows equal in every column stay together.
     """
     key, tie = "_zorder", "_tie"
-    while {key, tie} & {c.lower() for c in df.columns}:
-        key, tie = key + "_", tie + "_"
+    while any(c.lower().startswith((key, tie)) for c in df.columns):
+        key, tie = "_" + key, "_" + tie
     plain = [f.name for f in df.schema.fields if not _has_map(f.dataType)]
-    keyed = df.withColumns({key: zorder_key(df, columns), tie: F.xxhash64(*[F.col(f"`{c}`") for c in plain])})
+    keyed = with_zorder(df, columns, key).withColumn(tie, F.xxhash64(*[F.col("`" + c.replace("`", "``") + "`") for c in plain]))
     order = [F.col(key), F.col(tie)]
     dealt = keyed.repartitionByRange(*order) if partitions is None else keyed.repartitionByRange(partitions, *order)
     return dealt.sortWithinPartitions(*order).drop(key, tie)
