@@ -8,12 +8,15 @@ of the sequences that have room in every dimension the one is chosen with the sm
 weighted residual norm after the piece, or the largest weighted dot product of piece and
 residual.
 
-Every task packs what it reads, ``GROUP`` pieces at a time, so ids are never shuffled and
-no source or group of copies meets in one place. A group loses a sequence or so of room.
+Every task packs what it reads, ``GROUP`` pieces at a time, and no source or group of copies meets in
+one place. The result is written; pieces of its loose sequences, those with ``LOOSE`` of their tokens free or
+more, are dealt by a hash into whole groups and packed again, so that the partitions of the input
+hardly matter. Only these pieces are shuffled: of full groups a few, of many small partitions most.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -25,9 +28,18 @@ from pyspark.sql import functions as F
 
 from silverline.llm.shared import map_batches
 from silverline.llm.tokens import encoder
+from silverline.sources import materialised
 
 GROUP = 8192  # pieces that one group packs together
+# What stays after the first packing is full to less than this share: the most that partitions can cost.
+LOOSE = 1 / 512
+# Tasks of the second packing; beyond as many groups a task packs several.
+TASKS = 20_000
 PACKED = "doc_id long, piece int, start long, ids binary, sequence_id long, offset long"
+SCHEMA = pa.schema(
+    [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("ids", pa.binary()),
+     ("sequence_id", pa.int64()), ("offset", pa.int64()), ("loose", pa.bool_())]
+)
 
 
 @dataclass(frozen=True)
@@ -85,6 +97,30 @@ def best_fit(lengths: np.ndarray, capacity: Capacity) -> tuple[np.ndarray, np.nd
     return chosen, offset
 
 
+class Packer:
+    """Packs lists of pieces (key, piece, start, ids) into sequences that are numbered from ``number``."""
+
+    def __init__(self, capacity: Capacity, number: int):
+        self.capacity, self.number = capacity, number
+
+    def _batch(self, rows: list, sequences: np.ndarray, offsets: np.ndarray, loose: np.ndarray) -> pa.RecordBatch:
+        columns = [*zip(*rows, strict=True), sequences + self.number, offsets, loose]
+        self.number += int(sequences.max()) + 1
+        arrays = [pa.array(c, t) for c, t in zip(columns, SCHEMA.types, strict=True)]
+        return pa.RecordBatch.from_arrays(arrays, schema=SCHEMA)
+
+    def packed(self, rows: list) -> pa.RecordBatch:
+        lengths = np.array([len(r[3]) // 4 for r in rows])
+        chosen, offsets = best_fit(lengths, self.capacity)
+        filled = np.bincount(chosen, weights=lengths)
+        loose = self.capacity.tokens - filled >= LOOSE * self.capacity.tokens
+        return self._batch(rows, chosen, offsets, loose[chosen])
+
+    def alone(self, rows: list) -> pa.RecordBatch:
+        nothing = np.zeros(len(rows), dtype=np.int64)
+        return self._batch(rows, np.arange(len(rows)), nothing, nothing.astype(bool))
+
+
 def pack(
     docs: DataFrame,
     tokenizer: str,
@@ -99,38 +135,16 @@ def pack(
     ``ids`` are the piece's ids as little-endian unsigned 32-bit integers; pieces of a sequence
     lie side by side from offset 0. NULL texts are empty and give the end id alone; NULL and
     repeated keys are kept as they are; an empty table gives no rows; other columns are dropped.
-    Sequence numbers are unique and depend on the input's partitions.
+    Sequence numbers are unique and depend on the input's partitions. The first packing is
+    written to the shared folder, so a text is encoded once.
     """
     capacity = capacity or Capacity()
     size = int(capacity.vector()[0])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema(
-            [("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("ids", pa.binary()),
-             ("sequence_id", pa.int64()), ("offset", pa.int64())]
-        )
         end = np.array([end_id], dtype="<u4").tobytes()
-        number = TaskContext.get().partitionId() << 40
+        packer = Packer(capacity, TaskContext.get().partitionId() << 40)
         open_, full = [], []
-
-        def batch_of(rows: list, sequences: np.ndarray, offsets: np.ndarray) -> pa.RecordBatch:
-            names, places, starts, ids = zip(*rows, strict=True)
-            columns = [names, places, starts, ids, sequences, offsets]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, schema.types, strict=True)], schema=schema)
-
-        def packed(rows: list) -> pa.RecordBatch:
-            nonlocal number
-            chosen, offsets = best_fit(np.array([len(r[3]) // 4 for r in rows]), capacity)
-            result = batch_of(rows, chosen + number, offsets)
-            number += int(chosen.max()) + 1
-            return result
-
-        def alone(rows: list) -> pa.RecordBatch:
-            nonlocal number
-            result = batch_of(rows, np.arange(number, number + len(rows)), np.zeros(len(rows), dtype=np.int64))
-            number += len(rows)
-            return result
-
         for batch in batches:
             keys = batch.column(0).to_pylist()
             texts = (x.as_py() for x in batch.column(1))
@@ -142,15 +156,33 @@ def pack(
                     row = (name, piece, begin, ids[4 * begin : 4 * stop])
                     (full if stop - begin == size else open_).append(row)
                 if len(full) >= 1024:
-                    yield alone(full)
+                    yield packer.alone(full)
                     full = []
                 if len(open_) >= group:
-                    yield packed(open_)
+                    yield packer.packed(open_)
                     open_ = []
         if full:
-            yield alone(full)
+            yield packer.alone(full)
         if open_:
-            yield packed(open_)
+            yield packer.packed(open_)
+
+    def again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Numbers above those of every task of the first packing.
+        packer = Packer(capacity, (1 << 61) + (TaskContext.get().partitionId() << 40))
+        rows: list = []
+        for batch in batches:
+            rows += zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True)
+            while len(rows) >= group:
+                yield packer.packed(rows[:group])
+                rows = rows[group:]
+        if rows:
+            yield packer.packed(rows)
 
     narrow = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return map_batches(narrow, pieces, PACKED)
+    once = materialised(map_batches(narrow, pieces, PACKED + ", loose boolean"), "packed")
+    loose = once.where("loose").drop("loose")
+    # A little less than a group for each task, so that none is left with a small second one.
+    tasks = max(1, min(TASKS, math.ceil(loose.count() / (0.9 * group))))
+    dealt = loose.repartition(tasks, F.xxhash64("sequence_id", "offset")).sortWithinPartitions("sequence_id", "offset")
+    twice = map_batches(dealt, again, PACKED + ", loose boolean")
+    return once.where("not loose").unionByName(twice).drop("loose")
