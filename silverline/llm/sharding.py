@@ -38,20 +38,19 @@ def interleaved_shards(
 
     * The order within a stratum depends on ``seed``, ``key`` and ``text`` alone, not on the layout.
     * NULL in a stratum column is a stratum of its own, apart from the empty string.
-    * Rows without a key are placed by their text; rows equal in both are interchangeable.
+    * Rows of one key are told apart by their text, and rows without a key placed by it; rows equal in both are interchangeable.
     * Repeated rows all keep a place of their own. An empty table gives no rows.
     * Existing columns ``shard`` and ``slot`` are replaced; all others stay.
     """
     docs = without(docs, "shard", "slot")
-    stratum, draw, tie, cell, place, rank, of = free_names(
-        docs, "_stratum", "_draw", "_tie", "_cell", "_place", "_rank", "_of"
+    stratum, draw, tie, cell, place, rank, of, total = free_names(
+        docs, "_stratum", "_draw", "_tie", "_cell", "_place", "_rank", "_of", "_total"
     )
     drawn = docs.select(
         "*",
         F.to_json(F.struct(*[F.col(s).cast("string").alias(f"c{i}") for i, s in enumerate(strata)])).alias(stratum),
-        F.xxhash64(F.lit(seed), F.col(key), F.when(F.col(key).isNull(), F.col(text))).alias(draw),
         F.xxhash64(F.col(text)).alias(tie),
-    ).withColumn(cell, F.pmod(F.col(draw), F.lit(cells)).cast("int"))
+    ).withColumn(draw, F.xxhash64(F.lit(seed), F.col(key), F.col(tie))).withColumn(cell, F.pmod(F.col(draw), F.lit(cells)).cast("int"))
 
     # One row per cell of a stratum: rows before it, rows of the stratum.
     counted = drawn.groupBy(stratum, cell).agg(F.count(F.lit(1)).alias("rows"))
@@ -90,7 +89,7 @@ def interleaved_shards(
     starts = per_cell.select(
         cell,
         F.coalesce(F.sum("k").over(before), F.lit(0)).alias(place),
-        F.sum("k").over(Window.partitionBy()).alias(of + "_all"),
+        F.sum("k").over(Window.partitionBy()).alias(total),
     )
     placed = ranked.withColumn(
         cell, F.expr(f"((2 * `{rank}` - 1) * {cells}) div (2 * `{of}`)").cast("int")
@@ -102,11 +101,10 @@ def interleaved_shards(
         .join(F.broadcast(starts), cell)
         .withColumn(place, F.col(place) + F.col(rank) - 1)
     )
-    total = f"`{of}_all`"
     return placed.select(
         *[placed[c] for c in docs.columns],
-        F.expr(f"(`{place}` * {shards}) div {total}").cast("int").alias("shard"),
+        F.expr(f"(`{place}` * {shards}) div `{total}`").cast("int").alias("shard"),
         F.expr(
-            f"`{place}` - (((`{place}` * {shards}) div {total}) * {total} + {shards} - 1) div {shards}"
+            f"`{place}` - (((`{place}` * {shards}) div `{total}`) * `{total}` + {shards} - 1) div {shards}"
         ).cast("long").alias("slot"),
     )
