@@ -30,6 +30,7 @@ BUCKET_BITS = 14
 BUCKETS = 1 << BUCKET_BITS
 GRAMS = (2, 3, 4)
 PER_LANGUAGE = 2000
+LANGUAGES = 1000
 # A codeword's score falls by e for each 1 / SHARPNESS of mean loss per bit; below AMBIGUOUS the best is not clear.
 SHARPNESS, AMBIGUOUS = 8.0, 0.5
 UNKNOWN = "und"
@@ -39,6 +40,11 @@ _TABLE = bytes(b if b >= 128 or 97 <= b <= 122 else 32 for b in LOWER)
 CHUNK = 1 << 20  # bytes of a text that are weighed at a time
 
 
+def has_letter(text: str) -> bool:
+    """Whether a character is a letter, of category L; numeric signs such as '½' are words' characters, too, but no letters."""
+    return any(found.group().isalpha() for found in LETTER.finditer(text))
+
+
 def grams(data: np.ndarray) -> Iterator[np.ndarray]:
     """Hashed n-grams of normalised bytes: every place, each length, but for those that span two words."""
     wide = data.astype(np.uint32)
@@ -87,7 +93,7 @@ class Model:
 
     def predict(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score from 0 to 1, and whether the second codeword is nearly as close."""
-        if not self.languages or not text or not LETTER.search(text):
+        if not self.languages or not text or not has_letter(text):
             return UNKNOWN, 0.0, True
         seen = counts(text)
         used = np.flatnonzero(seen)
@@ -114,17 +120,19 @@ def learn(
     lang: str = "lang",
     per_language: int = PER_LANGUAGE,
     bits: int = BITS,
+    languages: int = LANGUAGES,
 ) -> Model:
     """A model of the labelled ``rows``; rows without a key, a text or a language are not used.
 
-    At most about ``per_language`` rows of a language are taken, by a hash of the key. Without
-    usable rows every prediction is ``und``.
+    At most about ``per_language`` rows of a language are taken, by a hash of the key, of the ``languages`` with
+    the most rows: the model is that large, whatever free text may be in ``lang``. Without usable rows every prediction is ``und``.
     """
     usable = rows.where(F.col(key).isNotNull() & F.col(text).isNotNull() & F.col(lang).isNotNull())
-    sizes = usable.groupBy(lang).agg(F.count(F.lit(1)).alias("rows"))
-    draw = F.pmod(F.xxhash64(F.lit("langid"), F.col(key)), F.lit(1 << 30)) / (1 << 30)
-    # ``sizes`` has one row per language, as the model will.
-    sample = usable.join(F.broadcast(sizes), lang).where(draw < F.lit(per_language) / F.col("rows")).select(lang, text)
+    usable = usable.select(F.col(key).alias("key"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang").limit(languages)
+    draw = F.pmod(F.xxhash64(F.lit("langid"), "key"), F.lit(1 << 30)) / (1 << 30)
+    # ``sizes`` has at most ``languages`` rows, as the model will.
+    sample = usable.join(F.broadcast(sizes), "lang").where(draw < F.lit(per_language) / F.col("rows")).select("lang", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[str, np.ndarray] = {}
@@ -149,22 +157,22 @@ def learn(
         .agg(F.collect_list(F.struct("bucket", "weight")).alias("weights"))
         .orderBy("lang")
     )
-    languages, table = [], []
+    names, table = [], []
     for name, weights in summed.toLocalIterator():
         row = np.zeros(BUCKETS)
         row[[w[0] for w in weights]] = [w[1] for w in weights]
-        languages.append(name)
+        names.append(name)
         table.append(row)
-    if not languages:
+    if not names:
         return Model([], np.zeros((0, bits)), np.zeros((BUCKETS, bits), dtype=np.float32))
     shares = np.stack([row / row.sum() for row in table])
-    words = np.stack([codeword(name, bits) for name in languages]).astype(np.int64)
+    words = np.stack([codeword(name, bits) for name in names]).astype(np.int64)
     # A bit that all languages share tells nothing; languages that no bit tells apart get one of their own.
     useful = words.min(axis=0) != words.max(axis=0)
     words = words[:, useful]
-    if len(languages) > 1 and len(np.unique(words, axis=0)) < len(languages):
-        width = max(1, (len(languages) - 1).bit_length())
-        numbers = (np.arange(len(languages))[:, None] >> np.arange(width)) & 1
+    if len(names) > 1 and len(np.unique(words, axis=0)) < len(names):
+        width = max(1, (len(names) - 1).bit_length())
+        numbers = (np.arange(len(names))[:, None] >> np.arange(width)) & 1
         words = np.concatenate([words, numbers], axis=1)
     smooth = 1e-6
     weights = np.zeros((BUCKETS, words.shape[1]), dtype=np.float32)
@@ -172,7 +180,7 @@ def learn(
         yes, no = shares[words[:, bit] == 1], shares[words[:, bit] == 0]
         if len(yes) and len(no):
             weights[:, bit] = np.log(yes.mean(axis=0) + smooth) - np.log(no.mean(axis=0) + smooth)
-    return Model(languages, 2 * words - 1, weights)
+    return Model(names, 2 * words - 1, weights)
 
 
 def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
