@@ -50,18 +50,20 @@ def judge_urls(
     """
     pages = without(pages, "host", "path", "rule", "verdict")
     names = list(pages.columns)
-    row, hosts, exprs, digest = free_names(pages, "_row", "_hosts", "_expression", "_digest")
+    row, hosts, exprs, digest, known_prefix, known_digest, known_rule = free_names(
+        pages, "_row", "_hosts", "_expression", "_digest", "_known_prefix", "_known_digest", "_known_rule"
+    )
     rules = rules.dropna(subset=["host", "path", "verdict"]).distinct()
     known = rules.select(
-        F.substring(_digest(F.col("host"), F.col("path")), 1, PREFIX_CHARS).alias("r_prefix"),
-        _digest(F.col("host"), F.col("path")).alias("r_digest"),
+        F.substring(_digest(F.col("host"), F.col("path")), 1, PREFIX_CHARS).alias(known_prefix),
+        _digest(F.col("host"), F.col("path")).alias(known_digest),
         F.struct(
             (F.length("host") + F.length("path")).alias("size"),
             F.length("host").alias("host_size"),
             (F.col("verdict") == "block").alias("blocks"),
             F.concat("host", "path").alias("rule"),
             "verdict",
-        ).alias("r"),
+        ).alias(known_rule),
     )
     # The lengths that rules have, as two short arrays: one row, at most one entry per length.
     lengths = rules.agg(
@@ -87,12 +89,12 @@ def judge_urls(
     each = expanded.select(*names, row, "host", "path", F.explode_outer(exprs).alias(digest))
     fits = each.join(
         known,
-        (F.substring(F.col(digest), 1, PREFIX_CHARS) == F.col("r_prefix")) & (F.col(digest) == F.col("r_digest")),
+        (F.substring(F.col(digest), 1, PREFIX_CHARS) == F.col(known_prefix)) & (F.col(digest) == F.col(known_digest)),
         "left",
     )
     kept = [*names, "host", "path"]
     judged = fits.groupBy(row).agg(
-        *[F.first(n).alias(n) for n in kept], F.max("r").alias(hosts)
+        *[F.first(n).alias(n) for n in kept], F.max(known_rule).alias(hosts)
     )
     return judged.select(
         *kept,
