@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 BLOCK = 1024  # conversation ids in a block of the ranking
 
@@ -20,10 +21,13 @@ def opening_pairs(turns: DataFrame, conv: str = "conv_id", block: int = BLOCK) -
 
     Of every two the earlier is chosen; an odd one out is chosen alone (``rejected`` NULL), so
     every conversation is in one row. Ranks are found in blocks of ids, so an opening
-    that a third of all conversations share is divided among tasks. Rows without an id are no
+    that a third of all conversations share is divided among tasks; ids that are no numbers are
+    in order of a hash's ``block`` values first. Rows without an id are no
     conversation's.
     """
     first = F.min(F.struct("turn", "role", "text"))
+    numeric = isinstance(turns.schema[conv].dataType, T.NumericType)
+    number = F.floor(F.col("conv") / block) if numeric else F.pmod(F.xxhash64("conv"), F.lit(block))
     openings = (
         turns.where(F.col(conv).isNotNull())
         .select(F.col(conv).alias("conv"), "turn", "role", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text"))
@@ -32,7 +36,7 @@ def opening_pairs(turns: DataFrame, conv: str = "conv_id", block: int = BLOCK) -
         .select(
             "conv",
             F.sha2(F.to_json(F.struct("first.role", "first.text")), 256).alias("opening"),
-            F.floor(F.col("conv") / block).alias("block"),
+            number.alias("block"),
         )
     )
     counts = openings.groupBy("opening", "block").agg(F.count(F.lit(1)).alias("rows"))
