@@ -225,7 +225,7 @@ def learn(
             )
         )
     )
-    sample = docs.join(F.broadcast(chosen), key).select(
+    sample = docs.select(*dict.fromkeys((key, text, *META))).join(F.broadcast(chosen), key).select(
         F.coalesce("good", F.lit(-1)).alias("good"), F.pmod(F.xxhash64(F.lit("held"), F.col(key)), F.lit(4)).alias("part"), text, *META
     )
 
