@@ -12,7 +12,9 @@ rules it out), and what survives is verified bit by bit.
 A bucket gives the links that join its members, not all pairs of them. Buckets of more than
 ``CELL`` members are divided into chunks, of which every two meet in a cell of their own,
 so no task holds a bucket whatever its size and no pair is missed. Components are found by
-passing on least labels and jumping along them; every round is cut by a checkpoint.
+passing on least labels and jumping along them; every round is cut by a checkpoint, and
+hubs and labels of many nodes are split. Pivots discard pairs; it is the buckets that bring
+pairs together, since differences of coordinates give Spark no key to join by.
 """
 
 from __future__ import annotations
@@ -22,15 +24,17 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverline.llm.shared import LOWER, cut, free_names, map_batches, without
+from silverline.operators.joins import hot_keys, lookup_join
 
 DISTANCE = 3
 PIVOTS = 32
 SHINGLE, SEED = 3, 42
 CELL = 2048
+HUB = 256  # rows of one key beyond which a lookup splits them; repeats at most a 256th as many rows
 # Six parts of the bits, of which three are equal in any two fingerprints that link.
 _PARTS = [((1 << w) - 1) << a for a, w in zip((0, 11, 22, 33, 44, 54), (11, 11, 11, 11, 10, 10), strict=True)]
 MASKS = [sum(c) for c in combinations(_PARTS, len(_PARTS) - DISTANCE)]
@@ -194,26 +198,42 @@ def links(distinct: DataFrame, cell: int = CELL) -> DataFrame:
     return map_batches(together, _compare, "a long, b long").distinct()
 
 
+def _hot(rows: DataFrame, key: str) -> DataFrame:
+    """Keys of many ``rows``, written once, with the parts they are split into; see ``hot_keys`` for their bound."""
+    return cut(hot_keys(rows, key, rows_per_task=HUB))
+
+
 def components(edges: DataFrame) -> DataFrame:
-    """``node`` and ``label``, the least node of its component, for every node of an edge (a, b)."""
+    """``node`` and ``label``, the least node of its component, for every node of an edge (a, b).
+
+    Nodes with many edges and labels with many nodes are split in both lookups, so neither a hub
+    nor a component of a third of all nodes is one task's work. No edges give no rows.
+    """
     both = cut(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    hubs = _hot(both, "b")
     labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("label")))
     while True:
-        around = (
-            both.join(labels.withColumnRenamed("node", "b"), "b")
-            .groupBy(F.col("a").alias("node"))
-            .agg(F.min("label").alias("near"))
-        )
+        seen = lookup_join(both, labels.withColumnRenamed("node", "b"), "b", hot=hubs, spread_by="a")
+        around = seen.groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
         nearer = labels.join(around, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("was"))
         nearer = cut(nearer)
         jump = nearer.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        jumped = cut(nearer.join(jump, "label").select("node", F.col("next").alias("label"), "was"))
+        jumped = lookup_join(nearer, jump, "label", hot=_hot(nearer, "label"), spread_by="node")
+        jumped = cut(jumped.select("node", F.col("next").alias("label"), "was"))
         changed = jumped.where("label <> was").limit(1).count()
         labels = jumped.select("node", "label")
         if not changed:
             return labels
 
 
+def fingerprint_groups(distinct: DataFrame, cell: int = CELL) -> DataFrame:
+    """Every row of ``distinct``, which has one row per ``fingerprint``, with ``group``: the fingerprint that
+    stands for its component."""
+    found = components(links(distinct.select("fingerprint"), cell)).withColumnRenamed("node", "fingerprint")
+    linked = distinct.join(found, "fingerprint", "left")
+    return linked.select(*distinct.columns, F.coalesce("label", "fingerprint").alias("group"))
+
+
 def duplicate_groups(printed: DataFrame, key: str = "doc_id", cell: int = CELL) -> DataFrame:
     """One row per distinct ``fingerprint`` of ``printed``: ``group`` (a fingerprint that stands for
     the component) and ``component_id``, the least key of the component.
@@ -222,36 +242,45 @@ def duplicate_groups(printed: DataFrame, key: str = "doc_id", cell: int = CELL)
     has NULL. No rows give no rows.
     """
     firsts = cut(printed.groupBy("fingerprint").agg(F.min(key).alias("first")))
-    found = components(links(firsts.select("fingerprint"), cell))
-    found = found.withColumnRenamed("node", "fingerprint")
-    linked = firsts.join(found, "fingerprint", "left").select(
-        "fingerprint", F.coalesce("label", "fingerprint").alias("group"), "first"
-    )
+    linked = cut(fingerprint_groups(firsts, cell))
     roots = linked.groupBy("group").agg(F.min("first").alias("component_id"))
-    return cut(linked.join(roots, "group").select("fingerprint", "group", "component_id"))
+    whole = lookup_join(linked, roots, "group", hot=_hot(linked, "group"), spread_by="fingerprint")
+    return cut(whole.select("fingerprint", "group", "component_id"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, ``fingerprint`` and ``component_id`` of every row of ``docs``.
 
     Texts are compared whole; NULL and empty texts have the fingerprint 0, which links like any
-    other. Repeated rows and keys stay. Other columns do not matter.
+    other. Repeated rows and keys stay, and rows of one fingerprint, however many, are split.
+    Other columns do not matter.
     """
-    printed = cut(fingerprints(docs.select(key, text), text).drop(text))
-    return printed.join(duplicate_groups(printed, key), "fingerprint").select(key, "fingerprint", "component_id")
+    named = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
+    printed = cut(fingerprints(named).drop("text").withColumn("row", F.monotonically_increasing_id()))
+    groups = duplicate_groups(printed, "key").drop("group")
+    found = lookup_join(printed, groups, "fingerprint", hot=_hot(printed, "fingerprint"), spread_by="row")
+    return found.select(F.col("key").alias(key), "fingerprint", "component_id")
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of ``docs`` of which each component keeps one: the least key, then the least text hash.
 
-    NULL keys come last. All columns stay.
+    NULL keys come last; of rows with equal key and text any one stays. All columns stay. Texts are
+    fingerprinted once. What stays is decided on narrow rows, reduced per fingerprint before they move;
+    whole rows are then found by two hashes of key and text, repeated ones left out before they move.
     """
-    from pyspark.sql import Window
-
-    (name,) = free_names(docs, "fingerprint")
-    groups = duplicate_groups(cut(fingerprints(docs.select(key, text), text).drop(text)), key)
-    group, rank = free_names(docs, "_group", "_rank")
-    groups = groups.select(F.col("fingerprint").alias(name), F.col("group").alias(group))
-    first = Window.partitionBy(group).orderBy(F.col(key).asc_nulls_last(), F.xxhash64(F.col(text)))
-    grouped = fingerprints(docs, text, name).join(groups, name)
-    return grouped.withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).select(*docs.columns)
+    own = (F.col(key).isNull(), F.col(key), F.col(text))
+    stamps = [F.xxhash64(F.lit(i), *own) for i in range(2)]
+    named = docs.select(
+        F.struct(own[0].alias("none"), own[1].alias("key"), F.xxhash64(text).alias("hash"), *[s.alias(f"s{i}") for i, s in enumerate(stamps)]).alias("first"),
+        F.col(text).alias("text"),
+    )
+    firsts = cut(fingerprints(named).groupBy("fingerprint").agg(F.min("first").alias("first")))
+    kept = fingerprint_groups(firsts).groupBy("group").agg(F.min("first").alias("first"))
+    names = free_names(docs, "_stamp", "_second_stamp", "_rank")
+    *marks, rank = names
+    kept = cut(kept.select(*[F.col(f"first.s{i}").alias(m) for i, m in enumerate(marks)]))
+    one = Window.partitionBy(*marks).orderBy(F.lit(0))
+    stamped = docs.withColumns(dict(zip(marks, stamps, strict=True)))
+    alone = stamped.withColumn(rank, F.row_number().over(one)).where(F.col(rank) == 1)
+    return alone.join(kept, marks, "left_semi").select(*docs.columns)

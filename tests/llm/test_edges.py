@@ -8,7 +8,7 @@ import pytest
 import tokenizers
 from pyspark.sql import functions as F
 
-from silverline.llm import cotraining, langid, packing, preference, sharding, tokens, urls
+from silverline.llm import cotraining, langid, packing, preference, sharding, simhash, tokens, urls
 from silverline.llm.queries import QUERIES
 
 
@@ -111,3 +111,19 @@ def test_registered_token_files(spark, tables, name):
         own = rows[r["doc_id"]]
         assert (own["start"], own["n_tokens"], own["ids_crc32"]) == (place, len(ids), zlib.crc32(ids.tobytes()))
         place += len(ids)
+
+
+def test_components_of_hubs_and_repeated_rows(spark):
+    """A hub of more edges than a lookup keeps together, a chain, and copies of a row beyond that number."""
+    star = [(0, i) for i in range(1, 2 * simhash.HUB + 50)]
+    chain = [(10_000 + i, 10_001 + i) for i in range(40)]
+    found = simhash.components(spark.createDataFrame([*star, *chain], "a long, b long")).collect()
+    assert {r["node"]: r["label"] for r in found} == {
+        **dict.fromkeys(range(2 * simhash.HUB + 50), 0), **dict.fromkeys(range(10_000, 10_041), 10_000)
+    }
+    assert simhash.components(spark.createDataFrame([], "a long, b long")).count() == 0
+    text = "the same few words as ever in a row that is here again"
+    rows = [(7, text, 1)] * (2 * simhash.HUB) + [(None, text, 2), (9, "other words, nothing like the rest of them", 3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _stamp int")
+    assert Counter(r["component_id"] for r in simhash.near_duplicates(docs).collect()) == {7: 2 * simhash.HUB + 1, 9: 1}
+    assert sorted(tuple(r) for r in simhash.one_of_each(docs).collect()) == sorted({rows[0], rows[-1]})
