@@ -2,33 +2,36 @@
 
 Each view has a logistic classifier on hashed features: the words and a few proportions of
 the text, or source, language and size. Both start from labelled documents. In every round
-each gives the documents of an unlabelled pool of which it is most certain to the other
-as pseudo-labelled examples, in the proportion of good and bad among the labels, and both learn
-anew. Each is then calibrated on labelled documents held out from learning, and the
+each scores all unlabelled documents and gives those of every language and source of which it is
+most certain to the other as pseudo-labelled examples, in the proportion of good and bad among
+the labels, and both learn anew. Each is then calibrated on labelled documents held out from learning, and the
 calibrated log-odds are added, less the prior they share.
 
-Only fitting uses a sample: at most about ``LABELLED`` labelled documents and ``POOL``
-unlabelled ones, by a hash of the key, of which the feature numbers (not the texts) come to
-the driver. Every document is scored, whole, in its own row and without a shuffle.
+Features of all documents are computed once for learning. Only fitting uses a sample: at most about
+``LABELLED`` labelled documents, by a hash of the key, and what the views hand over, of which the
+feature numbers (not the texts) come to the driver. Every document is scored, whole, in its
+own row and without a shuffle.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverline.llm.decontaminate import words
-from silverline.llm.shared import map_batches, without
+from silverline.llm.shared import cut, map_batches, without
+from silverline.operators.joins import hot_keys, lookup_join
 
 BUCKETS = 1 << 15
-LABELLED, POOL = 8000, 4000
-ROUNDS, SHARE = 2, 0.05  # share of the pool that a view hands over in a round
+LABELLED = 8000
+STRATA, POOL = 64, 64  # classes of language and source; documents of one that a view hands over in a round
+ROUNDS = 2
 EPOCHS, RATE, DECAY = 100, 1.0, 1e-3
 EVIDENCE = 20.0  # squared standard deviations from chance at which a feature counts a quarter
 COLUMNS = ("text_score", "meta_score", "score", "keep")
@@ -158,91 +161,159 @@ class Model:
         return first, second, joint
 
 
+@dataclass(frozen=True)
+class Example:
+    """Features of both views, what is known of the document (1 good, 0 bad) and its mark."""
+
+    text: np.ndarray
+    meta: np.ndarray
+    good: float
+    mark: int = 0
+
+
+Weights = list[tuple[np.ndarray, float]]
+
+
 def co_train(
-    text: Rows, meta: Rows, target: np.ndarray, held: np.ndarray, rounds: int = ROUNDS, share: float = SHARE
+    labelled: list[Example], held: list[Example], hand_over: Callable[[Weights, list[set[int]]], list[list[Example]]], rounds: int = ROUNDS
 ) -> Model:
-    """A model from the rows of both views. ``target``: 1, 0, or -1 without a label; ``held``: for calibration only."""
-    labelled = (target >= 0) & ~held
-    if not labelled.any() or target[labelled].min() == target[labelled].max():
+    """A model from labelled examples, those ``held`` for calibration only, and pseudo-labelled ones.
+
+    ``hand_over(views, known)`` gives the examples that each view has for the other; ``known`` are the
+    marks of those that a view has already been handed.
+    """
+    if len({e.good for e in labelled}) < 2:
         return Model()
-    known = [np.where(labelled, target, -1.0) for _ in range(2)]
-    good = float(target[labelled].mean())
-    views = (text, meta)
-    pool = int((target < 0).sum())
-    for turn in range(rounds + 1):
-        fitted = [fit(v, np.maximum(k, 0), (k >= 0).astype(float)) for v, k in zip(views, known, strict=True)]
-        if turn == rounds or not pool:
+    handed: list[list[Example]] = [[], []]
+    columns = (lambda e: e.text, lambda e: e.meta)
+
+    def fitted() -> Weights:
+        result = []
+        for column, more in zip(columns, handed, strict=True):
+            own = [*labelled, *more]
+            result.append(fit(Rows(list(map(column, own))), np.array([e.good for e in own]), np.ones(len(own))))
+        return result
+
+    views = fitted()
+    for _ in range(rounds):
+        found = hand_over(views, [{e.mark for e in more} for more in handed])
+        if not any(found):
             break
-        for mine in (0, 1):
-            other = 1 - mine
-            w, bias = fitted[mine]
-            free = np.flatnonzero((target < 0) & (known[other] < 0))
-            score = views[mine].dot(w)[free] + bias
-            order = free[np.argsort(score, kind="stable")]
-            take = max(1, int(share * pool))
-            best, worst = min(len(order), round(good * take)), min(len(order), round((1 - good) * take))
-            # Only where the view is sure: on the right side of even odds.
-            sure = dict(zip(free.tolist(), score.tolist(), strict=True))
-            known[other][[i for i in order[len(order) - best :] if sure[i] > 0]] = 1
-            known[other][[i for i in order[:worst] if sure[i] < 0]] = 0
-    calibration = np.flatnonzero((target >= 0) & held)
-    if not len(calibration):
-        calibration = np.flatnonzero(labelled)
+        for mine, examples in enumerate(found):
+            handed[1 - mine] += examples
+        views = fitted()
+    test = held or labelled
+    target = np.array([e.good for e in test])
     result = []
-    for view, (w, bias) in zip(views, fitted, strict=True):
-        slope, offset = calibrate((view.dot(w) + bias)[calibration], target[calibration])
+    for column, (w, bias) in zip(columns, views, strict=True):
+        slope, offset = calibrate(Rows(list(map(column, test))).dot(w) + bias, target)
         result.append((w, bias, slope, offset))
-    prior = min(max(float(target[calibration].mean()), 0.01), 0.99)
+    prior = min(max(float(target.mean()), 0.01), 0.99)
     return Model(tuple(result), float(np.log(prior / (1 - prior))))
 
 
+def _buckets(value: bytes) -> np.ndarray:
+    return np.frombuffer(value, dtype="<u2")
+
+
+def _featured(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``key``, ``part``, ``stratum``, the features ``own`` and ``meta`` and their ``mark``, a hash, of every row."""
+    rows = docs.select(
+        F.col(key).alias("key"),
+        F.pmod(F.xxhash64(F.lit("held"), F.col(key)), F.lit(4)).alias("part"),
+        F.pmod(F.xxhash64(F.lit("stratum"), "lang", "source"), F.lit(STRATA)).alias("stratum"),
+        F.col(text).alias("text"),
+        *[F.col(m).alias(f"meta_{m}") for m in META],
+    )
+    empty = F.lit(b"")
+    schema = rows.select("key", "part", "stratum", empty.alias("own"), empty.alias("meta")).schema
+
+    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            *kept, texts = batch.columns[:4]
+            metas = zip(*(c.to_pylist() for c in batch.columns[4:]), strict=True)
+            views = ([text_features(x.as_py()) for x in texts], [meta_features(*m) for m in metas])
+            lists = [pa.array([x.astype("<u2").tobytes() for x in v], pa.binary()) for v in views]
+            yield pa.RecordBatch.from_arrays([*kept, *lists], names=schema.names)
+
+    return map_batches(rows, featured, schema).withColumn("mark", F.xxhash64("own", "meta"))
+
+
+def _most_certain(
+    featured: DataFrame, labelled: DataFrame, hot: DataFrame, views: Weights, known: list[set[int]], good: float, pool: int
+) -> list[list[Example]]:
+    """What each view hands over: its most certain documents without a label, up to ``pool`` of a stratum.
+
+    Every unlabelled row is scored. Of equal documents one is a candidate. What reaches the driver
+    is at most ``2 * STRATA * pool`` rows of two bytes per feature, whatever the corpus.
+    """
+    shared = featured.sparkSession.sparkContext.broadcast((views, known))
+
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        models, seen = shared.value
+        taken = [np.array(sorted(s), dtype=np.int64) for s in seen]
+        for batch in batches:
+            key, stratum, mark, *features = batch.columns
+            columns = [key, stratum, mark]
+            for mine, (column, (w, bias)) in enumerate(zip(features, models, strict=True)):
+                odds = Rows([_buckets(x.as_py()) for x in column]).dot(w) + bias
+                odds[np.isin(mark.to_numpy(), taken[1 - mine])] = 0.0  # the other view has it already
+                columns.append(pa.array(odds))
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "stratum", "mark", "odds0", "odds1"])
+
+    narrow = featured.select("key", "stratum", "mark", "own", "meta")
+    schema = narrow.select("key", "stratum", "mark", F.lit(0.0).alias("odds0"), F.lit(0.0).alias("odds1")).schema
+    odds = map_batches(narrow, scored, schema)
+    marked = labelled.select("key", F.lit(True).alias("labelled"))
+    with_key = lookup_join(odds.where("key IS NOT NULL"), marked, "key", "left", hot=hot, spread_by="mark")
+    free = with_key.where("labelled IS NULL").drop("labelled").unionByName(odds.where("key IS NULL"))
+    each = free.groupBy("stratum", "mark").agg(F.first("odds0").alias("odds0"), F.first("odds1").alias("odds1"))
+    sides = F.explode(F.array(*[F.struct(F.lit(i).alias("view"), F.col(f"odds{i}").alias("odds")) for i in (0, 1)]))
+    # Only where the view is sure: on the right side of even odds.
+    sides = each.select("stratum", "mark", sides.alias("side")).select("stratum", "mark", "side.*").where("odds <> 0")
+    best = Window.partitionBy("view", "stratum", F.col("odds") > 0).orderBy(F.abs("odds").desc(), "mark")
+    share = F.when(F.col("odds") > 0, max(1, round(good * pool))).otherwise(max(1, round((1 - good) * pool)))
+    picked = sides.withColumn("place", F.row_number().over(best)).where(F.col("place") <= pool).where(F.col("place") <= share)
+    picked = cut(picked.select("stratum", "mark", "view", (F.col("odds") > 0).cast("double").alias("good")))
+    whole = featured.select("stratum", "mark", "own", "meta").join(F.broadcast(picked), ["stratum", "mark"])
+    rows = whole.groupBy("view", "stratum", "mark").agg(*[F.first(c).alias(c) for c in ("good", "own", "meta")])
+    found: list[list[Example]] = [[], []]
+    for r in rows.orderBy("view", "stratum", "mark").collect():
+        found[r["view"]].append(Example(_buckets(r["own"]), _buckets(r["meta"]), r["good"], r["mark"]))
+    return found
+
+
 def learn(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", labelled: int = LABELLED, pool: int = POOL
 ) -> Model:
     """A model of ``docs`` and ``labels`` (``quality``, ``toxic``): good is quality 1 and not toxic.
 
     Several labels of a document count as the worst of them; NULL labels and keys are not used.
-    Without labels of both kinds every document scores one half and is kept.
+    Of several rows with one key, that with the least hash of its features is learned. In each round
+    all rows without a label are candidates, and a view hands over at most ``pool`` of a stratum
+    (language and source, in ``STRATA`` classes), so rare ones take part, in the labels' proportion
+    of good and bad. Without labels of both kinds every document scores one half and is kept.
     """
     marks = (
         labels.where(F.col(key).isNotNull() & F.col("quality").isNotNull())
-        .groupBy(key)
-        .agg(F.min((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int").alias("good"))
-    )
-    sizes = docs.select(key).join(marks, key, "left").groupBy(F.col("good").isNotNull().alias("marked")).count().collect()
-    sizes = {r["marked"]: r["count"] for r in sizes}
-    draw = F.pmod(F.xxhash64(F.lit("cotraining"), F.col(key)), F.lit(1 << 30)) / (1 << 30)
-    # Keys of the sample: at most about labelled + pool rows, which is the bound of the broadcast.
-    chosen = (
-        docs.select(key)
-        .where(F.col(key).isNotNull())
-        .distinct()
-        .join(marks, key, "left")
-        .where(
-            draw
-            < F.when(F.col("good").isNotNull(), labelled / max(1, sizes.get(True, 0))).otherwise(
-                pool / max(1, sizes.get(False, 0))
-            )
-        )
+        .groupBy(F.col(key).alias("key"))
+        .agg(F.min((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("double").alias("good"))
     )
-    sample = docs.select(*dict.fromkeys((key, text, *META))).join(F.broadcast(chosen), key).select(
-        F.coalesce("good", F.lit(-1)).alias("good"), F.pmod(F.xxhash64(F.lit("held"), F.col(key)), F.lit(4)).alias("part"), text, *META
-    )
-
-    def featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good, part, *rest = batch.columns
-            own = [text_features(x.as_py()) for x in rest[0]]
-            metas = [meta_features(*m) for m in zip(*(c.to_pylist() for c in rest[1:]), strict=True)]
-            lists = [pa.array([x.tobytes() for x in v], pa.binary()) for v in (own, metas)]
-            yield pa.RecordBatch.from_arrays([good, part, *lists], names=["good", "part", "own", "meta"])
-
-    featured_rows = map_batches(sample, featured, "good int, part long, own binary, meta binary")
-    rows = featured_rows.orderBy("own", "meta", "part").collect()
-    views = [Rows([np.frombuffer(r[i], dtype=np.int32) for r in rows]) for i in (2, 3)]
-    target = np.array([r[0] for r in rows], dtype=float)
-    held = np.array([r[1] == 0 for r in rows], dtype=bool)
-    return co_train(views[0], views[1], target, held)
+    featured = cut(_featured(docs, key, text))
+    present = cut(featured.select("key").distinct().join(marks, "key"))
+    draw = F.pmod(F.xxhash64(F.lit("cotraining"), F.col("key")), F.lit(1 << 30)) / (1 << 30)
+    # Keys of the sample: at most about ``labelled`` rows, which is the bound of the broadcast.
+    chosen = present.where(draw < labelled / max(1, present.count()))
+    least = F.min(F.struct("mark", "part", "good", "own", "meta")).alias("least")
+    rows = featured.join(F.broadcast(chosen), "key").groupBy("key").agg(least).select("least.*")
+    parts: tuple[list[Example], list[Example]] = ([], [])
+    for r in rows.orderBy("mark", "part").collect():
+        parts[r["part"] == 0].append(Example(_buckets(r["own"]), _buckets(r["meta"]), r["good"], r["mark"]))
+    if not parts[0]:
+        return Model()
+    good = float(np.mean([e.good for e in parts[0]]))
+    hot = cut(hot_keys(featured, "key"))
+    return co_train(*parts, lambda views, known: _most_certain(featured, present, hot, views, known, good, pool))
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", cutoff: float = 0.5) -> DataFrame:

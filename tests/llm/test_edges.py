@@ -127,3 +127,33 @@ def test_components_of_hubs_and_repeated_rows(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, _stamp int")
     assert Counter(r["component_id"] for r in simhash.near_duplicates(docs).collect()) == {7: 2 * simhash.HUB + 1, 9: 1}
     assert sorted(tuple(r) for r in simhash.one_of_each(docs).collect()) == sorted({rows[0], rows[-1]})
+
+
+def test_views_hand_over_from_all_rows(spark):
+    """The most certain unlabelled documents of every stratum, against scoring and sorting all of them here."""
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(40)]
+    rows = [
+        (i % 1500 if i < 1600 else None, " ".join(rng.choice(words, 6)), ["en", "de", None][min(i % 50, 2)], "a", 9) for i in range(1700)
+    ]  # a rare language, keys used twice, rows without a key
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    marks = spark.createDataFrame([(i, 1.0) for i in range(0, 1500, 7)], "key long, good double")
+    featured = cotraining._featured(docs, "doc_id", "text").cache()
+    views = [(rng.normal(size=cotraining.BUCKETS), 0.1) for _ in range(2)]
+    known, pool, good = [set(), set()], 10, 0.7
+    hot = spark.createDataFrame([(3, 2)], "key long, _parts int")
+    for _ in range(2):
+        found = cotraining._most_certain(featured, marks, hot, views, known, good, pool)
+        free = {(r["stratum"], r["mark"]): r for r in featured.collect() if r["key"] is None or r["key"] % 7}
+        for mine, column in enumerate(("own", "meta")):
+            w, bias = views[mine]
+            wanted = set()
+            for stratum in {s for s, _ in free}:
+                own = [(cotraining.Rows([cotraining._buckets(r[column])]).dot(w)[0] + bias, m) for (s, m), r in free.items() if s == stratum]
+                own = [(o, m) for o, m in own if m not in known[1 - mine]]
+                for sign, most in ((1, 7), (-1, 3)):
+                    side = sorted((-abs(o), m) for o, m in own if o * sign > 0)
+                    wanted |= {(m, float(sign > 0)) for _, m in side[:most]}
+            assert {(e.mark, e.good) for e in found[mine]} == wanted
+        known = [{e.mark for e in found[1]}, {e.mark for e in found[0]}]
+    featured.unpersist()
