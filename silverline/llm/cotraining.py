@@ -32,6 +32,7 @@ BUCKETS = 1 << 15
 LABELLED = 8000
 STRATA, POOL = 64, 64  # classes of language and source; documents of one that a view hands over in a round
 ROUNDS = 2
+SPLIT = 64  # parts in which the documents of a stratum are ranked
 EPOCHS, RATE, DECAY = 100, 1.0, 1e-3
 EVIDENCE = 20.0  # squared standard deviations from chance at which a feature counts a quarter
 COLUMNS = ("text_score", "meta_score", "score", "keep")
@@ -271,7 +272,11 @@ def _most_certain(
     sides = F.explode(F.array(*[F.struct(F.lit(i).alias("view"), F.col(f"odds{i}").alias("odds")) for i in (0, 1)]))
     # Only where the view is sure: on the right side of even odds.
     sides = each.select("stratum", "mark", sides.alias("side")).select("stratum", "mark", "side.*").where("odds <> 0")
-    best = Window.partitionBy("view", "stratum", F.col("odds") > 0).orderBy(F.abs("odds").desc(), "mark")
+    # Ranked in parts first, so that the last ranking gets at most SPLIT * pool rows a group from any number of tasks.
+    group, order = ("view", "stratum", F.col("odds") > 0), (F.abs("odds").desc(), "mark")
+    within = Window.partitionBy(*group, F.pmod("mark", F.lit(SPLIT))).orderBy(*order)
+    sides = sides.withColumn("place", F.row_number().over(within)).where(F.col("place") <= pool)
+    best = Window.partitionBy(*group).orderBy(*order)
     share = F.when(F.col("odds") > 0, max(1, round(good * pool))).otherwise(max(1, round((1 - good) * pool)))
     picked = sides.withColumn("place", F.row_number().over(best)).where(F.col("place") <= pool).where(F.col("place") <= share)
     picked = cut(picked.select("stratum", "mark", "view", (F.col("odds") > 0).cast("double").alias("good")))
