@@ -30,7 +30,7 @@ from silverline.operators.joins import hot_keys, lookup_join
 
 BUCKETS = 1 << 15
 LABELLED = 8000
-STRATA, POOL = 64, 64  # classes of language and source; documents of one that a view hands over in a round
+STRATA, POOL = 64, 8  # classes of language and source; documents of one that a view hands over in a round
 ROUNDS = 2
 SPLIT = 64  # parts in which the documents of a stratum are ranked
 EPOCHS, RATE, DECAY = 100, 1.0, 1e-3
