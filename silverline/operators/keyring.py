@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from silverline.functions.keys import KEY_MODULUS, surrogate_key
 from silverline.sources import materialised
 
-# Rows of a list that is sent to every task; a longer one is joined.
+# Rows of a list that is sent to every task; a longer one is joined, however Spark judges its size.
 SENT = 100_000
 # Seeds that are tried; with less than half of all keys in use, each settles most of what is left.
 ATTEMPTS = 64
@@ -34,7 +34,12 @@ def seeded_key(value: Column, attempt: int, modulus: int = KEY_MODULUS) -> Colum
 
 
 def _sent(df: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(df) if rows <= SENT else df
+    return F.broadcast(df) if rows <= SENT else _moved(df)
+
+
+def _moved(df: DataFrame) -> DataFrame:
+    """A list that is joined by a shuffle. Working lists of ids are: a broadcast of texts takes the driver 64 MB at least."""
+    return df.hint("merge")
 
 
 def key_faults(df: DataFrame, key: str, sk: str) -> DataFrame:
@@ -88,9 +93,9 @@ def resolve_collisions(
     clashes = clash.count()
     members = hashed.join(_sent(clash, clashes), "sk", "left_semi").distinct()
     if listed:
-        members = members.join(resolved.select("id"), "id", "left_anti")
+        members = members.join(_moved(resolved.select("id")), "id", "left_anti")
         given = resolved.select("sk").distinct().withColumn("given", F.lit(True))
-        members = members.join(given, "sk", "left")
+        members = members.join(_sent(given, listed), "sk", "left")
     else:
         members = members.withColumn("given", F.lit(None).cast("boolean"))
     members = materialised(members, "keys")
@@ -100,7 +105,7 @@ def resolve_collisions(
         used = owners.select(id_text(F.col(key)).alias("id"), F.col("sk")).join(
             _sent(clash, clashes), "sk", "left_semi"
         )
-        members = members.join(used.distinct().withColumn("owns", F.lit(True)), ["id", "sk"], "left")
+        members = members.join(_moved(used.distinct().withColumn("owns", F.lit(True))), ["id", "sk"], "left")
     first = Window.partitionBy("sk").orderBy(F.desc_nulls_last("owns"), "id")
     ranked = members.withColumn("place", F.row_number().over(first))
     losers = materialised(ranked.where((F.col("place") > 1) | F.col("given")).select("id"), "keys")
@@ -112,13 +117,13 @@ def resolve_collisions(
             return resolved if resolved.count() else None
         proposed = losers.select("id", seeded_key(F.col("id"), attempt, modulus).alias("sk"))
         taken = (
-            hashed.select("sk").join(_sent(proposed.select("sk"), left), "sk", "left_semi")
-            .unionByName(resolved.select("sk"))
+            hashed.select("sk").unionByName(resolved.select("sk"))
+            .join(_sent(proposed.select("sk"), left), "sk", "left_semi")
             .distinct()
         )
-        free = proposed.join(taken, "sk", "left_anti").groupBy("sk").agg(F.min("id").alias("id"))
+        free = proposed.join(_sent(taken, left), "sk", "left_anti").groupBy("sk").agg(F.min("id").alias("id"))
         resolved = materialised(resolved.unionByName(free.select("id", "sk")), "keys")
-        losers = materialised(losers.join(resolved.select("id"), "id", "left_anti"), "keys")
+        losers = materialised(losers.join(_moved(resolved.select("id")), "id", "left_anti"), "keys")
     raise ValueError(f"{losers.count()} ids have no key after {ATTEMPTS} attempts: {modulus} keys are too few")
 
 

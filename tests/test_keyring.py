@@ -84,3 +84,22 @@ def test_collisions_are_told_from_duplicates(spark):
     rows = [("a", 1), ("a", 1), ("b", 2), ("c", 2), ("d", 3), ("e", 4), ("e", 4), ("f", 4), (None, 5), ("", 5)]
     faults = keyring.key_faults(spark.createDataFrame(rows, "id string, sk long"), "id", "sk").first()
     assert (faults.repeated, faults.collided) == (3, 2)  # 1, 4 and 5; 2 and 4
+
+
+def test_lists_above_the_bound_are_not_sent_to_the_driver(spark, monkeypatch):
+    """However small Spark finds them: written lists are below its own threshold for a broadcast."""
+    modulus, plans = 211, []
+    ids = table(spark, [f"K{i}" for i in range(160)])
+    expected = keys(ids, keyring.resolve_collisions(ids, "id", modulus=modulus), modulus)
+    written = keyring.materialised
+
+    def noted(df, purpose):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return written(df, purpose)
+
+    monkeypatch.setattr(keyring, "SENT", 0)
+    monkeypatch.setattr(keyring, "materialised", noted)
+    resolved = keyring.resolve_collisions(ids, "id", modulus=modulus)
+    plans.append(keyring.add_key(ids, "id", "sk", resolved, modulus)._jdf.queryExecution().executedPlan().toString())
+    assert len(plans) > 4 and not any("BroadcastExchange" in plan for plan in plans)
+    assert keys(ids, resolved, modulus) == expected
