@@ -62,7 +62,7 @@ def write_by_key(df: DataFrame, path: str, key: str, buckets: int, hot: DataFram
     """Write ``df`` laid out by ``key``; ``hot`` has the hot keys (see ``hot_keys``) and their ``_parts``.
 
     One shuffle of the ordinary rows; a task writes one file for each of its buckets. Rows of hot keys and rows without a
-    key are not shuffled. Give tables that are to be joined the same number of buckets, so large that a bucket fits a task.
+    key are not shuffled. ``df`` is read three times: write one that is dear to compute first. Give tables that are to be joined the same number of buckets, so large that a bucket fits a task.
     """
     spark, path = df.sparkSession, path.rstrip("/")
     columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)

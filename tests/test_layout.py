@@ -7,9 +7,11 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from registry import catalog
+
 from silverline.operators.joins import hot_keys
 from silverline.operators.zorder import BITS, clustered, with_zorder
-from silverline.sources import join_by_key, open_by_key, read_table, write_by_key, write_table
+from silverline.sources import join_by_key, open_by_key, read_table, write_by_key, write_table, writers
 
 JOINS = ("inner", "left", "left_semi", "left_anti")
 
@@ -95,6 +97,31 @@ def test_edges_of_layouts(spark, laid_out, tmp_path):
         join_by_key(*laid_out, "full", "n")
 
 
+def numbered(df):
+    """``df`` with a window in its plan, which is what a silver table costs."""
+    return df.selectExpr("*", "row_number() over (partition by account_id order by account_id) as place")
+
+
+def optimised(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_registered_layouts_compute_their_tables_once(spark, monkeypatch):
+    g = catalog.Layered(spark, "none")
+    g.silver_transactions = numbered(spark.range(40).selectExpr("'A' || id % 5 as account_id", "id"))
+    g.accounts = numbered(spark.range(5).selectExpr("'A' || id as account_id", "id as account_sk", "'C1' as customer_id")).where("place = 1")
+    plans = []
+
+    def noted(df, *rest):
+        plans.append(optimised(df))
+        write_by_key(df, *rest)
+
+    monkeypatch.setattr(catalog, "write_by_key", noted)
+    transactions, links = catalog.laid_out(spark, g)
+    assert len(plans) == 2 and not any("Window" in plan for plan in plans)
+    assert transactions.rows().count() == 40 and transactions.n_hot == 5 and links.rows().count() == 5
+
+
 # --- clustering --------------------------------------------------------------------------
 
 
@@ -160,6 +187,19 @@ def test_row_groups_are_skipped_by_either_column(spark, tmp_path):
     )
 
 
+def test_what_is_clustered_is_computed_once(spark, tmp_path, monkeypatch):
+    df, plans = numbered(spark.range(100).selectExpr("'A' || id % 7 as account_id", "id")), []
+
+    def noted(rows, columns):
+        plans.append(optimised(rows))
+        return clustered(rows, columns)
+
+    monkeypatch.setattr(writers, "clustered", noted)
+    write_table(df, f"{tmp_path}/t", cluster_by=["account_id", "id"])
+    assert len(plans) == 1 and "Window" not in plans[0]
+    assert rows(read_table(spark, f"{tmp_path}/t")) == rows(df)
+
+
 def test_one_value_of_a_third_of_the_rows_is_divided(spark):
     df = spark.range(30_000).selectExpr("if(id % 3 = 0, 5, int(id % 1000)) as a", "if(id % 3 = 0, 'x', 'y' || id) as t", "id")
     sizes = clustered(df, ["a", "t"], 16).groupBy(F.spark_partition_id()).count().collect()
