@@ -413,11 +413,20 @@ def scan_csv_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select("customer_id", "id_number", "dob", "province", "risk_score", "referrer")
 
 
+# A packed file is read by one task: lines of a file, about 200 MB unpacked.
+LINES_PER_FILE = 500_000
+
+
+def written_lines(spark: SparkSession, sf_dir: str) -> str:
+    """The folder of the raw transactions as packed JSON lines."""
+    folder = scratch_folder(spark, "jsonl")
+    write_json(lens.raw_transactions(spark, sf_dir), folder, compression="gzip", lines_per_file=LINES_PER_FILE)
+    return folder
+
+
 @registered("scan_jsonl_nested")
 def scan_jsonl_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch_folder(spark, "jsonl")
-    write_json(lens.raw_transactions(spark, sf_dir), folder)
-    read = read_json_lines(spark, folder)
+    read = read_json_lines(spark, written_lines(spark, sf_dir))
     return read.select(
         "transaction_id",
         "account_id",
@@ -433,8 +442,7 @@ def scan_jsonl_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered("scan_jsonl_one_pass")
 def scan_jsonl_one_pass(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same records in one scan, without discovering their fields."""
-    folder = scratch_folder(spark, "jsonl")
-    write_json(lens.raw_transactions(spark, sf_dir), folder)
+    folder = written_lines(spark, sf_dir)
     plain = ("transaction_id", "account_id", "transaction_date", "amount", "currency")
     nested = {"province": ["location.province"], "city": ["location.city"], "retry_flag": ["metadata.retry_flag"]}
     return json_fields(read_json_records(spark, folder), {n: [n] for n in plain} | nested)

@@ -49,6 +49,16 @@ def write_table(
     return None if observation is None else dict(observation.get)
 
 
-def write_json(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write JSON lines, keeping NULL fields."""
-    df.write.mode(mode).option("ignoreNullFields", False).json(path)
+def write_json(
+    df: DataFrame, path: str, mode: str = "overwrite", compression: str | None = None, lines_per_file: int | None = None
+) -> None:
+    """Write JSON lines, keeping NULL fields.
+
+    Files packed by most kinds of ``compression`` are read by one task each: ``lines_per_file`` bounds them.
+    """
+    writer = df.write.mode(mode).option("ignoreNullFields", False)
+    if compression is not None:
+        writer = writer.option("compression", compression)
+    if lines_per_file is not None:
+        writer = writer.option("maxRecordsPerFile", lines_per_file)
+    writer.json(path)

@@ -7,6 +7,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from registry import catalog
 from silverline import sources
 from silverline.operators.shape import normalise_columns, shared_spelling
 from silverline.plans import layers, silver
@@ -161,3 +162,23 @@ def test_layers_read_transactions_in_one_pass(spark, tmp_path):
     assert {k: (str(r.amount), r.account_id, r.location_province) for k, r in found.items()} == {
         "T1": ("1.50", "A1", "Gauteng"), "T2": ("2.00", "A1", None),
     }
+
+
+def test_json_lines_are_packed_into_files_of_bounded_length(spark, tmp_path):
+    sources.write_json(spark.range(0, 25, 1, 1), f"{tmp_path}/packed", compression="gzip", lines_per_file=10)
+    files = list((tmp_path / "packed").glob("part-*"))
+    assert len(files) == 3 and all(f.name.endswith(".json.gz") for f in files)
+    assert rows(sources.read_json_lines(spark, f"{tmp_path}/packed")) == rows(spark.range(25).selectExpr("string(id) as id"))
+
+
+@pytest.mark.parametrize("query", ["scan_jsonl_nested", "scan_jsonl_one_pass"])
+def test_registered_scans_write_packed_lines(spark, tmp_path, monkeypatch, query):
+    lines = spark.range(3000).selectExpr(
+        "id as l_orderkey", "id * 7 as l_partkey", "id as l_suppkey", "1 as l_linenumber", "double(id) as l_extendedprice",
+        "'N' as l_returnflag", "'O' as l_linestatus", "timestamp'1998-01-01' as l_shipdate",
+    )
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    monkeypatch.setattr(catalog, "scratch_folder", lambda _, purpose: f"{tmp_path}/{purpose}")
+    assert catalog.QUERIES[query](spark, str(tmp_path)).count() == 3000
+    written = sum(f.stat().st_size for f in (tmp_path / "jsonl").glob("part-*"))
+    assert written < 3000 * 100  # about 400 bytes a record unpacked
