@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Observation
 
 from silverline.operators.zorder import clustered
+from silverline.sources.scratch import materialised
 
 
 def write_table(
@@ -31,7 +32,8 @@ def write_table(
     if partition_by and cluster_by:
         raise ValueError("lay a table out by values or cluster it, not both")
     if cluster_by:
-        df = clustered(df, cluster_by)
+        # Bounds, ranks and the shuffle's sample are passes over the rows, which are computed for the first only.
+        df = clustered(materialised(df, "to-cluster"), cluster_by)
     if partition_by:
         df = df.hint("rebalance", *partition_by)
     observation = None
