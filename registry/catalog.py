@@ -783,7 +783,8 @@ def _rejects(g: Layered) -> dict[str, DataFrame]:
 @registered("quarantined_records")
 def quarantined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every rejected record, by its key: how many, and whether the record holds its key."""
-    rows = reduce(DataFrame.unionByName, _rejects(Layered(spark, sf_dir)).values())
+    g = Layered(spark, sf_dir).written("silver_customers", "silver_accounts", "customers")
+    rows = reduce(DataFrame.unionByName, _rejects(g).values())
     by = ("table_name", "layer", "issue_code", "handling_action", "record_key")
     names = F.col("record").contains(F.coalesce("record_key", F.lit("null")))
     return rows.groupBy(*by).agg(

@@ -15,14 +15,14 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverline import functions as fn
 from silverline.fixed_values import ISSUE_HANDLING
 from silverline.functions.keys import is_present
 from silverline.operators.dedupe import latest_per_key
-from silverline.operators.joins import lookup_join
+from silverline.operators.joins import hot_keys, lookup_join
 from silverline.plans.issues import count_hits, row_tests
 from silverline.plans.silver import clean, prepare, tie_breakers
 from silverline.spec import TableSpec
@@ -66,29 +66,48 @@ def _noted(
 def silver_rejects(raw: DataFrame, spec: TableSpec, hot: DataFrame | None = None) -> DataFrame:
     """Raw records without a row in silver: without a key (NULL_REQUIRED), or not the latest of theirs (DUPLICATE_DEDUPED).
 
-    Only records of repeated keys meet the record that was kept. They are counted by key and record
-    first, so equal ones are one row; ``hot`` (hot keys of the table) splits keys with very many different ones.
+    Records are moved once, as they came, to the others of their key; only those of repeated keys are cleaned and spelt
+    as JSON. ``hot`` has the hot keys of the table (``record_key``), counted here if it is not given: their
+    records are counted by key and record first, and split.
     """
     prepared = prepare(raw, spec)
-    carried = prepared.withColumn("record", as_record(prepared))
-    rows = clean(carried, spec, carry=("record",)).withColumnRenamed(spec.key, "record_key")
-    known = F.coalesce(is_present(F.col("record_key")), F.lit(False))
-    nameless = _noted(rows.where(~known), spec.name, "silver", "NULL_REQUIRED", kept=False)
-
-    present = rows.where(known)
-    counts = present.groupBy("record_key").agg(F.count(F.lit(1)).alias("n"))
-    repeated = counts.where("n > 1").select("record_key")
-    several = lookup_join(present, repeated, "record_key", "left_semi", hot, spread_by="record")
+    key = "_record_key"
+    while any(c.lower().startswith(key) for c in prepared.columns):
+        key = "_" + key
+    copies = f"{key}_copies"
+    noted = prepared.withColumn(key, fn.trimmed_key(F.col(f"`{spec.key}`")))
+    known = F.coalesce(is_present(F.col(key)), F.lit(False))
+    nameless = noted.where(~known).withColumns({"record": as_record(prepared), "record_key": F.col(key)})
+    nameless = _noted(nameless, spec.name, "silver", "NULL_REQUIRED", kept=False)
+
+    present = noted.where(known)
+    if hot is None:
+        hot = hot_keys(present.select(F.col(key).alias("record_key")), "record_key")
+    listed = F.broadcast(hot.select(F.col("record_key").alias(key)))
+
+    def cleaned(rows: DataFrame) -> DataFrame:
+        """Silver columns beside the record; ``key`` stays the column by which the rows lie."""
+        return clean(rows.withColumn("record", as_record(prepared)), spec, carry=("record", key))
+
     # The silver row's choice; records that it cannot tell apart are ordered by themselves.
     order = [*tie_breakers(spec), "record"]
+    newest = [F.desc_nulls_last(name) for name in spec.newest_first]
+    of_key = Window.partitionBy(key)
+    ordinary = present.join(listed, key, "left_anti").withColumn(copies, F.count(F.lit(1)).over(of_key))
+    ranked = cleaned(ordinary.where(F.col(copies) > 1)).withColumn("_place", F.row_number().over(of_key.orderBy(*newest, *order)))
+    superseded = ranked.where("_place > 1").groupBy(F.col(key).alias("record_key"), "record").agg(
+        F.count(F.lit(1)).alias("left")
+    )
+
+    several = cleaned(present.join(listed, key, "left_semi")).drop(spec.key).withColumnRenamed(key, "record_key")
     latest = latest_per_key(several, "record_key", spec.newest_first, order)
     latest = latest.select("record_key", F.col("record").alias("latest"))
     counted = several.groupBy("record_key", "record").agg(F.count(F.lit(1)).alias("n"))
     compared = lookup_join(counted, latest, "record_key", "inner", hot, spread_by="record")
     left = F.col("n") - F.when(F.col("record") == F.col("latest"), 1).otherwise(0)
-    superseded = compared.withColumn("left", left).where("left > 0")
+    split = compared.select("record_key", "record", left.alias("left")).where("left > 0")
     return nameless.unionByName(
-        _noted(superseded, spec.name, "silver", "DUPLICATE_DEDUPED", kept=False, copies=F.col("left"))
+        _noted(superseded.unionByName(split), spec.name, "silver", "DUPLICATE_DEDUPED", kept=False, copies=F.col("left"))
     )
 
 
@@ -113,16 +132,9 @@ def gold_rejects(
     silver: DataFrame, parents: DataFrame, spec: TableSpec, parent_key: str, code: str, hot: DataFrame | None = None
 ) -> DataFrame:
     """Silver rows whose ``parent_key`` is not among ``parents`` (NULL included), which therefore are not in gold."""
-    noted = silver.withColumns({"record": as_record(silver), "record_key": F.col(spec.key)})
-    lost = lookup_join(
-        noted.select(parent_key, "record_key", "record"),
-        parents.select(parent_key),
-        parent_key,
-        "left_anti",
-        hot,
-        spread_by="record_key",
-    )
-    return _noted(lost, spec.name, "gold", code, kept=False)
+    lost = lookup_join(silver, parents.select(parent_key), parent_key, "left_anti", hot, spread_by=spec.key)
+    noted = lost.withColumns({"record": as_record(silver), "record_key": F.col(spec.key)})
+    return _noted(noted, spec.name, "gold", code, kept=False)
 
 
 def balance(counts: Mapping[str, tuple[DataFrame, DataFrame, DataFrame]]) -> DataFrame:

@@ -83,6 +83,32 @@ def test_gold_rejects_hold_rows_without_a_parent(spark):
         assert sorted(r.record_key for r in lost.collect()) == sorted(t for t, a in rows if a != "A1")
 
 
+def optimised(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_records_are_read_once_with_a_key_and_once_without(spark, tmp_path):
+    raw_customers(spark, [("C1", "2000-01-01", "1", LOADED, "a")]).write.parquet(f"{tmp_path}/raw")
+    no_hot = spark.sql("select '' as record_key, 1 as _parts where false")
+    plan = optimised(quarantine.silver_rejects(spark.read.parquet(f"{tmp_path}/raw"), CUSTOMERS, no_hot))
+    assert plan.count("Relation [") == 2
+
+
+def test_a_raw_column_may_have_any_name(spark):
+    rows = [("C1", "2000-01-01", 1, "x"), ("C1", "2000-01-01", 2, "x"), (None, None, 3, "y")]
+    raw = spark.createDataFrame(rows, "customer_id string, dob string, _record_key_copies int, _Record_Key string")
+    raw = raw.withColumn("ingestion_timestamp", F.lit(LOADED))
+    found = [(r.record_key, json.loads(r.record)) for r in quarantine.silver_rejects(raw, CUSTOMERS).collect()]
+    assert sorted((k or "", r["_record_key_copies"], r["_record_key"]) for k, r in found) == [("", 3, "y"), ("C1", 2, "x")]
+
+
+def test_only_lost_rows_are_spelt_as_json(spark):
+    came = spark.range(5).selectExpr("'T' || id as transaction_id", "'A' || id as account_id")
+    parents = spark.range(3).selectExpr("'A' || id as account_id")
+    plan = optimised(quarantine.gold_rejects(came, parents, TRANSACTIONS, "account_id", "ORPHANED_ACCOUNT"))
+    assert plan.count(" AS record#") == 1 and plan.index(" AS record#") < plan.index("Join LeftAnti")
+
+
 @pytest.fixture(scope="module")
 def written(spark, tmp_path_factory):
     """Layers from files with lines that do not fit."""
