@@ -796,6 +796,7 @@ def quarantined_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def quarantine_balance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Kept and rejected records are all that came, for each step."""
     g = Layered(spark, sf_dir)
+    g.written("silver_customers", "silver_accounts", "silver_transactions", "customers", "accounts")
     tables = g.tables()
     came = {
         **{f"silver_{name}": f"bronze_{name}" for name in SPECS},
