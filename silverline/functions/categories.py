@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,7 +34,9 @@ def transaction_type(value: Column) -> Column:
 def province(value: Column) -> Column:
     """Province name; unlisted values come back trimmed but otherwise untouched."""
     text = value.cast("string")
-    folded = _upper_trimmed(F.regexp_replace(text, r"[\s_]+", " "))
+    # Few texts have anything but single spaces; the others are spared the pattern.
+    uneven = reduce(Column.__or__, [text.contains(F.lit(blank)) for blank in ("_", "  ", *"\t\n\x0b\f\r")])
+    folded = _upper_trimmed(F.when(uneven, F.regexp_replace(text, r"[\s_]+", " ")).otherwise(text))
     return canonical(folded, PROVINCES, F.trim(text))
 
 

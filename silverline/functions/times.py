@@ -36,17 +36,30 @@ def flexible_date(value: Column) -> Column:
     are its whole seconds.
     """
     text = F.trim(value.cast("string"))
-    calendar = F.when(
-        text.rlike(ISO_OR_SLASHED), F.regexp_replace(text, SLASHED, "$3-$2-$1").try_cast("date")
-    )
+    return F.coalesce(_calendar_text(text).try_cast("date"), _epoch_date(text))
+
+
+def _calendar_text(text: Column) -> Column:
+    """A date of either calendar shape as year, month and day, whether or not there is such a day; else NULL."""
+    slashed = F.concat(F.substr(text, F.lit(7)), F.lit("-"), text.substr(4, 2), F.lit("-"), text.substr(1, 2))
+    ordered = F.when(text.substr(3, 1) == F.lit("/"), slashed).otherwise(text)
+    return F.when(text.rlike(ISO_OR_SLASHED), ordered)
+
+
+def _epoch_date(text: Column) -> Column:
     seconds = F.when(text.rlike(SECONDS_OR_MILLIS), text.substr(1, 10).try_cast("bigint"))
-    return F.coalesce(calendar, F.to_date(F.timestamp_seconds(seconds)))
+    return F.to_date(F.timestamp_seconds(seconds))
 
 
 def date_and_time(day: Column, time: Column) -> Column:
-    """Timestamp from a flexible date and an ``HH:mm:ss`` text (midnight if NULL)."""
+    """Timestamp from a flexible date and an ``HH:mm:ss`` text (midnight if NULL).
+
+    A calendar date is read once, together with its time.
+    """
     clock = F.coalesce(F.trim(time.cast("string")), F.lit("00:00:00"))
-    stamp = F.concat(flexible_date(day).cast("string"), F.lit(" "), clock)
+    text = F.trim(day.cast("string"))
+    dated = F.coalesce(_calendar_text(text), _epoch_date(text).cast("string"))
+    stamp = F.concat(dated, F.lit(" "), clock)
     return F.when(clock.rlike(CLOCK), stamp).try_cast("timestamp")
 
 

@@ -64,6 +64,13 @@ def shared_hashes(ids: DataFrame, key: str, modulus: int = KEY_MODULUS) -> DataF
     return extremes.where(F.col("least") != F.col("most")).select("sk")
 
 
+def most_per_hash(ids: DataFrame, key: str, modulus: int = KEY_MODULUS) -> int:
+    """The most rows that any hash of ``ids`` has: with one, no two ids share a hash. Hashes and counts move, ids do not."""
+    hashed = ids.select(seeded_key(F.col(key), 0, modulus).alias("sk"))
+    per_hash = hashed.groupBy("sk").agg(F.count(F.lit(1)).alias("_rows"))
+    return per_hash.agg(F.coalesce(F.max("_rows"), F.lit(0)).alias("most")).first().most
+
+
 def resolve_collisions(
     ids: DataFrame,
     key: str,
@@ -83,6 +90,8 @@ def resolve_collisions(
     hashed = ids.select(value.alias("id"), seeded_key(value, 0, modulus).alias("sk"))
     resolved = None if earlier is None else materialised(earlier.select("id", "sk").distinct(), "keys")
     listed = 0 if resolved is None else resolved.count()
+    if not listed and most_per_hash(ids, key, modulus) <= 1:
+        return None
     clash = shared_hashes(ids, key, modulus)
     if listed:
         # A hash that was given away as a key has no room for an id either.

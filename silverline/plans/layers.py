@@ -6,11 +6,14 @@ most the stage that is running.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import date, datetime
-from functools import reduce
+from functools import partial, reduce
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +40,19 @@ from silverline.sources import (
 from silverline.spec import SPECS, raw_names
 
 
+T = TypeVar("T")
+
+
+def side_by_side(spark: SparkSession, steps: Sequence[Callable[[], T]]) -> list[T]:
+    """The results of steps that do not need each other, run at the same time; the longest should come first.
+
+    The last tasks of a job leave most cores idle, and so does a small table: meanwhile the other jobs go on.
+    All steps have ended when the first error, if any, is raised.
+    """
+    with ThreadPoolExecutor(max(1, len(steps))) as pool:
+        return [done.result() for done in [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]]
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where the layers live: one folder per table below ``root``."""
@@ -115,16 +131,26 @@ def table_figures(spark: SparkSession, layout: Layout) -> dict[str, DataFrame |
     return open_tables(spark, {name: layout.figures(name) for name in CHECKED})
 
 
+# The order in which tables are begun.
+LARGEST_FIRST = ("transactions", "accounts", "customers")
+
+
 def load_bronze(sources: Mapping[str, DataFrame], layout: Layout, ingested_at: datetime | None = None) -> None:
-    for name, raw in sources.items():
-        loaded = add_load_metadata(raw, SOURCE_LABELS[name], ingested_at)
+    def load(name: str) -> None:
+        loaded = add_load_metadata(sources[name], SOURCE_LABELS[name], ingested_at)
         write_layer(loaded, layout, f"bronze_{name}")
 
+    steps = [partial(load, name) for name in sorted(sources, key=LARGEST_FIRST.index)]
+    if steps:
+        side_by_side(next(iter(sources.values())).sparkSession, steps)
+
 
 def load_silver(spark: SparkSession, layout: Layout, flag_issues: bool = False) -> None:
-    for name, spec in SPECS.items():
+    def load(name: str) -> None:
         bronze = read_table(spark, layout.table(f"bronze_{name}"))
-        write_layer(build(bronze, spec, flag_issues), layout, f"silver_{name}")
+        write_layer(build(bronze, SPECS[name], flag_issues), layout, f"silver_{name}")
+
+    side_by_side(spark, [partial(load, name) for name in LARGEST_FIRST])
 
 
 def _hot(spark: SparkSession, layout: Layout, name: str) -> DataFrame | None:
@@ -145,15 +171,17 @@ def resolve_keys(spark: SparkSession, layout: Layout) -> dict[str, DataFrame | N
 
     Keys of the gold tables that are there from an earlier run stay as they are.
     """
-    lists = {}
-    for name, (gold_table, key, sk) in KEYED.items():
+    def resolve(name: str) -> tuple[str, DataFrame | None]:
+        gold_table, key, sk = KEYED[name]
         ids = read_table(spark, layout.table(f"silver_{name}"))
         earlier, used = open_tables(spark, {"list": layout.keys(key), "gold": layout.table(gold_table)}).values()
         owners = None if used is None else used.select(key, F.col(sk).alias("sk"))
-        lists[key] = resolve_collisions(ids, key, earlier, owners)
-        if lists[key] is not None:
-            write_table(lists[key], layout.keys(key))
-    return lists
+        listed = resolve_collisions(ids, key, earlier, owners)
+        if listed is not None:
+            write_table(listed, layout.keys(key))
+        return key, listed
+
+    return dict(side_by_side(spark, [partial(resolve, name) for name in LARGEST_FIRST]))
 
 
 def load_gold(
@@ -169,9 +197,18 @@ def load_gold(
     of equal hash are found first (one shuffle of hashes per table) and get different keys.
     """
     silver = {name: read_table(spark, layout.table(f"silver_{name}")) for name in SPECS}
-    keys = resolve_keys(spark, layout) if unique_keys else {}
-    write_table(hot_keys(silver["accounts"], "customer_id"), layout.hot("customer_id"))
-    write_table(hot_keys(silver["transactions"], "account_id"), layout.hot("account_id"))
+
+    def list_hot(name: str, key: str) -> None:
+        write_table(hot_keys(silver[name], key), layout.hot(key))
+
+    keys, *_ = side_by_side(
+        spark,
+        [
+            partial(resolve_keys, spark, layout) if unique_keys else dict,
+            partial(list_hot, "transactions", "account_id"),
+            partial(list_hot, "accounts", "customer_id"),
+        ],
+    )
     hot_customers, hot_accounts = (read_table(spark, layout.hot(key)) for key in ("customer_id", "account_id"))
 
     write_layer(gold.dim_customers(silver["customers"], as_of, keys), layout, "gold_dim_customers")
